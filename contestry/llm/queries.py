@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import decontaminate, mixing, sharding
 from .common import table
 
 QUERIES: dict = {}
@@ -17,3 +17,19 @@ def query(f):
 @query
 def op7_sharding(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_pareto_mix(spark, sf_dir):
+    return mixing.mix_words(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_pareto_mix"] = mixing.SQL
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op8_decontamination"] = decontaminate.SQL
