@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, sharding
+from . import decontaminate, mixing, sharding, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -33,3 +33,11 @@ def op8_decontamination(spark, sf_dir):
 
 
 ORACLE["op8_decontamination"] = decontaminate.SQL
+
+
+@query
+def op10_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op10_warc"] = warc.SQL
