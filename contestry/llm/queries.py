@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, sharding, warc
+from . import decontaminate, mixing, quality, sharding, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -41,3 +41,11 @@ def op10_warc(spark, sf_dir):
 
 
 ORACLE["op10_warc"] = warc.SQL
+
+
+@query
+def op6_quality_rules(spark, sf_dir):
+    return quality.quality_digest(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_quality_rules"] = quality.SQL
