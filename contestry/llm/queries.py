@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality, sharding, warc
+from . import decontaminate, mixing, ngram_join, quality, sharding, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -49,3 +49,11 @@ def op6_quality_rules(spark, sf_dir):
 
 
 ORACLE["op6_quality_rules"] = quality.SQL
+
+
+@query
+def op5_ngram_jaccard(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_ngram_jaccard"] = ngram_join.SQL
