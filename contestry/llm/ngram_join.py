@@ -29,8 +29,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+from xxhash import xxh3_64_intdigest
 
-from .common import small, unused, written
+from .common import small, written
 
 WORDS = 5
 #: Overlap of at least PERCENT hundredths of the union.
@@ -44,10 +46,8 @@ LIST_ROWS = 4_000
 PIVOT_ROUNDS = 2
 #: Most candidate rows whose keys a join may broadcast (16 bytes each).
 KEYS = 1_000_000
-#: Words whose hashes a worker remembers.
-REMEMBERED = 1_000_000
-
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Documents whose shingles a worker holds at a time.
+CHUNK = 500
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -61,25 +61,23 @@ class Shingler:
     """Texts to sorted arrays of distinct shingle hashes."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.known = words, {}
-
-    def _hash(self, word: bytes) -> int:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
+        self.words = words
+        self.odd = [mixed(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(words)]
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         if not words:
             return np.empty(0, np.uint64)
-        known, make = self.known.get, self._hash
-        w = np.array([known(x) or make(x) for x in words], np.uint64)
+        w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
         k = min(self.words, len(w))
-        n, out = len(w) - k + 1, np.full(len(w) - k + 1, k, np.uint64)
-        for i in range(k):
-            out = mixed(out * MIX + w[i : i + n])
-        return np.unique(out)
+        n = len(w) - k + 1
+        out = w[:n] * self.odd[0]
+        for i in range(1, k):
+            out += w[i : i + n] * self.odd[i]
+        out += np.uint64(k)
+        out = mixed(out)
+        out.sort()
+        return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -92,15 +90,20 @@ def needed(a: F.Column, b: F.Column, percent: int = PERCENT) -> F.Column:
     return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
 
 
+def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), CHUNK):
+            yield batch.iloc[at : at + CHUNK]
+
+
 def frequent_shingles(docs: DataFrame) -> dict[int, int]:
     """The most frequent shingles and the number of rows with them, at most FREQUENT_LIST: an order, not a filter."""
 
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = Shingler()
-        for batch in batches:
-            found = [(x := rows(text))[: int(len(x) * COUNTED) + 1] for text in batch["text"]]
-            if found:
-                yield pd.DataFrame({"token": np.concatenate(found).view(np.int64)})
+        for texts in chunks(batches):
+            found = [(x := rows(text))[: int(len(x) * COUNTED) + 1] for text in texts["text"]]
+            yield pd.DataFrame({"token": np.concatenate(found).view(np.int64)})
 
     counts = docs.select("text").mapInPandas(smallest, "token long").groupBy("token").agg(F.count("*").alias("n"))
     top = counts.where(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(FREQUENT_LIST)
@@ -122,7 +125,7 @@ def incidence(docs: DataFrame, carry: list[str], order=None) -> DataFrame:
         if order is not None:
             often = order.value
             common = np.sort(np.array(list(often), np.int64).view(np.uint64))
-        for batch in batches:
+        for batch in chunks(batches):
             out = []
             for text in batch["text"]:
                 x = shingles(text)
@@ -210,8 +213,6 @@ def posting_lists(nodes: DataFrame, often) -> DataFrame:
     spread = posts.sparkSession.createDataFrame(list(long_lists.items()), "token long, salts int")
     posts = posts.join(F.broadcast(spread), "token", "left") if long_lists else posts.withColumn("salts", F.lit(None).cast("int"))
     posts = posts.withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("p.node"), F.col("salts"))).otherwise(0).cast("int"))
-    from pyspark.sql import Window as W
-
     w = W.partitionBy("token", "salt")
     met = posts.withColumns({"lo": F.min("p.node").over(w), "hi": F.max("p.node").over(w)})
     return met.where("lo < hi or salts is not null").select("token", "salt", "p")
