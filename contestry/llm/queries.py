@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, ngram_join, quality, sharding, warc
+from . import decontaminate, language_model, mixing, ngram_join, quality, sharding, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -57,3 +57,8 @@ def op5_ngram_jaccard(spark, sf_dir):
 
 
 ORACLE["op5_ngram_jaccard"] = ngram_join.SQL
+
+
+@query
+def op3_language_model(spark, sf_dir):
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
