@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_model, mixing, ngram_join, quality, sharding, warc
+from . import decontaminate, language_model, mixing, ngram_join, quality, sharding, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -62,3 +62,8 @@ ORACLE["op5_ngram_jaccard"] = ngram_join.SQL
 @query
 def op3_language_model(spark, sf_dir):
     return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
