@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from xxhash import xxh3_64_intdigest
 
-from .common import small, written
+from .common import small, unused, written
 
 WORDS = 5
 #: Overlap of at least PERCENT hundredths of the union.
 PERCENT = 80
 #: Share of a row, by hash order, whose shingles are counted to find the frequent ones.
-COUNTED = 0.3
+COUNTED = 0.25
 #: Shingles in at least FREQUENT rows are ordered last, by their count; the list keeps the most frequent.
 FREQUENT = 24
 FREQUENT_LIST = 200_000
@@ -184,15 +184,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Each step is written to the shared folder. Rounds are logarithmic in the longest chain.
     """
-    edges = links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u <> v").distinct()
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = written(edges, "edges")
     while True:
-        both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
+        both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small_star = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = written(small_star.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        new = written(small_star.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         # stars only: no node is both a centre and a leaf, and each leaf has one centre
         n, leaves = new.agg(F.count("*"), F.count_distinct("u")).first()
         chained = new.join(new.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
@@ -256,29 +256,32 @@ def similarity_classes(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, Da
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     posts = written(posting_lists(nodes, often), "posts")
 
-    wanted = posts.select("p.node").distinct().join(nodes, "node").select(F.col("least").alias("of"))
-    wanted = small(wanted.distinct(), KEYS)
-    texts = docs.where(F.col("text").isNotNull()).select(carry[0], "text").join(wanted, F.col(carry[0]).eqNullSafe(F.col("of")), "left_semi")
-    whole = incidence(texts, [carry[0]]).dropDuplicates(["d1", "d2"]).select("d1", "d2", "tokens")
-    sets = written(whole.join(nodes.select("d1", "d2", "node"), ["d1", "d2"]).select("node", "tokens"), "sets")
-
-    links, tried = [], []
+    links, tried, sets = [], [], []
     for turn in range(PIVOT_ROUNDS + 1):
-        if turn < PIVOT_ROUNDS:
-            pairs = pivot_pairs(posts, turn)
-        else:
-            pairs = open_pairs(posts, roots)
+        pairs = pivot_pairs(posts, turn) if turn < PIVOT_ROUNDS else open_pairs(posts, roots)
         if turn:
             pairs = _apart(pairs, roots)
             pairs = pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tried.append(pairs)
-        links.append(written(linked(pairs, sets), "links"))
+        met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if sets:
+            met = met.join(reduce(DataFrame.union, sets), "node", "left_anti")
+        sets.append(whole_rows(docs, carry[0], met.join(nodes, "node").select("node", "d1", "d2", F.col("least").alias("of"))))
+        links.append(written(linked(pairs, reduce(DataFrame.union, sets)), "links"))
         roots = written(components(reduce(DataFrame.union, links)), "roots")
     classes = nodes.join(roots, "node", "left").select("node", "d1", "d2", "least", F.coalesce("root", "node").alias("root"))
     return rows.drop("tokens"), classes
 
 
+def whole_rows(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """node, tokens: the whole rows of the wanted nodes (node, d1, d2, of), made again from their texts."""
+    keys = small(wanted.select("of").distinct(), KEYS)
+    texts = docs.where(F.col("text").isNotNull()).select(key, "text").join(keys, F.col(key).eqNullSafe(F.col("of")), "left_semi")
+    whole = incidence(texts, [key]).select("d1", "d2", "tokens").join(wanted.select("d1", "d2", "node"), ["d1", "d2"])
+    return written(whole.dropDuplicates(["node"]).select("node", "tokens"), "sets")
+
+
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose nodes aren't known to be in one component."""
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -295,6 +298,30 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("head", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs with one row of each component: the one with the least key (nulls last; ties by a hash of the text).
+
+    Rows without words stay. The columns are those of docs. Texts are shuffled only where rows are alike
+    in key and text.
+    """
+    mark, pick, gone = unused(docs, "mark_", "pick_", "gone_")
+    keyed = docs.select(F.col(f"`{key}`").alias(pick), F.xxhash64("text").alias(mark), "text")
+    rows, classes = similarity_classes(keyed, [pick, mark])
+    placed = rows.where("n > 0").join(classes.select("d1", "d2", "root"), ["d1", "d2"]).select("root", pick, mark)
+    order = F.struct(F.col(pick).isNull(), F.col(pick), F.col(mark))
+    best = placed.groupBy("root").agg(F.min_by(F.struct(pick, mark), order).alias("best"), F.count("*").alias("rows"))
+    many = best.where("rows > 1")
+    members = placed.join(many, "root")
+    same = F.col(pick).eqNullSafe(F.col(f"best.{pick}")) & F.col(mark).eqNullSafe(F.col(f"best.{mark}"))
+    dropped = small(members.where(~same).select(F.col(pick).alias(gone), F.col(mark).alias(mark)).distinct(), KEYS)
+    twice = small(members.where(same).groupBy(pick, mark).agg(F.count("*").alias("k")).where("k > 1").drop("k"), KEYS)
+    left = docs.withColumn(f"{mark}_", F.xxhash64("text"))
+    left = left.join(dropped, F.col(f"`{key}`").eqNullSafe(F.col(gone)) & (F.col(f"{mark}_") == F.col(mark)), "left_anti")
+    again = F.col(f"`{key}`").eqNullSafe(F.col(pick)) & (F.col(f"{mark}_") == F.col(mark))
+    once = left.join(twice, again, "left_anti").select(*docs.columns)
+    return once.unionByName(left.join(twice, again, "left_semi").dropDuplicates([key, f"{mark}_"]).select(*docs.columns))
+
+
 SQL = r"""
 WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id,
     regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -67,3 +67,12 @@ def op3_language_model(spark, sf_dir):
 @query
 def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
