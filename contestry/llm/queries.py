@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_model, mixing, ngram_join, quality, sharding, toxicity, warc
+from . import decontaminate, language_model, licences, mixing, ngram_join, quality, sharding, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -76,3 +76,11 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES["pipeline"] = pipeline
+
+
+@query
+def op2_licence_scan(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_licence_scan"] = licences.oracle_sql()
