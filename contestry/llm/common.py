@@ -80,3 +80,19 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def most_counted(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows with the largest counts, at most `most` of them: all above a bound that a small histogram gives.
+
+    counts is read twice, so it should be written before.
+    """
+    step = F.floor(F.log2(F.col(column).cast("double")) * 16)
+    cells = counts.where(F.col(column) > 0).groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    bound, left = float("inf"), most
+    for r in sorted(cells, key=lambda r: -r.step):
+        left -= r.n
+        if left < 0:
+            break
+        bound = r.step
+    return counts.where(step >= F.lit(bound))

@@ -20,17 +20,16 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import most_counted, text_of, written
 
 FOLDS, HELD_OUT = 5, 1
-FREQUENT, CLASS_WORDS, RARE = 1024, 32, 32
+FREQUENT, CLASS_WORDS, RARE = 512, 32, 32
 LISTED = 200_000
 HIDDEN, STEPS, LANES = 16, 32, 256
 ROUNDS, RATE = 3, 0.08
@@ -74,50 +73,56 @@ def _frame(counts: Counter) -> pd.DataFrame:
     return pd.DataFrame({"word": [w.decode("utf-8", "surrogatepass") for w in counts], "c": list(counts.values())})
 
 
-@dataclass
 class Vocabulary:
-    """What all tasks know of the words: bounded by LISTED, whatever the corpus."""
+    """What all tasks know of the words: bounded by LISTED, whatever the corpus.
 
-    counts: dict[bytes, int]
-    rank: dict[bytes, int]
-    n: int
-    v: int
-    rare_n: np.ndarray
-    rare_v: np.ndarray
+    counts: the listed words, most frequent first; the first FREQUENT have output classes.
+    """
+
+    def __init__(self, counts: dict[bytes, int], n: int, v: int, rare_n: np.ndarray, rare_v: np.ndarray):
+        self.place = {w: i for i, w in enumerate(counts)}
+        self.n, self.v, self.rare_n, self.rare_v = n, v, rare_n, rare_v
+        self.frequent = min(FREQUENT, len(counts))
+        self.counts = np.array(list(counts.values()), float)
+        self.classes = -(-self.frequent // CLASS_WORDS)
+        self.id_at = np.array([i if i < self.frequent else self.frequent + rare_class(w) for i, w in enumerate(counts)], np.int32)
 
-    @property
-    def classes(self) -> int:
-        return -(-len(self.rank) // CLASS_WORDS) if self.rank else 0
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Each word's place among the listed; -1 where it has none."""
+        get = self.place.get
+        return np.array([get(w, -1) for w in words], np.int32)
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """A frequent word's rank, or the number of frequent words and the rare class."""
-        rank, base = self.rank.get, len(self.rank)
-        return np.array([r if (r := rank(w)) is not None else base + rare_class(w) for w in words], np.int32)
+    def ids(self, words: list[bytes], places: np.ndarray | None = None) -> np.ndarray:
+        """A frequent word's place, or the number of frequent words and the rare class."""
+        places = self.places(words) if places is None else places
+        out = self.id_at[places] if len(self.id_at) else np.zeros(len(words), np.int32)
+        for i in np.flatnonzero(places < 0).tolist():
+            out[i] = self.frequent + rare_class(words[i])
+        return out
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """counts: word, c (written before)."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.col("c").desc(), "word").limit(LISTED).collect()
-    listed = {r.word.encode("utf-8", "surrogatepass"): r.c for r in top}
-    rank = {w: i for i, w in enumerate(list(listed)[:FREQUENT])}
+    top = most_counted(counts, "c", LISTED).toPandas().sort_values(["c", "word"], ascending=[False, True])
+    listed = {w.encode("utf-8", "surrogatepass"): c for w, c in zip(top["word"], top["c"].tolist())}
     suffix = F.encode("word", "UTF-8")
     suffix = F.when(F.octet_length(suffix) > 2, F.substring(suffix, -2, 2)).otherwise(suffix)
     by_class = counts.groupBy(F.pmod(F.crc32(suffix), F.lit(RARE)).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     rare_n, rare_v = np.zeros(RARE), np.zeros(RARE)
     for r in by_class:
         rare_n[r.k], rare_v[r.k] = r.n, r.v
-    for w in rank:
+    for w in list(listed)[:FREQUENT]:
         rare_n[rare_class(w)] -= listed[w]
         rare_v[rare_class(w)] -= 1
-    return Vocabulary(listed, rank, n, v, rare_n, rare_v)
+    return Vocabulary(listed, n, v, rare_n, rare_v)
 
 
 class Network:
     """The weights and the passes of one gated recurrent network with a class-factored softmax."""
 
     def __init__(self, known: Vocabulary, weights: np.ndarray | None = None):
-        self.words, self.k = len(known.rank), known.classes
+        self.words, self.k = known.frequent, known.classes
         inputs, out = self.words + RARE + 1, self.k + RARE
         self.shapes = {"E": (inputs, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,), "Wc": (HIDDEN, out), "bc": (out,), "Ww": (self.k, HIDDEN, CLASS_WORDS), "bw": (self.k, CLASS_WORDS)}
         sizes = [int(np.prod(s)) for s in self.shapes.values()]
@@ -135,7 +140,7 @@ class Network:
     def _biases(self, known: Vocabulary) -> None:
         """The untrained network is the unigram model."""
         c = np.full(self.k * CLASS_WORDS, 0.0)
-        c[: self.words] = [known.counts[w] for w in known.rank]
+        c[: self.words] = known.counts[: self.words]
         c = c.reshape(self.k, CLASS_WORDS)
         self.bw[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9)), -30)
         self.bc[:] = np.log(np.concatenate([c.sum(1), known.rare_n]) + 0.5)
@@ -220,11 +225,11 @@ class Network:
         grads["E"] = (words, np.add.reduceat(dx[order], starts))
 
 
-def lanes_of(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def lanes_of(texts: list[np.ndarray], lanes: int = LANES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Documents of like length side by side: (their places, lengths, ids padded to the longest)."""
     order = np.argsort([-len(t) for t in texts], kind="stable")
-    for at in range(0, len(order), LANES):
-        places = order[at : at + LANES]
+    for at in range(0, len(order), lanes):
+        places = order[at : at + lanes]
         lengths = np.array([len(texts[i]) for i in places])
         ids = np.zeros((lengths[0], len(places)), np.int32)
         for lane, i in enumerate(places):
@@ -310,22 +315,22 @@ def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, carry: list[s
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = shared.value
-        net, counts, rank = Network(vocab, trained.value), vocab.counts, vocab.rank
+        net, base = Network(vocab, trained.value), vocab.frequent
         share = np.log10(vocab.rare_n + 0.5 * (vocab.rare_v + 1))
-        logs = {w: float(np.log10(c + 0.5)) for w, c in counts.items()}
+        logs = np.log10(vocab.counts + 0.5)
         total = float(np.log10(vocab.n + 0.5 * (vocab.v + 1)))
         for batch in batches:
             texts, rows = [], []
             for text in batch["text"]:
                 words = [*tokens(text), b""]
-                ids = vocab.ids(words)
+                at = vocab.places(words)
+                ids = vocab.ids(words, at)
                 texts.append(ids)
-                found = [logs[w] for w in words if w in logs]
-                rare = [w for w in words if w not in rank]
-                in_class = float(sum(logs.get(w, 0.0) for w in rare)) - float(share[ids[ids >= len(rank)] - len(rank)].sum())
-                others = Counter(w for w in rare if w not in logs) if len(found) < len(words) else {}
-                rows.append([len(words), len(found), float(sum(found)) - total * len(words), in_class, [{"word": w.decode("utf-8", "surrogatepass"), "times": k} for w, k in others.items()]])
-            for places, lengths, ids in lanes_of(texts):
+                listed = at[at >= 0]
+                in_class = float(logs[listed[listed >= base]].sum()) - float(share[ids[ids >= base] - base].sum())
+                others = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
+                rows.append([len(words), len(listed), float(logs[listed].sum()) - total * len(words), in_class, [{"word": w.decode("utf-8", "surrogatepass"), "times": k} for w, k in others.items()]])
+            for places, lengths, ids in lanes_of(texts, 2 * LANES):
                 sums = np.zeros(len(places))
                 for live, real, logp in windows(net, lengths, ids):
                     spread = np.zeros(real.shape)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from xxhash import xxh3_64_intdigest
 
-from .common import small, unused, written
+from .common import most_counted, small, unused, written
 
 WORDS = 5
 #: Overlap of at least PERCENT hundredths of the union.
@@ -106,8 +106,8 @@ def frequent_shingles(docs: DataFrame) -> dict[int, int]:
             yield pd.DataFrame({"token": np.concatenate(found).view(np.int64)})
 
     counts = docs.select("text").mapInPandas(smallest, "token long").groupBy("token").agg(F.count("*").alias("n"))
-    top = counts.where(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(FREQUENT_LIST)
-    return {r.token: r.n for r in top.toLocalIterator()}
+    top = most_counted(written(counts.where(F.col("n") >= FREQUENT), "frequent"), "n", FREQUENT_LIST).toPandas()
+    return dict(zip(top["token"].tolist(), top["n"].tolist()))
 
 
 ROWS = "n int, d1 long, d2 long, tokens array<long>"
