@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_model, licences, mixing, ngram_join, quality, sharding, toxicity, warc
+from . import decontaminate, language_model, licences, mixing, ngram_join, quality, sharding, surrogates, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -84,3 +84,8 @@ def op2_licence_scan(spark, sf_dir):
 
 
 ORACLE["op2_licence_scan"] = licences.oracle_sql()
+
+
+@query
+def op9_pii_surrogates(spark, sf_dir):
+    return surrogates.surrogate_texts(table(spark, sf_dir, "documents"))
