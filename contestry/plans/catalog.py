@@ -1,5 +1,11 @@
 """All registered queries over the contest tables, with their SQL."""
 
+from contestry.plans import features
+
 QUERIES: dict = {}
 ORACLE: dict = {}
+for part in (features,):
+    QUERIES.update(part.QUERIES)
+    ORACLE.update(part.ORACLE)
+
 FLAGSHIP = "w1_trailing_form"
