@@ -85,6 +85,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def prefix_size(n: F.Column, percent: int = PERCENT) -> F.Column:
+    """prefix_length of a column."""
+    return n - F.ceil(n * percent / F.lit(100.0) - 1e-9) + 1
+
+
 def needed(a: F.Column, b: F.Column, percent: int = PERCENT) -> F.Column:
     """Least overlap of rows of a and b shingles: 100 o >= percent (a + b - o)."""
     return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
@@ -232,7 +237,11 @@ def _pairs(met: DataFrame, *more: str) -> DataFrame:
 
 
 def open_pairs(posts: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs that share a list's shingle and lie in different components: minor components against the whole list."""
+    """All pairs that share a list's shingle and lie in different components: minor components against the whole list.
+
+    Overlaps of the prefixes accumulate over the lists; pairs are discarded where these and all that lies
+    beyond the prefixes can't reach the overlap that their sizes ask for.
+    """
     placed = posts.select("token", "p").join(roots.select(F.col("node").alias("p_node"), "root"), F.col("p.node") == F.col("p_node"), "left")
     placed = placed.select("token", "p", F.coalesce("root", "p.node").alias("c"))
     shares = placed.groupBy("token", "c").agg(F.count("*").alias("k"))
@@ -240,7 +249,12 @@ def open_pairs(posts: DataFrame, roots: DataFrame) -> DataFrame:
     mixed_lists = written(placed.join(major.drop("parts"), "token"), "open")
     minor = mixed_lists.where("c <> major").select("token", F.col("p").alias("q"), F.col("c").alias("d"))
     met = mixed_lists.join(minor, "token").where("c <> d").where("c = major or p.node < q.node")
-    return _pairs(met)
+    # each shared list gives one row, so the count is the overlap of the two prefixes
+    a, b = F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")
+    counted = met.groupBy(a, b).agg(F.count("*").alias("shared"), F.bool_and(may_link("p", "q")).alias("may"), F.max("p.n").alias("x"), F.max("q.n").alias("y"), F.min("p.n").alias("x0"), F.min("q.n").alias("y0"))
+    na, nb = F.greatest("x", "y").cast("long"), F.least("x0", "y0").cast("long")
+    beyond = F.greatest(na - prefix_size(na), nb - prefix_size(nb))
+    return counted.where("may").where(F.col("shared") + beyond >= needed(na, nb)).select("a", "b")
 
 
 def similarity_classes(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
