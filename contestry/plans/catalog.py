@@ -1,10 +1,10 @@
 """All registered queries over the contest tables, with their SQL."""
 
-from contestry.plans import features
+from contestry.plans import features, reports
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for part in (features,):
+for part in (features, reports):
     QUERIES.update(part.QUERIES)
     ORACLE.update(part.ORACLE)
 
