@@ -1,10 +1,10 @@
 """All registered queries over the contest tables, with their SQL."""
 
-from contestry.plans import features, reports
+from contestry.plans import features, models, reports
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for part in (features, reports):
+for part in (features, reports, models):
     QUERIES.update(part.QUERIES)
     ORACLE.update(part.ORACLE)
 
