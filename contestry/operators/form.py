@@ -15,8 +15,8 @@ FEATURE_VERSION = "v1"
 MEASURES = {"win_rate_l5": "win", "draw_rate_l5": "draw", "goals_scored_avg_l5": "goals_for", "goals_conceded_avg_l5": "goals_against", "goals_total_avg_l5": "goals_total"}
 
 
-def long_form(matches: DataFrame) -> DataFrame:
-    """Two rows a contest, one for each side, from a single scan."""
+def long_form(matches: DataFrame, *more: str) -> DataFrame:
+    """Two rows a contest, one for each side, from a single scan; more: columns to carry."""
     def side(mine: str, other: str, is_home: bool) -> Column:
         return F.struct(
             F.col(f"{mine}_team_id").alias("team_id"),
@@ -26,7 +26,7 @@ def long_form(matches: DataFrame) -> DataFrame:
             F.col(f"{other}_goals").cast("long").alias("goals_against"),
         )
 
-    keys = ["match_id", "competition_id", "match_date", "kickoff_time", "is_played", "start_year"]
+    keys = list(dict.fromkeys(["match_id", "competition_id", "match_date", "kickoff_time", "is_played", "start_year", *more]))
     sides = matches.select(*keys, F.explode(F.array(side("home", "away", True), side("away", "home", False))).alias("s")).select(*keys, "s.*")
     diff = F.col("goals_for") - F.col("goals_against")
     return sides.withColumns({

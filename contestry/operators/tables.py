@@ -16,7 +16,7 @@ CLASSES = {0: "away", 1: "draw", 2: "home"}
 def league_table(matches: DataFrame, *season: str) -> DataFrame:
     """Points, goals and rank of every team of a competition (and season); teams yet to play have zeros."""
     keys = ["competition_id", *season]
-    sides = long_form(matches)
+    sides = long_form(matches, *season)
     summed = lambda c: F.coalesce(F.sum(F.when(F.col("is_played"), F.col(c))), F.lit(0)).cast("long")
     table = sides.groupBy(*keys, "team_id").agg(
         F.count_if("is_played").alias("played"), summed("points").alias("points"), summed("goals_for").alias("gf"), summed("goals_against").alias("ga")

@@ -1,10 +1,10 @@
 """All registered queries over the contest tables, with their SQL."""
 
-from contestry.plans import features, models, reports
+from contestry.plans import features, forecasts, models, reports
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for part in (features, reports, models):
+for part in (features, reports, models, forecasts):
     QUERIES.update(part.QUERIES)
     ORACLE.update(part.ORACLE)
 
