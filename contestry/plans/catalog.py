@@ -1,10 +1,10 @@
 """All registered queries over the contest tables, with their SQL."""
 
-from contestry.plans import curations, features, forecasts, models, reports
+from contestry.plans import curations, features, forecasts, learning, models, reports
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for part in (features, reports, models, forecasts, curations):
+for part in (features, reports, models, forecasts, curations, learning):
     QUERIES.update(part.QUERIES)
     ORACLE.update(part.ORACLE)
 
