@@ -36,7 +36,11 @@ for key, name in {"m1": "logreg", "m2": "logreg_balanced", "m3": "random_forest"
 
 def x2_streaming_elo(spark, sf_dir):
     """The contests as a file stream, rated in one pass and read back from the sink."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='spark-')}"
     path = f"{shared.rstrip('/')}/elo-{uuid.uuid4().hex}"
     contests(spark, sf_dir).write.parquet(f"{path}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
