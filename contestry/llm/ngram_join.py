@@ -223,10 +223,25 @@ def posting_lists(nodes: DataFrame, often) -> DataFrame:
     return met.where("lo < hi or salts is not null").select("token", "salt", "p")
 
 
+def with_centres(posts: DataFrame) -> DataFrame:
+    """posts with centre: the share of a node's first shingles that others have too.
+
+    The original of a family of copies has none of its own, so as a pivot it finds its copies, which may
+    be too far from each other.
+    """
+    shared = posts.groupBy("p.node").agg((F.count("*") / F.max(prefix_size(F.col("p.n").cast("long")))).alias("centre"))
+    return posts.withColumn("node", F.col("p.node")).join(shared, "node").select("token", "salt", "p", "centre")
+
+
 def pivot_pairs(posts: DataFrame, turn: int) -> DataFrame:
-    """Each list's nodes with its pivot, and each salted list's pivot with the shingle's pivot."""
-    lists = posts.groupBy("token", "salt").agg(F.min_by("p", F.xxhash64(F.lit(turn), "p.node")).alias("q"))
-    first = lists.groupBy("token").agg(F.min_by("q", F.xxhash64(F.lit(turn), "q.node")).alias("p"), F.count("*").alias("lists"))
+    """Each list's nodes with its pivot, and each salted list's pivot with the shingle's pivot.
+
+    Pivots are the most central nodes; later turns compare centres more coarsely and draw others among the best.
+    """
+    rank = lambda node: F.struct(F.round(F.col("centre"), 3 if turn == 0 else 1), F.xxhash64(F.lit(turn), node))
+    lists = posts.groupBy("token", "salt").agg(F.max_by(F.struct("p", "centre"), rank("p.node")).alias("best")).select("token", "salt", F.col("best.p").alias("q"), "best.centre")
+    first = lists.groupBy("token").agg(F.max_by("q", rank("q.node")).alias("p"), F.count("*").alias("lists"))
+    lists = lists.drop("centre")
     across = lists.join(first.where("lists > 1").drop("lists"), "token").select("p", "q")
     return _pairs(posts.join(lists, ["token", "salt"]).select("p", "q").union(across))
 
@@ -248,13 +263,14 @@ def open_pairs(posts: DataFrame, roots: DataFrame) -> DataFrame:
     major = shares.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("major"), F.count("*").alias("parts")).where("parts > 1")
     mixed_lists = written(placed.join(major.drop("parts"), "token"), "open")
     minor = mixed_lists.where("c <> major").select("token", F.col("p").alias("q"), F.col("c").alias("d"))
-    met = mixed_lists.join(minor, "token").where("c <> d").where("c = major or p.node < q.node")
+    # a pair that may link passes the bounds in every list, so one that fails them anywhere needs no row there
+    met = mixed_lists.join(minor, "token").where("c <> d").where("c = major or p.node < q.node").where(may_link("p", "q"))
     # each shared list gives one row, so the count is the overlap of the two prefixes
     a, b = F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")
-    counted = met.groupBy(a, b).agg(F.count("*").alias("shared"), F.bool_and(may_link("p", "q")).alias("may"), F.max("p.n").alias("x"), F.max("q.n").alias("y"), F.min("p.n").alias("x0"), F.min("q.n").alias("y0"))
+    counted = met.groupBy(a, b).agg(F.count("*").alias("shared"), F.max("p.n").alias("x"), F.max("q.n").alias("y"), F.min("p.n").alias("x0"), F.min("q.n").alias("y0"))
     na, nb = F.greatest("x", "y").cast("long"), F.least("x0", "y0").cast("long")
     beyond = F.greatest(na - prefix_size(na), nb - prefix_size(nb))
-    return counted.where("may").where(F.col("shared") + beyond >= needed(na, nb)).select("a", "b")
+    return counted.where(F.col("shared") + beyond >= needed(na, nb)).select("a", "b")
 
 
 def similarity_classes(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +284,7 @@ def similarity_classes(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, Da
     rows = written(incidence(docs, carry, spark.sparkContext.broadcast(often)), "rows")
     nodes = rows.where("n > 0").groupBy("d1", "d2").agg(F.first("n").alias("n"), F.min(carry[0]).alias("least"), F.first("tokens").alias("tokens"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    posts = written(posting_lists(nodes, often), "posts")
+    posts = written(with_centres(written(posting_lists(nodes, often), "lists")), "posts")
 
     links, tried, sets = [], [], []
     for turn in range(PIVOT_ROUNDS + 1):
