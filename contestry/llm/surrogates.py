@@ -125,10 +125,9 @@ def email_surrogate(entity: Column, bits: Column) -> Column:
 
 def card_surrogate(entity: Column, bits: Column) -> Column:
     """Drawn digits with the last one set so that the Luhn sum is 0."""
-    drawn = like_format(entity, bits)
-    short = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
-    rest = luhn_sum(F.concat(F.regexp_replace(short, r"\D", ""), F.lit("0")))
-    return F.concat(short, F.pmod(10 - rest, F.lit(10)).cast("string"))
+    short = F.substr(like_format(entity, bits), F.lit(1), F.length(entity) - 1)
+    check = lambda x: F.pmod(10 - luhn_sum(F.concat(F.regexp_replace(x, r"\D", ""), F.lit("0"))), F.lit(10))
+    return let(short, lambda x: F.concat(x, check(x).cast("string")))
 
 
 def phone_surrogate(entity: Column, bits: Column) -> Column:
@@ -149,23 +148,34 @@ def secret_surrogate(entity: Column, bits: Column) -> Column:
     return F.concat(head, F.when(entity.rlike(r"^[0-9a-f]+$"), hexes).otherwise(like_format(entity, bits)))
 
 
+def name_part(part: Column, role: Column, ending: Column, table: Column, turn: Column) -> Column:
+    """A name drawn from a table of syllables by the part's own hash."""
+    def built(bits: Column) -> Column:
+        at = lambda i: F.element_at(table, (pick(bits, i.cast("long"), 20) % F.size(table) + 1).cast("int"))
+        return F.initcap(F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2) + turn), at), ""), ending))
+
+    return let(draws(role, F.lower(part), turn), built)
+
+
 def name_surrogate(entity: Column, turn: Column) -> Column:
     """Title kept; each further part is drawn by its own hash, so that a surname alone stays the same person's."""
-    parts = F.split(entity, " ")
-    female = F.regexp_replace(parts[0], r"\.$", "").isin(TITLES_F)
-    cyrillic = F.element_at(parts, -1).rlike(r"^\p{IsCyrillic}")
+    listed = {script: F.array(*[F.lit(x) for x in syllables]) for script, syllables in SYLLABLES.items()}
+    end = lambda script, female: F.when(female, F.lit(ENDINGS[script, "f"])).otherwise(F.lit(ENDINGS[script, "m"]))
+
+    def known(parts: Column) -> Column:
+        female = F.regexp_replace(parts[0], r"\.$", "").isin(TITLES_F)
+        cyrillic = F.element_at(parts, -1).rlike(r"^\p{IsCyrillic}")
+        table = F.when(cyrillic, listed["cyrillic"]).otherwise(listed["latin"])
+        return F.struct(parts.alias("parts"), table.alias("table"), F.when(cyrillic, end("cyrillic", female)).otherwise(end("latin", female)).alias("ending"))
 
-    def drawn(part: Column, role: Column, last: Column) -> Column:
-        def built(script: str, bits: Column) -> Column:
-            table = F.array(*[F.lit(s) for s in SYLLABLES[script]])
-            chosen = F.transform(F.sequence(F.lit(0), F.lit(2) + turn), lambda i: F.element_at(table, (pick(bits, i.cast("long"), len(SYLLABLES[script])) + 1).cast("int")))
-            end = F.when(last, F.lit("")).when(female, F.lit(ENDINGS[script, "f"])).otherwise(F.lit(ENDINGS[script, "m"]))
-            return F.initcap(F.concat(F.array_join(chosen, ""), end))
-        return let(draws(role, F.lower(part), turn), lambda bits: F.when(cyrillic, built("cyrillic", bits)).otherwise(built("latin", bits)))
+    def shown(x: Column) -> Column:
+        last = F.size(x["parts"]) - 1
+        role = lambda i: F.when(i == last, "surname").otherwise("given")
+        ending = lambda i: F.when(i == last, "").otherwise(x["ending"])
+        drawn = F.transform(x["parts"], lambda p, i: F.when(i == 0, p).otherwise(name_part(p, role(i), ending(i), x["table"], turn)))
+        return F.array_join(drawn, " ")
 
-    surname = drawn(F.element_at(parts, -1), F.lit("surname"), F.lit(True))
-    given = drawn(parts[1], F.lit("given"), F.lit(False))
-    return F.when(F.size(parts) > 2, F.concat_ws(" ", parts[0], given, surname)).otherwise(F.concat_ws(" ", parts[0], surname))
+    return let(let(F.split(entity, " "), known), shown)
 
 
 def surrogate(entity: Column, kind: Column, turn: Column) -> Column:
@@ -202,7 +212,8 @@ def redrawn(entities: DataFrame, rounds: int = 12) -> DataFrame:
     settled, waiting = None, entities.withColumn("turn", F.lit(0))
     real = entities.select("kind", F.col("canon").alias("new"))
     for _ in range(rounds):
-        drawn = waiting.withColumn("new", canonical(F.col("kind"), surrogate(F.col("shown"), F.col("kind"), F.col("turn"))))
+        made = waiting.withColumn("made", surrogate(F.col("shown"), F.col("kind"), F.col("turn")))
+        drawn = made.withColumn("new", canonical(F.col("kind"), F.col("made"))).drop("made")
         drawn = drawn.join(real.withColumn("is_real", F.lit(True)), ["kind", "new"], "left")
         if settled is not None:
             taken = settled.select("kind", "new").withColumn("is_taken", F.lit(True))
