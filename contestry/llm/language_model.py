@@ -33,6 +33,8 @@ FREQUENT, CLASS_WORDS, RARE = 512, 32, 32
 LISTED = 200_000
 HIDDEN, STEPS, LANES = 16, 32, 256
 ROUNDS, RATE = 3, 0.08
+#: Documents that a scoring task holds at a time.
+CHUNK = 2_000
 #: Distinct words a counting task holds before it passes them on.
 COUNTED = 400_000
 END = ""
@@ -225,11 +227,11 @@ class Network:
         grads["E"] = (words, np.add.reduceat(dx[order], starts))
 
 
-def lanes_of(texts: list[np.ndarray], lanes: int = LANES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def lanes_of(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Documents of like length side by side: (their places, lengths, ids padded to the longest)."""
     order = np.argsort([-len(t) for t in texts], kind="stable")
-    for at in range(0, len(order), lanes):
-        places = order[at : at + lanes]
+    for at in range(0, len(order), LANES):
+        places = order[at : at + LANES]
         lengths = np.array([len(texts[i]) for i in places])
         ids = np.zeros((lengths[0], len(places)), np.int32)
         for lane, i in enumerate(places):
@@ -319,7 +321,7 @@ def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, carry: list[s
         share = np.log10(vocab.rare_n + 0.5 * (vocab.rare_v + 1))
         logs = np.log10(vocab.counts + 0.5)
         total = float(np.log10(vocab.n + 0.5 * (vocab.v + 1)))
-        for batch in batches:
+        for batch in (b.iloc[at : at + CHUNK] for b in batches for at in range(0, len(b), CHUNK)):
             texts, rows = [], []
             for text in batch["text"]:
                 words = [*tokens(text), b""]
@@ -330,7 +332,7 @@ def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, carry: list[s
                 in_class = float(logs[listed[listed >= base]].sum()) - float(share[ids[ids >= base] - base].sum())
                 others = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
                 rows.append([len(words), len(listed), float(logs[listed].sum()) - total * len(words), in_class, [{"word": w.decode("utf-8", "surrogatepass"), "times": k} for w, k in others.items()]])
-            for places, lengths, ids in lanes_of(texts, 2 * LANES):
+            for places, lengths, ids in lanes_of(texts):
                 sums = np.zeros(len(places))
                 for live, real, logp in windows(net, lengths, ids):
                     spread = np.zeros(real.shape)
