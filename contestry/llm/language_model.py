@@ -1,7 +1,8 @@
 """A gated recurrent language model that scores whole documents.
 
-Words are counted over all training documents by Spark. The FREQUENT most frequent words form classes
-of CLASS_WORDS words; all other words form RARE classes by their last letters. The output softmax is
+Words are counted over all training documents by Spark. The most frequent words form classes; there are
+at least FREQUENT of them, and their number and the size of a class grow with the distinct words. All
+other words form RARE classes by their last letters. The output softmax is
 factored: first the class given the state, then, in the classes of frequent words, the word given
 class and state; in rare classes the word's smoothed share of its class.
 
@@ -17,6 +18,7 @@ meet their counts in a shuffled join.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import most_counted, text_of, written
 
 FOLDS, HELD_OUT = 5, 1
-FREQUENT, CLASS_WORDS, RARE = 512, 32, 32
+#: Least frequent words and least words a class; frequent words by the root of the distinct words.
+FREQUENT, CLASS_WORDS, RARE = 1024, 32, 32
+ROOTS = 4
 LISTED = 200_000
 HIDDEN, STEPS, LANES = 16, 32, 256
 ROUNDS, RATE = 3, 0.08
@@ -53,6 +57,11 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % RARE
 
 
+def frequent_words(v: int) -> int:
+    """How many of v distinct words the network tells apart."""
+    return min(max(FREQUENT, ROOTS * math.isqrt(v)), LISTED)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """word, c over docs' texts; each document has one END besides its words."""
 
@@ -78,15 +87,16 @@ def _frame(counts: Counter) -> pd.DataFrame:
 class Vocabulary:
     """What all tasks know of the words: bounded by LISTED, whatever the corpus.
 
-    counts: the listed words, most frequent first; the first FREQUENT have output classes.
+    counts: the listed words, most frequent first; the first `frequent` have output classes of class_words.
     """
 
     def __init__(self, counts: dict[bytes, int], n: int, v: int, rare_n: np.ndarray, rare_v: np.ndarray):
         self.place = {w: i for i, w in enumerate(counts)}
         self.n, self.v, self.rare_n, self.rare_v = n, v, rare_n, rare_v
-        self.frequent = min(FREQUENT, len(counts))
+        self.frequent = min(frequent_words(v), len(counts))
+        self.class_words = max(CLASS_WORDS, math.isqrt(self.frequent))
         self.counts = np.array(list(counts.values()), float)
-        self.classes = -(-self.frequent // CLASS_WORDS)
+        self.classes = -(-self.frequent // self.class_words)
         self.id_at = np.array([i if i < self.frequent else self.frequent + rare_class(w) for i, w in enumerate(counts)], np.int32)
 
     def places(self, words: list[bytes]) -> np.ndarray:
@@ -114,7 +124,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     rare_n, rare_v = np.zeros(RARE), np.zeros(RARE)
     for r in by_class:
         rare_n[r.k], rare_v[r.k] = r.n, r.v
-    for w in list(listed)[:FREQUENT]:
+    for w in list(listed)[: frequent_words(v)]:
         rare_n[rare_class(w)] -= listed[w]
         rare_v[rare_class(w)] -= 1
     return Vocabulary(listed, n, v, rare_n, rare_v)
@@ -124,9 +134,9 @@ class Network:
     """The weights and the passes of one gated recurrent network with a class-factored softmax."""
 
     def __init__(self, known: Vocabulary, weights: np.ndarray | None = None):
-        self.words, self.k = known.frequent, known.classes
+        self.words, self.k, self.size = known.frequent, known.classes, known.class_words
         inputs, out = self.words + RARE + 1, self.k + RARE
-        self.shapes = {"E": (inputs, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,), "Wc": (HIDDEN, out), "bc": (out,), "Ww": (self.k, HIDDEN, CLASS_WORDS), "bw": (self.k, CLASS_WORDS)}
+        self.shapes = {"E": (inputs, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,), "Wc": (HIDDEN, out), "bc": (out,), "Ww": (self.k, HIDDEN, self.size), "bw": (self.k, self.size)}
         sizes = [int(np.prod(s)) for s in self.shapes.values()]
         self.flat = self._start(known, sum(sizes)) if weights is None else np.array(weights, np.float32)
         at = 0
@@ -141,9 +151,9 @@ class Network:
 
     def _biases(self, known: Vocabulary) -> None:
         """The untrained network is the unigram model."""
-        c = np.full(self.k * CLASS_WORDS, 0.0)
+        c = np.full(self.k * self.size, 0.0)
         c[: self.words] = known.counts[: self.words]
-        c = c.reshape(self.k, CLASS_WORDS)
+        c = c.reshape(self.k, self.size)
         self.bw[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9)), -30)
         self.bc[:] = np.log(np.concatenate([c.sum(1), known.rare_n]) + 0.5)
         self.Wc *= 0.1
@@ -172,7 +182,7 @@ class Network:
     def loss(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of the targets' classes and frequent words; and the gradient of the states."""
         frequent = targets < self.words
-        of = np.where(frequent, targets // CLASS_WORDS, self.k + targets - self.words)
+        of = np.where(frequent, targets // self.size, self.k + targets - self.words)
         logits = states @ self.Wc
         logits += self.bc
         logits -= logits.max(1, keepdims=True)
@@ -191,7 +201,7 @@ class Network:
             rows = order[ends[k] : ends[k + 1]]
             if not len(rows):
                 continue
-            s, w, at = states[rows], targets[rows] - k * CLASS_WORDS, np.arange(len(rows))
+            s, w, at = states[rows], targets[rows] - k * self.size, np.arange(len(rows))
             p = s @ self.Ww[k]
             p += self.bw[k]
             p -= p.max(1, keepdims=True)

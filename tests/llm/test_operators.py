@@ -156,6 +156,20 @@ def test_training_beats_the_start(monkeypatch):
     assert seen == 25 * sum(map(len, ids)) and total(weights) > 0.5 * total(None)
 
 
+def test_told_words_grow_with_the_vocabulary():
+    n = language_model.RARE
+    for v in (600, 5_000, 300_000):
+        words = [f"w{i}".encode() for i in range(v)]
+        known = language_model.Vocabulary({w: v - i for i, w in enumerate(words)}, v * (v + 1) // 2, v, np.ones(n), np.ones(n))
+        told = min(v, language_model.frequent_words(v))
+        assert len(set(known.ids(words[:told]).tolist())) == told >= min(v, 1024)
+        net = language_model.Network(known)
+        every = np.concatenate([np.arange(told), known.frequent + np.arange(n)])
+        logp, _ = net.loss(np.full((len(every), language_model.HIDDEN), 0.3, np.float32), every)
+        assert abs(np.exp(logp).sum() - 1) < 1e-3
+    assert language_model.frequent_words(10**6) > language_model.frequent_words(300_000) > 1024
+
+
 # 4: toxicity
 
 
