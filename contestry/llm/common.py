@@ -53,16 +53,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet into the shared folder and read it again."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Cut the lineage: write df as Parquet into the shared folder (a folder for each value of by) and read it again."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")  # its shuffle files have no more use
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

@@ -3,7 +3,8 @@
 Pass one counts rows and bytes and scatters the records by a seeded hash into buckets that fit a
 task's memory. Pass two shuffles each bucket (Spark's shuffle() is a Fisher-Yates pass over the
 array) and deals the records, in bucket order, to the shards: shard and slot follow from the
-record's place in the whole order, so shard sizes differ by one row at most (law "rows").
+record's place in the whole order, so shard sizes differ by one row at most (law "rows"). The shards
+are written as folders of the shared folder, their rows in the order of the slots.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import BROADCAST_ROWS, small, text_of, unused
+from .common import BROADCAST_ROWS, small, text_of, unused, written
 
 SHARDS = 40
 SEED = 20_240_601
@@ -70,12 +71,21 @@ def _sortable(df: DataFrame) -> bool:
     return not any("map" in kind or "variant" in kind for _, kind in df.dtypes)
 
 
+def write_shards(df: DataFrame, **how) -> DataFrame:
+    """assign_shards' rows, written in one folder a shard and read again; a large shard has several files."""
+    dealt = assign_shards(df, **how).hint("rebalance", "shard").sortWithinPartitions("shard", "slot")
+    return written(dealt, "shards", "shard")
+
+
 def shard_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document; the text stays behind."""
-    light = docs.select(
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, from the written shards."""
+    text = text_of(F.col("text"))
+    return write_shards(docs).select(
         "doc_id",
-        (F.octet_length(text_of(F.col("text"))) + 16).cast("long").alias("size"),
-        F.crc32(F.encode(text_of(F.col("text")), "UTF-8")).alias("text_crc32"),
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
-    dealt = assign_shards(light, size=F.col("size"))
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

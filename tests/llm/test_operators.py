@@ -1,5 +1,6 @@
 """Each corpus operator on small tables: nulls, empty and long texts, ties, repeated rows, clashing columns."""
 
+import glob
 import hashlib
 import itertools
 import math
@@ -291,6 +292,21 @@ def test_shards_are_even_gapless_and_shuffled(spark):
     assert abs(np.corrcoef(ids, range(1003))[0, 1]) < 0.2
 
 
+def test_whole_documents_are_written_to_shards(spark):
+    texts = ["wörd " * 200_000, None, "", *["same"] * 300, *(prose(i, 30) for i in range(200))]
+    docs = make(spark, texts, ids=[0 if t == "same" else i for i, t in enumerate(texts)])
+    folders = lambda: set(glob.glob(f"{common.shared_dir(spark)}/shards-*".removeprefix("file://").removeprefix("file:")))
+    before = folders()
+    out = sharding.shard_digest(docs).collect()
+    (made,) = folders() - before
+    assert len(glob.glob(f"{made}/shard=*")) == sharding.SHARDS
+    files = {(r.shard, r.slot): r for r in spark.read.parquet(f"file://{made}").collect()}
+    assert Counter(r.text for r in files.values()) == Counter(texts) and len(files) == len(out) == len(texts)
+    for r in out:
+        data = (files[r.shard, r.slot].text or "").encode()
+        assert (r.doc_id, r.size, r.text_crc32) == (files[r.shard, r.slot].doc_id, len(data) + 16, zlib.crc32(data))
+
+
 # 8: decontamination
 
 
