@@ -1,6 +1,8 @@
 """Scalar rules, curation rules and gates on small tables."""
 
 import datetime as dt
+import hashlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,10 @@ from contestry.functions import scalars as s
 from contestry.operators import curation as c
 from contestry.operators import evaluate as e
 from contestry.operators import tables as t
+from contestry.plans import forecasts
+from contestry.plans.models import frozen
 from contestry.sources import raw
+from contestry.sources.contests import contests
 
 
 def one(spark, expr, value, kind="string"):
@@ -129,3 +134,34 @@ def test_gate_fails_with_the_checks_names(spark):
     found = spark.createDataFrame([("sum", 2), ("class", 0)], "check string, rows long")
     with pytest.raises(ValueError, match=r"predictions: sum \(2\)"):
         c.fail_on(found, "predictions")
+
+
+def test_live_outlook_equals_brute_force_of_20_000_seasons(spark):
+    m = contests(spark, "/root/testdata/sf0.001")
+    table = t.league_table(m.where("start_year = 2000")).select("competition_id", "team_id", "points", "gd", "gf").collect()
+    rest = frozen(m).where("not is_played").collect()
+    firsts, sims = Counter(), 20_000
+    for sim in range(1, sims + 1):
+        final = {(r.competition_id, r.team_id): r.points for r in table}
+        for r in rest:
+            u = (int(hashlib.md5(f"202627|{sim}|{r.match_id}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            every = r.p_away + r.p_draw + r.p_home
+            home, away = (0, 3) if u < r.p_away / every else (1, 1) if u < (r.p_away + r.p_draw) / every else (3, 0)
+            for team, won in ((r.home_team_id, home), (r.away_team_id, away)):
+                if (r.competition_id, team) in final:
+                    final[r.competition_id, team] += won
+        best = {}
+        for r in table:
+            key = (-final[r.competition_id, r.team_id], -r.gd, -r.gf, r.team_id)
+            best[r.competition_id] = min(best.get(r.competition_id, key), key)
+        firsts.update((c, key[3]) for c, key in best.items())
+    found = forecasts.QUERIES["m20_live_outlook"](spark, "/root/testdata/sf0.001").collect()
+    assert rest and len(found) == len(table)
+    for r in found:
+        assert abs(r.title_prob - firsts[r.competition_id, r.team_id] / sims) < 2e-6
+
+
+def test_backtest_takes_the_checkpoints_of_the_reference(spark, monkeypatch):
+    monkeypatch.setattr(forecasts, "SIMS", 20)
+    found = forecasts.QUERIES["a20_by_checkpoint"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.checkpoint: r.n for r in found} == {5: 10, 10: 3, 15: 1}
