@@ -1,187 +1,292 @@
 """Exact n-gram Jaccard join and its components.
 
 The documents and their distinct 5-word shingles form a sparse incidence matrix; two documents link
-where their rows' overlap reaches THRESHOLD of their union.
-
-1. Documents with equal rows become one node (so copies never meet in pairs).
-2. Rows are ordered by one global order, frequent shingles last. Only the first shingles of each row,
-   as many as a partner must share at least one of, enter the postings; a pair is kept only if its
-   sizes and the two positions still allow the overlap that the threshold asks for.
-3. Components need no list of all pairs. Each posting list is first compared with one of its own
-   nodes, its pivot, for a few rounds with other pivots; then all pairs that lie in one list but still
-   in different components are compared. No link between components is lost.
-4. Pairs are verified by a blocked sparse product: a block holds the rows of one node's partners, and
-   their overlap counts accumulate from the concatenated shingles that the node has too.
-5. Links merge by alternating large-star and small-star steps.
-
-Postings of frequent shingles are salted, so that no list in a task has more than about LIST_ROWS
-nodes; lists of one shingle meet through their pivots. No table of documents, links or components
-reaches the driver.
+where their rows' overlap reaches THRESHOLD of their union. Everything is a blocked product of that
+matrix with itself, each step on what the size bounds of the one before leave:
+
+1. Peeling. Blocks of rows send their shingles to blocks of columns (ranges of the shingle hash), which
+   count the rows of every shingle and send the shared ones back. A row whose shared shingles are
+   fewer than PERCENT of it can't link with anything and is dropped. Rows alike become one node, and
+   the nodes are peeled once more, now ordered by their shingles' counts, rare ones first.
+2. Of each node the first shared shingles, as many as a partner must share at least one of, are posted.
+   Each posting list is compared with its most central node, its pivot.
+3. The links found so far make components. In lists that still hold several of them, blocks of rows
+   meet: bounds from sizes, shared sizes and positions tell which nodes may link across components,
+   and only for those are whole rows brought to the block, where a sparse product accumulates the
+   overlap counts of all pairs. Only links leave the block, one for two components.
+4. Links merge by alternating large-star and small-star steps.
+
+No pair is listed before its bounds hold, no link between components is lost, and long lists are dealt
+to several blocks. No table of documents, links or components reaches the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
-from xxhash import xxh3_64_intdigest
+from pyspark.sql import types as T
 
-from .common import most_counted, small, unused, written
+from .common import small, unused, written
+from .shingles import Sets, shingle_sets, slices
 
 WORDS = 5
 #: Overlap of at least PERCENT hundredths of the union.
 PERCENT = 80
-#: Share of a row, by hash order, whose shingles are counted to find the frequent ones.
-COUNTED = 0.25
-#: Shingles in at least FREQUENT rows are ordered last, by their count; the list keeps the most frequent.
-FREQUENT = 24
-FREQUENT_LIST = 200_000
-LIST_ROWS = 4_000
-PIVOT_ROUNDS = 2
+#: Shingles of a block of rows (one document at least), and of a block of columns (about).
+ROW_BLOCK = 1_000_000
+COLUMN_BLOCK = 4_000_000
+#: Documents in a block of rows at most; the last 16-bit number marks a shingle of many of its rows.
+BLOCK_DOCS, MANY = 30_000, 65_535
+#: A shingle of more rows of one block than this goes to its block of columns once, with their number.
+OFTEN = 4
+#: Shingles of the rows that meet in a block of one posting list (about).
+LIST_BLOCK = 2_000_000
+#: Pairs whose bounds are computed at a time; bytes of rows in one group of blocks (about).
+PAIRS, GROUP_BYTES = 2_000_000, 16 << 20
 #: Most candidate rows whose keys a join may broadcast (16 bytes each).
 KEYS = 1_000_000
-#: Documents whose shingles a worker holds at a time.
-CHUNK = 500
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of 64-bit values."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+def prefix_length(n, percent: int = PERCENT):
+    """A partner shares at least one of this many first shingles: n less ceil(percent n / 100), and one."""
+    return n - -(-percent * n // 100) + 1
 
 
-class Shingler:
-    """Texts to sorted arrays of distinct shingle hashes."""
+def needed(a: F.Column, b: F.Column, percent: int = PERCENT) -> F.Column:
+    """Least overlap of rows of a and b shingles: 100 o >= percent (a + b - o)."""
+    return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
 
-    def __init__(self, words: int = WORDS):
-        self.words = words
-        self.odd = [mixed(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(words)]
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
-            return np.empty(0, np.uint64)
-        w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-        k = min(self.words, len(w))
-        n = len(w) - k + 1
-        out = w[:n] * self.odd[0]
-        for i in range(1, k):
-            out += w[i : i + n] * self.odd[i]
-        out += np.uint64(k)
-        out = mixed(out)
-        out.sort()
-        return out[np.concatenate([[True], out[1:] != out[:-1]])]
+def digests(sets: Sets) -> np.ndarray:
+    """128 bits of every row, as two columns of 64."""
+    data, at = memoryview(sets.tokens.view(np.uint8)), (sets.offsets * 8).tolist()
+    found = b"".join(hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(at, at[1:]))
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
-def prefix_length(n: int, percent: int = PERCENT) -> int:
-    """A partner shares at least one of this many first shingles: n less ceil(percent n / 100), and one."""
-    return n - -(-percent * n // 100) + 1
+def binary(parts: list[np.ndarray]) -> pa.Array:
+    return pa.array([p.tobytes() for p in parts], pa.binary())
 
 
-def prefix_size(n: F.Column, percent: int = PERCENT) -> F.Column:
-    """prefix_length of a column."""
-    return n - F.ceil(n * percent / F.lit(100.0) - 1e-9) + 1
+def joined(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays in a binary column, one after the other, and their lengths; a null is empty."""
+    values = [v or b"" for v in column.to_pylist()]
+    return np.frombuffer(b"".join(values), kind), np.array([len(v) // np.dtype(kind).itemsize for v in values], np.int64)
 
 
-def needed(a: F.Column, b: F.Column, percent: int = PERCENT) -> F.Column:
-    """Least overlap of rows of a and b shingles: 100 o >= percent (a + b - o)."""
-    return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
+def sizes_and_digests(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """carry's columns, the number n of a row's shingles, and its digest (d1, d2); n is 0 without words."""
+    schema = T.StructType([*(docs.schema[c] for c in carry), *T._parse_datatype_string("n int, d1 long, d2 long").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            for a, b in slices(text):
+                sets = shingle_sets(text.slice(a, b - a))
+                d = digests(sets)
+                kept = [batch.column(batch.schema.get_field_index(c)).slice(a, b - a) for c in carry]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(sets.sizes, pa.int32()), pa.array(d[:, 0]), pa.array(d[:, 1])], [*carry, "n", "d1", "d2"])
+
+    return docs.select(*carry, "text").mapInArrow(run, schema)
 
 
-def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for at in range(0, len(batch), CHUNK):
-            yield batch.iloc[at : at + CHUNK]
+Rows = Callable[[pa.RecordBatch], Iterator[tuple[Sets, np.ndarray, np.ndarray]]]
 
 
-def frequent_shingles(docs: DataFrame) -> dict[int, int]:
-    """The most frequent shingles and the number of rows with them, at most FREQUENT_LIST: an order, not a filter."""
+def text_rows(batch: pa.RecordBatch) -> Iterator[tuple[Sets, np.ndarray, np.ndarray]]:
+    """(rows, their numbers of shingles, their digests) of texts."""
+    for a, b in slices(batch.column(0)):
+        sets = shingle_sets(batch.column(0).slice(a, b - a))
+        yield sets, sets.sizes, digests(sets)
 
-    def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = Shingler()
-        for texts in chunks(batches):
-            found = [(x := rows(text))[: int(len(x) * COUNTED) + 1] for text in texts["text"]]
-            yield pd.DataFrame({"token": np.concatenate(found).view(np.int64)})
 
-    counts = docs.select("text").mapInPandas(smallest, "token long").groupBy("token").agg(F.count("*").alias("n"))
-    top = most_counted(written(counts.where(F.col("n") >= FREQUENT), "frequent"), "n", FREQUENT_LIST).toPandas()
-    return dict(zip(top["token"].tolist(), top["n"].tolist()))
+def node_rows(batch: pa.RecordBatch) -> Iterator[tuple[Sets, np.ndarray, np.ndarray]]:
+    """The same of nodes: columns n, id1, id2, tokens (sorted)."""
+    tokens, sizes = joined(batch.column(3), np.uint64)
+    ids = np.stack([batch.column(i).to_numpy() for i in (1, 2)], 1)
+    yield Sets(tokens, np.concatenate([[0], np.cumsum(sizes)])), batch.column(0).to_numpy(), ids
 
 
-ROWS = "n int, d1 long, d2 long, tokens array<long>"
+SENT = "col int, base long, tok binary, idx binary, times binary, n binary, ids binary, many_tok binary, many_len binary, many_idx binary"
+BACK = "base long, tok binary, idx binary, df binary, n binary, ids binary, many_tok binary, many_len binary, many_idx binary"
+PEELED = "n int, id1 long, id2 long, tokens binary, centre double"
 
 
-def incidence(docs: DataFrame, carry: list[str], order=None) -> DataFrame:
-    """carry's columns, n, the digest (d1, d2) of each row, and its first shingles in the global order.
+def row_blocks(rows: Rows, columns: int) -> Callable:
+    """A function of Arrow batches -> SENT: each block of rows as pieces for the blocks of columns.
 
-    order: a broadcast of frequent_shingles; without it, tokens are the whole row, sorted.
+    base names the block. idx has a shingle's row in the block, or MANY where OFTEN rows of the block
+    have it; those rows stay in the block's own piece (n, ids, many_...), which waits for the answers.
     """
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry), ROWS])
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingler()
-        if order is not None:
-            often = order.value
-            common = np.sort(np.array(list(often), np.int64).view(np.uint64))
-        for batch in chunks(batches):
-            out = []
-            for text in batch["text"]:
-                x = shingles(text)
-                digest = np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64)
-                first = x
-                if order is not None and len(x):
-                    first = x[: (size := prefix_length(len(x)))]
-                    if len(common):
-                        at = np.searchsorted(common, x)
-                        is_common = common[np.minimum(at, len(common) - 1)] == x
-                        rare = x[~is_common][:size]
-                        late = sorted(x[is_common].view(np.int64).tolist(), key=lambda t: (often[t], t))[: size - len(rare)]
-                        first = np.concatenate([rare, np.array(late, np.int64).view(np.uint64)])
-                out.append((len(x), int(digest[0]), int(digest[1]), first.view(np.int64)))
-            made = pd.DataFrame(out, columns=["n", "d1", "d2", "tokens"])
-            yield pd.concat([batch[carry].reset_index(drop=True), made], axis=1)
-
-    return docs.select(*carry, "text").mapInPandas(rows, schema)
-
-
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b and their overlap, for pairs a, b of nodes; sets: node, tokens (whole sorted rows)."""
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-
-    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, task = 0, TaskContext.get().partitionId() << 32
         for batch in batches:
-            counts = np.zeros(len(batch), np.int64)
-            for _, block in batch.groupby("a", sort=False).indices.items():
-                row = np.asarray(batch["ta"].iloc[block[0]])
-                partners = [np.asarray(batch["tb"].iloc[i]) for i in block]
-                starts = np.cumsum([0, *map(len, partners)])[:-1]
-                grams = np.concatenate(partners)
-                at = np.minimum(np.searchsorted(row.view(np.uint64), grams.view(np.uint64)), len(row) - 1)
-                counts[block] = np.add.reduceat((row[at] == grams).astype(np.int64), starts)
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "na": batch["ta"].map(len), "nb": batch["tb"].map(len), "overlap": counts})
+            for sets, n, ids in rows(batch):
+                at = 0
+                while at < len(n):
+                    stop = int(np.searchsorted(sets.offsets, sets.offsets[at] + ROW_BLOCK, side="right")) - 1
+                    stop = min(max(stop, at + 1), at + BLOCK_DOCS)
+                    yield _sent(sets.part(at, stop), n[at:stop], ids[at:stop], task + made, columns)
+                    made, at = made + 1, stop
+
+    return run
+
+
+def _sent(sets: Sets, n: np.ndarray, ids: np.ndarray, base: int, columns: int) -> pa.RecordBatch:
+    tok, idx = sets.tokens, np.repeat(np.arange(len(n), dtype=np.uint16), sets.sizes)
+    ordered = np.sort(tok)
+    often = ordered[OFTEN:][ordered[OFTEN:] == ordered[:-OFTEN]] if len(ordered) > OFTEN else ordered[:0]
+    many_tok, many_len, many_idx = np.unique(often), np.empty(0, np.int32), idx[:0]
+    times = np.empty(0, np.int32)
+    if len(many_tok):
+        place = np.minimum(np.searchsorted(many_tok, tok), len(many_tok) - 1)
+        has = many_tok[place] == tok
+        order = np.argsort(place[has], kind="stable")
+        many_idx, many_len = idx[has][order], np.bincount(place[has], minlength=len(many_tok)).astype(np.int32)
+        tok, idx = np.concatenate([tok[~has], many_tok]), np.concatenate([idx[~has], np.full(len(many_tok), MANY, np.uint16)])
+        times = many_len
+    col = (((tok >> np.uint64(32)) * np.uint64(columns)) >> np.uint64(32)).astype(np.uint16 if columns < MANY else np.int64)
+    order = np.argsort(col, kind="stable")
+    tok, idx, col = tok[order], idx[order], col[order]
+    cuts = np.concatenate([[0], np.flatnonzero(col[1:] != col[:-1]) + 1, [len(col)]]) if len(col) else np.array([0])
+    pieces = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    weights = np.ones(len(idx), np.int32)
+    weights[idx == MANY] = times[np.searchsorted(many_tok, tok[idx == MANY])] if len(many_tok) else 1
+    none = [None] * len(pieces)
+    own = [n.astype(np.int32).tobytes(), np.ascontiguousarray(ids).tobytes(), many_tok.tobytes(), many_len.tobytes(), many_idx.tobytes()]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([*(int(col[a]) for a, _ in pieces), base % columns], pa.int32()),
+            pa.array([base] * (len(pieces) + 1), pa.int64()),
+            pa.array([*(tok[a:b].tobytes() for a, b in pieces), None], pa.binary()),
+            pa.array([*(idx[a:b].tobytes() for a, b in pieces), None], pa.binary()),
+            pa.array([*(weights[a:b][idx[a:b] == MANY].tobytes() for a, b in pieces), None], pa.binary()),
+            *(pa.array([*none, x], pa.binary()) for x in own),
+        ],
+        [f.split()[0] for f in SENT.split(", ")],
+    )
+
+
+def counted(table: pa.Table) -> pa.Table:
+    """A block of columns: SENT -> BACK, with the shingles of two rows at least and the number df of their rows."""
+    tok, sizes = joined(table["tok"], np.uint64)
+    idx, _ = joined(table["idx"], np.uint16)
+    weights = np.ones(len(tok), np.int64)
+    weights[idx == MANY] = joined(table["times"], np.int32)[0]
+    order = np.argsort(tok, kind="stable")
+    ordered = tok[order]
+    fresh = np.ones(len(tok), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    run = np.cumsum(fresh) - 1
+    df = np.empty(len(tok), np.int32)
+    df[order] = np.minimum(np.bincount(run, weights[order]), 2**31 - 1)[run] if len(tok) else 0
+    shared, at = df > 1, np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    cut = [(a, b, shared[a:b]) for a, b in zip(at, at[1:])]
+    found = [binary([x[a:b][s] for a, b, s in cut]) for x in (tok, idx, df)]
+    return pa.table([table["base"], *found, *(table[c] for c in ("n", "ids", "many_tok", "many_len", "many_idx"))], [f.split()[0] for f in BACK.split(", ")])
+
+
+def restored(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """A block of rows, BACK -> PEELED: the rows that can link, each with its shared shingles, rare ones first.
+
+    centre grows with the number of rows that a row's shingles are found in.
+    """
 
-    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInPandas(product, "a long, b long, na long, nb long, overlap long")
+    def run(table: pa.Table) -> pa.Table:
+        (n, _), (ids, _) = joined(table["n"], np.int32), joined(table["ids"], np.int64)
+        (tok, _), (idx, _), (df, _) = joined(table["tok"], np.uint64), joined(table["idx"], np.uint16), joined(table["df"], np.int32)
+        (many_tok, _), (many_len, _), (many_idx, _) = joined(table["many_tok"], np.uint64), joined(table["many_len"], np.int32), joined(table["many_idx"], np.uint16)
+        many = idx == MANY
+        if many.any():
+            place = np.searchsorted(many_tok, tok[many])
+            count = np.empty(len(many_tok), np.int32)
+            count[place] = df[many]
+            tok = np.concatenate([tok[~many], np.repeat(many_tok, many_len)])
+            idx, df = np.concatenate([idx[~many], many_idx]), np.concatenate([df[~many], np.repeat(count, many_len)])
+        m = np.bincount(idx, minlength=len(n))
+        kept = np.flatnonzero((n > 0) & (100 * m >= percent * n.astype(np.int64)))
+        mine = np.isin(idx, kept)
+        tok, idx, df = tok[mine], idx[mine], df[mine]
+        order = np.lexsort((tok, df, idx))
+        tok, idx, df = tok[order], idx[order], df[order]
+        ends = np.searchsorted(idx, kept, side="right").tolist()
+        starts = np.searchsorted(idx, kept, side="left").tolist()
+        centre = np.bincount(idx, np.log2(df), len(n))[kept] / n[kept] if len(kept) else np.empty(0)
+        ids = ids.reshape(-1, 2)[kept]
+        rows = [pa.array(n[kept], pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), binary([tok[a:b] for a, b in zip(starts, ends)]), pa.array(centre, pa.float64())]
+        return pa.table(rows, [f.split()[0] for f in PEELED.split(", ")])
+
+    return run
+
+
+def peeled(df: DataFrame, rows: Rows, volume: int, percent: int = PERCENT) -> DataFrame:
+    """PEELED of the rows of df; volume: about how many shingles they have."""
+    columns = max(df.sparkSession.sparkContext.defaultParallelism * 2, -(-volume // COLUMN_BLOCK))
+    sent = df.mapInArrow(row_blocks(rows, columns), SENT)
+    return sent.groupBy("col").applyInArrow(counted, BACK).groupBy("base").applyInArrow(restored(percent), PEELED)
+
+
+POSTED = "token long, p struct<node:long,n:int,m:int,pos:int>, centre double"
+
+
+def postings(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """token, p, centre: the shared shingles of each node's prefix; nodes: node, n, tokens (PEELED), centre.
+
+    Shingles that no other node has come first in a prefix and needn't be posted; pos counts them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n, centre = (batch.column(i).to_numpy() for i in (0, 1, 3))
+            tokens, m = joined(batch.column(2), np.int64)
+            own = n - m
+            k = np.maximum(prefix_length(n.astype(np.int64), percent) - own, 0)
+            row = np.repeat(np.arange(len(n)), k)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
+            p = [pa.array(node[row]), pa.array(n[row], pa.int32()), pa.array(m[row], pa.int32()), pa.array(own[row] + step, pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[(np.cumsum(m) - m)[row] + step]), pa.StructArray.from_arrays(p, ["node", "n", "m", "pos"]), pa.array(centre[row])], ["token", "p", "centre"])
 
+    return nodes.select("node", "n", "tokens", "centre").mapInArrow(run, POSTED)
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    o = F.col("overlap")
-    return overlaps(pairs, sets).where(o * 100 >= (F.col("na") + F.col("nb") - o) * percent).select("a", "b")
 
+def pivot_pairs(posts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: each posting list's nodes with its most central one, where their sizes allow a link."""
+    lists = posts.groupBy("token").agg(F.max_by("p", F.struct("centre", "p.node")).alias("q"), F.count("*").alias("k")).where("k > 1")
+    met = posts.join(lists, "token").where("p.node <> q.node")
+    met = met.where(F.least("p.m", "q.m") >= needed(F.col("p.n").cast("long"), F.col("q.n").cast("long"), percent))
+    return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
-def may_link(a: str, b: str, percent: int = PERCENT) -> F.Column:
-    """Size bound and position bound of two postings (structs n, pos) of one shingle; pos counts from 0."""
-    na, nb = F.col(f"{a}.n").cast("long"), F.col(f"{b}.n").cast("long")
-    rest = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    before = F.least(F.col(f"{a}.pos"), F.col(f"{b}.pos"))
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (rest + before >= needed(na, nb, percent))
+
+def overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b, na, nb and their overlap, for pairs a, b of nodes (node, n, tokens)."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ta, ka = joined(batch.column(4), np.uint64)
+            tb, kb = joined(batch.column(5), np.uint64)
+            pair = np.concatenate([np.repeat(np.arange(len(ka)), ka), np.repeat(np.arange(len(kb)), kb)])
+            tokens = np.concatenate([ta, tb])
+            order = np.lexsort((tokens, pair))
+            tokens, pair = tokens[order], pair[order]
+            both = (tokens[1:] == tokens[:-1]) & (pair[1:] == pair[:-1])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(np.bincount(pair[1:][both], minlength=len(ka)), pa.int64())], ["a", "b", "na", "nb", "overlap"])
+
+    rows = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ta", "tb")
+    return rows.mapInArrow(product, "a long, b long, na int, nb int, overlap long")
+
+
+def linked(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    o = F.col("overlap")
+    return overlaps(pairs, nodes).where(o * 100 >= (F.col("na") + F.col("nb") - o) * percent).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -207,125 +312,151 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", F.col("v")).distinct())
 
 
-def posting_lists(nodes: DataFrame, often) -> DataFrame:
-    """token, salt, p (node, n, pos): the postings of shingles that several nodes have.
-
-    Lists known to be long are dealt to salts; those keep lists of one node, as their pivots meet later.
-    """
-    posts = nodes.select(F.struct("node", "n").alias("x"), F.posexplode("tokens").alias("pos", "token"))
-    posts = posts.select("token", F.struct("x.node", "x.n", "pos").alias("p"))
-    long_lists = {t: -(-n // LIST_ROWS) for t, n in often.items() if n > LIST_ROWS}
-    spread = posts.sparkSession.createDataFrame(list(long_lists.items()), "token long, salts int")
-    posts = posts.join(F.broadcast(spread), "token", "left") if long_lists else posts.withColumn("salts", F.lit(None).cast("int"))
-    posts = posts.withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("p.node"), F.col("salts"))).otherwise(0).cast("int"))
-    w = W.partitionBy("token", "salt")
-    met = posts.withColumns({"lo": F.min("p.node").over(w), "hi": F.max("p.node").over(w)})
-    return met.where("lo < hi or salts is not null").select("token", "salt", "p")
-
-
-def with_centres(posts: DataFrame) -> DataFrame:
-    """posts with centre: the share of a node's first shingles that others have too.
-
-    The original of a family of copies has none of its own, so as a pivot it finds its copies, which may
-    be too far from each other.
-    """
-    shared = posts.groupBy("p.node").agg((F.count("*") / F.max(prefix_size(F.col("p.n").cast("long")))).alias("centre"))
-    return posts.withColumn("node", F.col("p.node")).join(shared, "node").select("token", "salt", "p", "centre")
-
-
-def pivot_pairs(posts: DataFrame, turn: int) -> DataFrame:
-    """Each list's nodes with its pivot, and each salted list's pivot with the shingle's pivot.
-
-    Pivots are the most central nodes; later turns compare centres more coarsely and draw others among the best.
-    """
-    rank = lambda node: F.struct(F.round(F.col("centre"), 3 if turn == 0 else 1), F.xxhash64(F.lit(turn), node))
-    lists = posts.groupBy("token", "salt").agg(F.max_by(F.struct("p", "centre"), rank("p.node")).alias("best")).select("token", "salt", F.col("best.p").alias("q"), "best.centre")
-    first = lists.groupBy("token").agg(F.max_by("q", rank("q.node")).alias("p"), F.count("*").alias("lists"))
-    lists = lists.drop("centre")
-    across = lists.join(first.where("lists > 1").drop("lists"), "token").select("p", "q")
-    return _pairs(posts.join(lists, ["token", "salt"]).select("p", "q").union(across))
+ENTRY = "token long, block int, node long, c long, n int, m int, pos int, query boolean, member boolean"
 
 
-def _pairs(met: DataFrame, *more: str) -> DataFrame:
-    met = met.where(F.col("p.node") != F.col("q.node")).where(may_link("p", "q"))
-    return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"), *more).distinct()
+def mixed_blocks(posts: DataFrame, roots: DataFrame, list_block: int) -> DataFrame:
+    """ENTRY: the postings of lists that hold several components, dealt to blocks of about list_block shingles.
 
-
-def open_pairs(posts: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs that share a list's shingle and lie in different components: minor components against the whole list.
-
-    Overlaps of the prefixes accumulate over the lists; pairs are discarded where these and all that lies
-    beyond the prefixes can't reach the overlap that their sizes ask for.
+    A member belongs to one block of its list. Queries, the nodes outside the list's largest component,
+    visit all its blocks, so that any two nodes of different components meet in a block.
     """
-    placed = posts.select("token", "p").join(roots.select(F.col("node").alias("p_node"), "root"), F.col("p.node") == F.col("p_node"), "left")
-    placed = placed.select("token", "p", F.coalesce("root", "p.node").alias("c"))
-    shares = placed.groupBy("token", "c").agg(F.count("*").alias("k"))
-    major = shares.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("major"), F.count("*").alias("parts")).where("parts > 1")
-    mixed_lists = written(placed.join(major.drop("parts"), "token"), "open")
-    minor = mixed_lists.where("c <> major").select("token", F.col("p").alias("q"), F.col("c").alias("d"))
-    # a pair that may link passes the bounds in every list, so one that fails them anywhere needs no row there
-    met = mixed_lists.join(minor, "token").where("c <> d").where("c = major or p.node < q.node").where(may_link("p", "q"))
-    # each shared list gives one row, so the count is the overlap of the two prefixes
-    a, b = F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")
-    counted = met.groupBy(a, b).agg(F.count("*").alias("shared"), F.max("p.n").alias("x"), F.max("q.n").alias("y"), F.min("p.n").alias("x0"), F.min("q.n").alias("y0"))
-    na, nb = F.greatest("x", "y").cast("long"), F.least("x0", "y0").cast("long")
-    beyond = F.greatest(na - prefix_size(na), nb - prefix_size(nb))
-    return counted.where(F.col("shared") + beyond >= needed(na, nb)).select("a", "b")
-
-
-def similarity_classes(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): carry's columns with n, node (null without words); node, least (first carried column), root.
-
-    docs needs text; carry[0] orders the members of a class. Null and empty texts have no shingles and
-    link with nothing; rows with equal shingles share a node; an empty table gives empty tables.
+    at = posts.select("token", "p.*").join(roots, "node", "left").select("token", "node", "n", "m", "pos", F.coalesce("root", "node").alias("c"))
+    at = written(at, "placed")
+    shares = at.groupBy("token", "c").agg(F.count("*").alias("k"), F.sum("m").alias("volume"))
+    lists = shares.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("major"), F.count("*").alias("parts"), F.sum("volume").alias("volume")).where("parts > 1")
+    lists = lists.select("token", "major", F.ceil(F.col("volume") / list_block).cast("int").alias("blocks"))
+    entries = at.join(lists, "token").withColumns({"query": F.col("c") != F.col("major"), "home": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")})
+    visits = F.when(F.col("query"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home"))
+    dealt = entries.withColumn("block", F.explode(visits)).withColumn("member", F.col("block") == F.col("home"))
+    return dealt.select(*[f.split()[0] for f in ENTRY.split(", ")])
+
+
+def _blocks(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """The columns in the order of their blocks, and where each block begins and ends."""
+    block, token = table["block"].to_numpy(), table["token"].to_numpy()
+    order = np.lexsort((block, token))
+    cols = {c: table[c].to_numpy(zero_copy_only=False)[order] for c in table.column_names if c != "tokens"}
+    fresh = np.flatnonzero((cols["token"][1:] != cols["token"][:-1]) | (cols["block"][1:] != cols["block"][:-1])) + 1
+    cols["order"] = order
+    return cols, np.concatenate([[0], fresh]), np.concatenate([fresh, [len(order)]])
+
+
+def may_meet(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a group of blocks (ENTRY) the entries that some entry of another component may link with, by the bounds."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, starts, ends = _blocks(table)
+        block = np.repeat(np.arange(len(starts)), ends - starts)
+        left = np.flatnonzero(x["query"])
+        room = (ends - starts)[block[left]]
+        may = np.zeros(table.num_rows, bool)
+        at, sums = 0, np.cumsum(room)
+        while at < len(left):
+            stop = max(int(np.searchsorted(sums, (sums[at - 1] if at else 0) + PAIRS, side="right")), at + 1)
+            i, k = np.repeat(left[at:stop], room[at:stop]), room[at:stop]
+            j = starts[block[i]] + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+            i, j = i[ok := x["member"][j] & (x["c"][i] != x["c"][j])], j[ok]
+            ni, nj = x["n"][i].astype(np.int64), x["n"][j].astype(np.int64)
+            need = -(-percent * (ni + nj) // (100 + percent))
+            before = np.minimum(x["pos"][i] - (ni - x["m"][i]), x["pos"][j] - (nj - x["m"][j]))
+            ok = (np.minimum(x["m"][i], x["m"][j]) >= need) & (np.minimum(ni - x["pos"][i], nj - x["pos"][j]) + before >= need)
+            may[i[ok]] = may[j[ok]] = True
+            at = stop
+        return table.take(pa.array(x["order"][may]))
+
+    return run
+
+
+def block_product(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links a, b across components in a group of blocks: ENTRY and tokens; one link for two components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, starts, ends = _blocks(table)
+        rows = [np.frombuffer(v, np.uint64) for v in table["tokens"].to_pylist()]
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            here = np.arange(start, end)
+            members, queries = here[x["member"][start:end]], here[x["query"][start:end]]
+            if not len(members):
+                continue
+            parts = [rows[i] for i in x["order"][members]]
+            grams = np.concatenate(parts)
+            owner = np.repeat(np.arange(len(members)), list(map(len, parts)))
+            order = np.argsort(grams, kind="stable")
+            grams, owner = grams[order], owner[order]
+            n, c, node = x["n"][members].astype(np.int64), x["c"][members], x["node"][members]
+            for q in queries.tolist():
+                row = rows[x["order"][q]]
+                lo, hi = np.searchsorted(grams, row, "left"), np.searchsorted(grams, row, "right")
+                k = hi - lo
+                hits = np.repeat(lo - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+                o = np.bincount(owner[hits], minlength=len(members))
+                for i in np.flatnonzero((100 * o >= percent * (n + int(x["n"][q]) - o)) & (c != x["c"][q])).tolist():
+                    pair = sorted((int(c[i]), int(x["c"][q])))
+                    found.setdefault((pair[0], pair[1]), (int(node[i]), int(x["node"][q])))
+        a, b = zip(*found.values()) if found else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _grouped(blocks: DataFrame, volume: F.Column, most: int) -> DataFrame:
+    """blocks with g: groups of whole blocks with about `most` of volume."""
+    total = blocks.agg(F.coalesce(F.sum(volume), F.lit(0))).first()[0]
+    groups = max(blocks.sparkSession.sparkContext.defaultParallelism * 2, -(-total // most))
+    return blocks.withColumn("g", F.pmod(F.xxhash64("token", "block"), F.lit(groups)))
+
+
+def cross_links(posts: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: for any two components with links between them, some of those links. roots: node, root."""
+    entries = written(mixed_blocks(posts, roots, LIST_BLOCK), "mixed")
+    met = _grouped(entries, F.lit(1), 50_000).groupBy("g").applyInArrow(lambda t: may_meet(percent)(t.drop_columns(["g"])), ENTRY)
+    met = written(met, "met")
+    whole = _grouped(met, F.col("m") * 8, GROUP_BYTES).join(nodes.select("node", "tokens"), "node")
+    return whole.groupBy("g").applyInArrow(block_product(percent), "a long, b long")
+
+
+def similarity_classes(docs: DataFrame, carry: list[str], percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): carry's columns with n, d1, d2; and of every digest d1, d2: least (first carried column), r1, r2.
+
+    Digests with one r1, r2 are a component; a digest that links with no other has its own. docs needs
+    text; carry[0] orders the members of a class. Null and empty texts have no shingles and are in no
+    class; rows with equal shingles share a digest; a very long text is a block of rows of its own; an
+    empty table gives empty tables.
     """
-    spark = docs.sparkSession
-    often = frequent_shingles(docs)
-    rows = written(incidence(docs, carry, spark.sparkContext.broadcast(often)), "rows")
-    nodes = rows.where("n > 0").groupBy("d1", "d2").agg(F.first("n").alias("n"), F.min(carry[0]).alias("least"), F.first("tokens").alias("tokens"))
+    rows = written(sizes_and_digests(docs, carry), "rows")
+    volume = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shared = peeled(docs.select("text"), text_rows, volume, percent)
+    shared = written(shared.groupBy("id1", "id2").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "shared")
+    volume = shared.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0] // 8
+    nodes = peeled(shared.select("n", "id1", "id2", "tokens"), node_rows, volume, percent)
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    posts = written(with_centres(written(posting_lists(nodes, often), "lists")), "posts")
-
-    links, tried, sets = [], [], []
-    for turn in range(PIVOT_ROUNDS + 1):
-        pairs = pivot_pairs(posts, turn) if turn < PIVOT_ROUNDS else open_pairs(posts, roots)
-        if turn:
-            pairs = _apart(pairs, roots)
-            pairs = pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tried.append(pairs)
-        met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if sets:
-            met = met.join(reduce(DataFrame.union, sets), "node", "left_anti")
-        sets.append(whole_rows(docs, carry[0], met.join(nodes, "node").select("node", "d1", "d2", F.col("least").alias("of"))))
-        links.append(written(linked(pairs, reduce(DataFrame.union, sets)), "links"))
-        roots = written(components(reduce(DataFrame.union, links)), "roots")
-    classes = nodes.join(roots, "node", "left").select("node", "d1", "d2", "least", F.coalesce("root", "node").alias("root"))
-    return rows.drop("tokens"), classes
-
-
-def whole_rows(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """node, tokens: the whole rows of the wanted nodes (node, d1, d2, of), made again from their texts."""
-    keys = small(wanted.select("of").distinct(), KEYS)
-    texts = docs.where(F.col("text").isNotNull()).select(key, "text").join(keys, F.col(key).eqNullSafe(F.col("of")), "left_semi")
-    whole = incidence(texts, [key]).select("d1", "d2", "tokens").join(wanted.select("d1", "d2", "node"), ["d1", "d2"])
-    return written(whole.dropDuplicates(["node"]).select("node", "tokens"), "sets")
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose nodes aren't known to be in one component."""
-    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return pairs.join(ra, "a", "left").join(rb, "b", "left").where("ra is null or rb is null or ra <> rb").select("a", "b")
+    posts = written(postings(nodes, percent), "posts")
+    links = written(linked(pivot_pairs(posts, percent), nodes, percent), "links")
+    roots = written(components(links), "roots")
+    more = written(cross_links(posts, roots, nodes, percent), "links")
+    roots = written(components(links.union(more)), "roots")
+    digest = nodes.select("node", "id1", "id2")
+    placed = digest.join(roots, "node").select(F.col("id1").alias("d1"), F.col("id2").alias("d2"), F.col("root").alias("node"))
+    placed = placed.join(digest, "node").select("d1", "d2", F.col("id1").alias("r1"), F.col("id2").alias("r2"))
+    classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min(carry[0]).alias("least")).join(placed, ["d1", "d2"], "left")
+    return rows, classes.select("d1", "d2", "least", F.coalesce("r1", "d1").alias("r1"), F.coalesce("r2", "d2").alias("r2"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id reachable by links) of every document."""
+    """doc_id, n_shingles, component_id (the least doc_id reachable by links) of every document.
+
+    Null and empty texts have no shingles and are their own component; repeated rows are one class; null
+    ids name a class only where it has no other; very long texts are compared whole; an empty table
+    stays empty; further columns don't matter.
+    """
     rows, classes = similarity_classes(docs, ["doc_id"])
-    heads = classes.groupBy("root").agg(F.min("least").alias("head"))
-    named = classes.join(heads, "root").select("d1", "d2", "head")
-    joined = rows.join(named, (rows["d1"] == named["d1"]) & (rows["d2"] == named["d2"]) & (rows["n"] > 0), "left")
-    return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("head", "doc_id").alias("component_id"))
+    heads = classes.groupBy("r1", "r2").agg(F.min("least").alias("head"))
+    named = classes.join(heads, ["r1", "r2"]).select("d1", "d2", "head")
+    n = F.col("n").cast("long").alias("n_shingles")
+    found = rows.where("n > 0").join(named, ["d1", "d2"]).select("doc_id", n, F.coalesce("head", "doc_id").alias("component_id"))
+    return found.unionByName(rows.where("n = 0").select("doc_id", n, F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -337,11 +468,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     mark, pick, gone = unused(docs, "mark_", "pick_", "gone_")
     keyed = docs.select(F.col(f"`{key}`").alias(pick), F.xxhash64("text").alias(mark), "text")
     rows, classes = similarity_classes(keyed, [pick, mark])
-    placed = rows.where("n > 0").join(classes.select("d1", "d2", "root"), ["d1", "d2"]).select("root", pick, mark)
+    placed = rows.where("n > 0").join(classes.select("d1", "d2", "r1", "r2"), ["d1", "d2"]).select("r1", "r2", pick, mark)
     order = F.struct(F.col(pick).isNull(), F.col(pick), F.col(mark))
-    best = placed.groupBy("root").agg(F.min_by(F.struct(pick, mark), order).alias("best"), F.count("*").alias("rows"))
+    best = placed.groupBy("r1", "r2").agg(F.min_by(F.struct(pick, mark), order).alias("best"), F.count("*").alias("rows"))
     many = best.where("rows > 1")
-    members = placed.join(many, "root")
+    members = placed.join(many, ["r1", "r2"])
     same = F.col(pick).eqNullSafe(F.col(f"best.{pick}")) & F.col(mark).eqNullSafe(F.col(f"best.{mark}"))
     dropped = small(members.where(~same).select(F.col(pick).alias(gone), F.col(mark).alias(mark)).distinct(), KEYS)
     twice = small(members.where(same).groupBy(pick, mark).agg(F.count("*").alias("k")).where("k > 1").drop("k"), KEYS)

@@ -233,13 +233,69 @@ def test_join_equals_brute_force(spark, monkeypatch):
             words[r.randrange(len(words))] = f"new{r.randrange(10**6)}"
             texts.append(" ".join(words) + (f" {passage}" if g % 2 else ""))
     texts += [f"{prose(1000 + i, 15)} {passage}" for i in range(40)] + [texts[8]] * 5
-    for list_rows, frequent in ((4_000, 24), (6, 3)):
-        monkeypatch.setattr(ngram_join, "LIST_ROWS", list_rows)
-        monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    for list_block in (2_000_000, 300):
+        monkeypatch.setattr(ngram_join, "LIST_BLOCK", list_block)
         found = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.jaccard_components(make(spark, texts)).collect()}
         assert found == brute_components(texts)
 
 
+def family(size, seed=5):
+    """Copies of one text with 1 to 20 words changed, most of them to one of a few others."""
+    r, words = random.Random(seed), prose(seed, 120).split()
+    out = []
+    for _ in range(size):
+        copy = list(words)
+        for i in r.sample(range(120), r.randrange(1, 20)):
+            copy[i] = f"new{r.randrange(12)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_large_families_equal_brute_force_and_list_few_pairs(spark):
+    texts = [*family(400), *(prose(i, 60) for i in range(20))]
+    docs = make(spark, texts)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.jaccard_components(docs).collect()} == brute_components(texts)
+    nodes = ngram_join.peeled(docs.select("text"), ngram_join.text_rows, 100_000).withColumn("node", F.monotonically_increasing_id()).persist()
+    posts = ngram_join.postings(nodes)
+    pairs = ngram_join.pivot_pairs(posts)
+    assert 0 < pairs.count() < 4 * len(texts)
+    roots = ngram_join.components(ngram_join.linked(pairs, nodes))
+    assert ngram_join.cross_links(posts, roots, nodes).count() < len(texts)
+    nodes.unpersist()
+
+
+@pytest.mark.parametrize("often", [1, 4, 1000])
+def test_row_blocks_come_back_with_their_shared_shingles(monkeypatch, often):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "OFTEN", often)
+    monkeypatch.setattr(ngram_join, "ROW_BLOCK", 400)
+    monkeypatch.setattr(ngram_join, "TaskContext", type("Task", (), {"get": lambda: type("T", (), {"partitionId": lambda self: 3})()}))
+    texts = [*family(30), *(prose(i, 40, 3000) for i in range(10)), None, "", "few words"]
+    batches = list(ngram_join.row_blocks(ngram_join.text_rows, 7)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])))
+    sent = pa.Table.from_batches(batches)
+    back = pa.concat_tables([ngram_join.counted(sent.filter(pa.array(sent["col"].to_numpy() == c))) for c in range(7)])
+    rows = pa.concat_tables([ngram_join.restored(80)(back.filter(pa.array(back["base"].to_numpy() == b))) for b in np.unique(back["base"].to_numpy())])
+    assert len(batches) > 3
+    counts = Counter(g for t in texts for g in shingles(t))
+    wanted = sorted((len(x), sum(counts[g] > 1 for g in x)) for x in map(shingles, texts) if x and 100 * sum(counts[g] > 1 for g in x) >= 80 * len(x))
+    assert wanted == sorted((n, len(t) // 8) for n, t in zip(rows["n"].to_pylist(), rows["tokens"].to_pylist()))
+
+
+def test_shingle_sets_follow_words_not_bytes(monkeypatch):
+    import pyarrow as pa
+    from contestry.llm import shingles as hashed
+
+    texts = ["", None, "a", "A b", "a  B\n", "b a", " lead", "trail ", "x" * 300, "e\u0301 \u00df \u2003 z", "one two three four five six one two three four five six", *ODD, *family(5)]
+    for slab in (4 << 20, 16):
+        monkeypatch.setattr(hashed, "SLAB", slab)
+        sets = hashed.shingle_sets(pa.array(texts).slice(1))
+        assert sets.sizes.tolist() == [len(shingles(t)) for t in texts[1:]]
+        parts = [set(sets.part(i, i + 1).tokens.tolist()) for i in range(len(texts) - 1)]
+        for a, b in itertools.combinations(range(len(texts) - 1), 2):
+            assert len(parts[a] & parts[b]) == len(shingles(texts[a + 1]) & shingles(texts[b + 1]))
+
+
 def test_components_of_a_long_chain(spark):
     n = 60
     order = list(range(n))
