@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of jobs that write: shuffle files go with the job, and Python workers get batches of this many bytes.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 #: Most rows of a table that joins may broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 100_000
 
@@ -56,12 +57,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder (a folder for each value of by) and read it again."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")  # its shuffle files have no more use
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 

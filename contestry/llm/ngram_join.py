@@ -39,8 +39,8 @@ WORDS = 5
 #: Overlap of at least PERCENT hundredths of the union.
 PERCENT = 80
 #: Shingles of a block of rows (one document at least), and of a block of columns (about).
-ROW_BLOCK = 1_000_000
-COLUMN_BLOCK = 4_000_000
+ROW_BLOCK = 500_000
+COLUMN_BLOCK = 1_000_000
 #: Documents in a block of rows at most; the last 16-bit number marks a shingle of many of its rows.
 BLOCK_DOCS, MANY = 30_000, 65_535
 #: A shingle of more rows of one block than this goes to its block of columns once, with their number.
@@ -48,7 +48,7 @@ OFTEN = 4
 #: Shingles of the rows that meet in a block of one posting list (about).
 LIST_BLOCK = 2_000_000
 #: Pairs whose bounds are computed at a time; bytes of rows in one group of blocks (about).
-PAIRS, GROUP_BYTES = 2_000_000, 16 << 20
+PAIRS, GROUP_BYTES = 300_000, 8 << 20
 #: Most candidate rows whose keys a join may broadcast (16 bytes each).
 KEYS = 1_000_000
 
@@ -230,7 +230,8 @@ def peeled(df: DataFrame, rows: Rows, volume: int, percent: int = PERCENT) -> Da
     """PEELED of the rows of df; volume: about how many shingles they have."""
     columns = max(df.sparkSession.sparkContext.defaultParallelism * 2, -(-volume // COLUMN_BLOCK))
     sent = df.mapInArrow(row_blocks(rows, columns), SENT)
-    return sent.groupBy("col").applyInArrow(counted, BACK).groupBy("base").applyInArrow(restored(percent), PEELED)
+    back = written(sent.groupBy("col").applyInArrow(counted, BACK), "back")  # the shingles sent have no more use
+    return back.groupBy("base").applyInArrow(restored(percent), PEELED)
 
 
 POSTED = "token long, p struct<node:long,n:int,m:int,pos:int>, centre double"
@@ -271,14 +272,9 @@ def overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ta, ka = joined(batch.column(4), np.uint64)
-            tb, kb = joined(batch.column(5), np.uint64)
-            pair = np.concatenate([np.repeat(np.arange(len(ka)), ka), np.repeat(np.arange(len(kb)), kb)])
-            tokens = np.concatenate([ta, tb])
-            order = np.lexsort((tokens, pair))
-            tokens, pair = tokens[order], pair[order]
-            both = (tokens[1:] == tokens[:-1]) & (pair[1:] == pair[:-1])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(np.bincount(pair[1:][both], minlength=len(ka)), pa.int64())], ["a", "b", "na", "nb", "overlap"])
+            ta, tb = batch.column(4), batch.column(5)
+            counts = [np.intersect1d(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), assume_unique=True).size for x, y in zip(ta, tb)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(counts, pa.int64())], ["a", "b", "na", "nb", "overlap"])
 
     rows = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ta", "tb")
     return rows.mapInArrow(product, "a long, b long, na int, nb int, overlap long")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes whose running sums are in memory at a time; a longer word stretches it.
-SLAB = 4 << 20
+SLAB = 2 << 20
 _random = np.random.default_rng(20_240_607)
 BYTE = _random.integers(1, 1 << 63, 256, np.uint64, endpoint=True) * np.uint64(2) + np.uint64(1)
 BYTE[65:91] = BYTE[97:123]
@@ -43,8 +43,8 @@ def powers(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def word_hashes(data: np.ndarray, starts_of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first byte) of every word of data; a document's start ends a word as white space does."""
+def word_hashes(data: np.ndarray, starts_of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, last byte) of every word of data; a document's start ends a word as white space does."""
     solid = ~IS_SPACE[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
@@ -66,7 +66,7 @@ def word_hashes(data: np.ndarray, starts_of_docs: np.ndarray) -> tuple[np.ndarra
         before = np.where(a > 0, sums[a - 1], np.uint64(0))
         out[done:upto] = (sums[b] - before) * inverse[a] + (b - a + 1).astype(np.uint64)
         done = upto
-    return scrambled(out), first
+    return scrambled(out), first, last
 
 
 @dataclass
@@ -97,7 +97,7 @@ def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(text: pa.Array, words: int = 5) -> Sets:
     data, offsets = text_bytes(text)
-    hashes, first = word_hashes(data, offsets[:-1])
+    hashes, first, _ = word_hashes(data, offsets[:-1])
     of = np.searchsorted(first, offsets)
     n = np.diff(of)
     odd = scrambled(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
