@@ -1,10 +1,18 @@
 """Sharding by a two-pass external shuffle.
 
 Pass one counts rows and bytes and scatters the records by a seeded hash into buckets that fit a
-task's memory. Pass two shuffles each bucket (Spark's shuffle() is a Fisher-Yates pass over the
-array) and deals the records, in bucket order, to the shards: shard and slot follow from the
-record's place in the whole order, so shard sizes differ by one row at most (law "rows"). The shards
-are written as folders of the shared folder, their rows in the order of the slots.
+task's memory. Pass two shuffles each bucket and deals the records, in bucket order, to the shards:
+shard and slot follow from the record's place in the whole order, so shard sizes differ by one row at
+most (law "rows"). The shards are written as folders of the shared folder, their rows in the order of
+the slots.
+
+A bucket is shuffled by sorting it by 128 random bits that a record draws from seed and content. That
+gives the uniform permutations of a Fisher-Yates pass, but the same one in every rerun, over any
+partitions and after a lost executor; Spark's shuffle(), a Fisher-Yates pass over an array, draws by
+partition number and arrival and can't repeat itself.
+
+Rows that are alike in every column are interchangeable. They are counted, and each copy is scattered
+by its number too, so that a row that is repeated without end fills no bucket.
 """
 
 from __future__ import annotations
@@ -23,10 +31,33 @@ BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 256
 
 
-def record_hash(df: DataFrame, seed: int = SEED) -> F.Column:
+def plain_columns(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and compared."""
+    return [c for c, kind in df.dtypes if "map" not in kind and "variant" not in kind]
+
+
+def record_hash(df: DataFrame, *seed) -> F.Column:
     """Seeded over all columns that can be hashed: rows of one key or one text still scatter."""
-    plain = [c for c, kind in df.dtypes if "map" not in kind and "variant" not in kind]
-    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in plain])
+    return F.xxhash64(*[F.lit(x) if isinstance(x, int) else F.col(x) for x in seed], *[F.col(f"`{c}`") for c in plain_columns(df)])
+
+
+def numbered_copies(df: DataFrame, copy: str) -> DataFrame:
+    """df with a column copy that numbers the rows that are alike in every column from 0; others have 0.
+
+    Only rows with copies are aggregated; where columns can't be compared all rows have 0.
+    """
+    if len(plain_columns(df)) < len(df.columns):
+        return df.withColumn(copy, F.lit(0))
+    h, g, n = unused(df, "h", "g", "n")
+    marked = df.withColumns({h: record_hash(df, 1), g: record_hash(df, 2)})
+    again = marked.groupBy(h, g).agg(F.count("*").alias(n)).where(f"`{n}` > 1").select(F.col(h).alias(f"{h}_"), F.col(g).alias(f"{g}_"))
+    again = small(again)
+    same = (F.col(h) == F.col(f"{h}_")) & (F.col(g) == F.col(f"{g}_"))
+    once = marked.join(again, same, "left_anti").select(*df.columns, F.lit(0).alias(copy))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(h)
+    # one row is kept of its copies, and given back as often as there were
+    many = marked.join(again, same, "left_semi").select(row).groupBy(h).agg(F.count("*").cast("int").alias(n))
+    return once.unionByName(many.select(f"{h}.*", F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(copy)))
 
 
 def assign_shards(
@@ -40,23 +71,28 @@ def assign_shards(
     """df's rows with a shard (int, from 0) and a gapless slot (long, from 0) in it.
 
     size gives the bytes of a row (16 and the text's UTF-8 bytes where not given). Null columns hash
-    like any value; rows alike in all columns share a bucket and get different slots; an empty table
-    stays empty. Columns that are called like the two new ones are replaced.
+    like any value; rows alike in all columns get different slots; a very long text takes a bucket of its
+    own size; an empty table stays empty. Columns that are called like the two new ones are replaced.
     """
     df = df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
     size = size if size is not None else F.octet_length(text_of(F.col("text"))) + 16
     total, volume = df.agg(F.count("*"), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
     buckets = max(LEAST_BUCKETS, -(-volume // bucket_bytes))
-    bucket, key, row, base, at, n = unused(df, "bucket", "key", "row", "base", "at", "n")
-    scattered = df.select(record_hash(df, seed).alias(key), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row))
-    scattered = scattered.withColumn(bucket, F.pmod(key, F.lit(buckets)))
+    bucket, draw, row, base, at, n, copy = unused(df, "bucket", "draw", "row", "base", "at", "n", "copy")
+    copies = numbered_copies(df, copy)
+    scattered = copies.select(
+        F.pmod(record_hash(df, seed, copy), F.lit(buckets)).alias(bucket),
+        F.struct(record_hash(df, seed + 1, copy).alias("a"), record_hash(df, seed + 2, copy).alias("b")).alias(draw),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row),
+    )
     counts = scattered.groupBy(bucket).agg(F.count("*").alias(n))
     # one row a bucket: the window below runs over counts, never over records
     before = W.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     bases = counts.select(bucket, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base))
-    gathered = F.collect_list(F.struct(key, row))
-    filled = scattered.groupBy(bucket).agg((F.sort_array(gathered) if _sortable(df) else gathered).alias(row))
-    dealt = filled.join(small(bases, BROADCAST_ROWS), bucket).select(base, F.posexplode(F.shuffle(row, seed)).alias(at, row))
+    gathered = F.collect_list(F.struct(draw, row))
+    shuffled = F.sort_array(gathered) if len(plain_columns(df)) == len(df.columns) else F.array_sort(gathered, lambda x, y: F.when(x[draw] < y[draw], -1).when(x[draw] > y[draw], 1).otherwise(0))
+    filled = scattered.groupBy(bucket).agg(shuffled.alias(row))
+    dealt = filled.join(small(bases, BROADCAST_ROWS), bucket).select(base, F.posexplode(row).alias(at, row))
     place = F.col(base) + F.col(at)
     shard = F.expr(f"({base} + {at}) * {shards}L div {max(total, 1)}L")
     first = F.expr(f"({names[0]} * {max(total, 1)}L + {shards - 1}L) div {shards}L")
@@ -67,10 +103,6 @@ def assign_shards(
     )
 
 
-def _sortable(df: DataFrame) -> bool:
-    return not any("map" in kind or "variant" in kind for _, kind in df.dtypes)
-
-
 def write_shards(df: DataFrame, **how) -> DataFrame:
     """assign_shards' rows, written in one folder a shard and read again; a large shard has several files."""
     dealt = assign_shards(df, **how).hint("rebalance", "shard").sortWithinPartitions("shard", "slot")
