@@ -2,24 +2,29 @@
 
 The patterns are the items' windows of 13 words (an item of fewer words is one pattern). Patterns of
 one length form a searcher: a table over blocks of two words tells how far the search may jump; where
-it can't, the patterns that end in this block are compared word by word.
+it can't, the patterns that end in this block, kept by their other words, are compared with the text's.
 
-The patterns are broadcast in blocks of at most BLOCK_WORDS item words, so that no task holds more
-than that many however large the benchmark is; each block is one more pass over the documents' rows,
-without a shuffle.
+The patterns are broadcast in blocks of at most BLOCK_WORDS item words. With one block the search is one
+pass over the documents' rows, without a shuffle. With more, each block's pass writes what it finds, and
+the block is given up before the next is made: neither a task nor the driver holds two of them, however
+large the benchmark is.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from .common import text_of, unused
+from .common import text_of, unused, written
 
 WINDOW = 13
 #: Item words that one pass looks for at most (about 100 MB of tables in a Python worker).
@@ -42,12 +47,12 @@ class Searcher:
         self.length, self.block = length, min(2, length)
         self.jump = length - self.block + 1
         self.shift: dict = {}
-        self.ends: dict = {}
+        self.ends: dict[tuple, dict[tuple, set]] = {}
         for words, items in patterns.items():
             for end in range(self.block, length + 1):
                 block = words[end - self.block : end]
                 self.shift[block] = min(self.shift.get(block, self.jump), length - end)
-            self.ends.setdefault(words[-self.block :], []).append((words[: length - self.block], items))
+            self.ends.setdefault(words[-self.block :], {})[words[: length - self.block]] = items
 
     def find(self, words: list[bytes]) -> Iterator[tuple[int, set]]:
         """(start, items) of every occurrence."""
@@ -59,10 +64,9 @@ class Searcher:
                 at += step
                 continue
             start = at - self.length
-            head = tuple(words[start : at - block])
-            for pattern, items in self.ends[tail]:
-                if pattern == head:
-                    yield start, items
+            items = self.ends[tail].get(tuple(words[start : at - block]))
+            if items:
+                yield start, items
             at += 1
 
 
@@ -100,23 +104,36 @@ def merged(spans: list) -> list[list[int]]:
 FOUND = "n_words long, spans array<array<int>>, items array<string>"
 
 
+#: The table of the block that this Python worker searched last, by the block's number.
+_tables: dict[str, Patterns] = {}
+
+
 def _pass(patterns) -> F.Column:
-    """A pandas UDF (text, earlier spans, earlier items) -> FOUND; patterns is a broadcast variable."""
+    """A pandas UDF text -> FOUND; patterns is a broadcast (number of the block, its items)."""
 
     @pandas_udf(FOUND)
-    def search(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        table = Patterns(patterns.value)
-        for texts, spans, items in batches:
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        number, block = patterns.value
+        if number not in _tables:
+            _tables.clear()
+            _tables[number] = Patterns(block)
+        table = _tables[number]
+        for texts in batches:
             rows = []
-            for text, old_spans, old_items in zip(texts, spans, items):
+            for text in texts:
                 words = tokens(text)
-                new_spans, new_items = table.search(words)
-                rows.append((len(words), merged([*old_spans, *new_spans]), sorted({*old_items, *new_items})))
+                spans, items = table.search(words)
+                rows.append((len(words), spans, sorted(items)))
             yield pd.DataFrame(rows, columns=["n_words", "spans", "items"])
 
     return search
 
 
+@pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+def _merged(spans: pd.Series) -> pd.Series:
+    return spans.map(lambda s: merged([list(x) for x in s]))
+
+
 def blocks_of(items: DataFrame, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
     """The items' words in blocks of about block_words words; only one block is on the driver at a time."""
     counted = items.select(F.col("item_id").cast("string").alias("item_id"), text_of(F.col("text")).alias("text"))
@@ -132,16 +149,25 @@ def search_items(docs: DataFrame, items: DataFrame, name: str = "found", block_w
 
     docs needs text, items item_id and text; all other columns stay as they are. Null and empty texts
     have no words; items without words or without an id are never found; repeated rows are judged one
-    by one; an empty benchmark finds nothing.
+    by one; very long texts are searched whole; an empty benchmark finds nothing. A column called name is
+    replaced.
     """
-    (hidden,) = unused(docs, "found_so_far") if name == "found" else (name,)
-    spark, out, first = docs.sparkSession, docs, True
-    for block in blocks_of(items, block_words):
-        spans = F.array().cast("array<array<int>>") if first else F.col(f"{hidden}.spans")
-        known = F.array().cast("array<string>") if first else F.col(f"{hidden}.items")
-        out = out.withColumn(hidden, _pass(spark.sparkContext.broadcast(block))("text", spans, known))
-        first = False
-    return out.withColumnRenamed(hidden, name) if hidden != name else out
+    spark, blocks, made = docs.sparkSession, blocks_of(items, block_words), []
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == name.lower()])
+    first = next(blocks)
+    second = next(blocks, None)
+    if second is None:
+        return docs.withColumn(name, _pass(spark.sparkContext.broadcast((uuid.uuid4().hex, first)))("text"))
+    (row,) = unused(docs, "row_")
+    kept = written(docs.withColumn(row, F.monotonically_increasing_id()), "searched")
+    for block in itertools.chain([first, second], blocks):
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
+        passed = kept.select(row, _pass(shared)("text").alias("f")).select(row, "f.*")
+        made.append(written(passed if not made else passed.where(F.size("items") > 0), "found"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, made).groupBy(row).agg(F.max("n_words").alias("n"), F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("i"))
+    found = every.select(F.col(row).alias(f"{row}_"), F.struct(F.col("n").alias("n_words"), _merged("s").alias("spans"), F.col("i").alias("items")).alias(name))
+    return kept.join(found, F.col(row) == F.col(f"{row}_")).drop(row, f"{row}_")
 
 
 def hit_words(found: F.Column) -> F.Column:
@@ -154,7 +180,11 @@ def is_contaminated(found: F.Column, share: int = SHARE) -> F.Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document.
+
+    Null and empty texts have no words; repeated rows and ids get a row each; further columns don't
+    matter; an empty table stays empty.
+    """
     found = search_items(docs.select("doc_id", "text"), items, "hits")
     at = F.col("hits")
     return found.select(
