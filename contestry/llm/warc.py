@@ -1,13 +1,15 @@
 """WARC archives as a Spark data source.
 
 Writing: each task writes its rows as gzip members (one record each) into files of its own and names
-them in its commit message; only the files of committed tasks enter the manifest, so that lost or
-repeated tasks leave nothing behind that readers see.
+them in its commit message. A commit is one manifest file, moved into place when it is whole: lost or
+repeated tasks leave nothing behind that readers see, and writers that append at a time don't disturb
+each other.
 
 Reading: the planner deals the archive files to partitions of about split_bytes. Filters on header
 columns are pushed down; a record's headers are parsed first and its payload is decoded only where
-the headers pass, and never where the option payload is "false". Paths go through pyarrow's file
-systems, so shared stores work as local folders do.
+the headers pass, and never where the option payload is "false". A file is read by one task, so writers
+keep files below file_bytes. Paths go through pyarrow's file systems, so shared stores work as local
+folders do.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -52,13 +55,16 @@ HEADERS = {
     "record_type": "warc-type",
     "target_uri": "warc-target-uri",
     "warc_date": "warc-date",
-    "content_type": "content-type",
+    "content_type": "warc-identified-payload-type",
     "payload_digest": "warc-payload-digest",
     "refers_to": "warc-refers-to",
     "page_id": "x-page-id",
     "payload_bytes": "x-payload-length",
 }
-MANIFEST = "_manifest.json"
+#: Manifests are called so, with a number between.
+MANIFEST = ("_manifest-", ".json")
+#: Names the headers whose values are percent-coded, as they hold line breaks or outer spaces.
+CODED = "X-Percent-Coded"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 64 << 20
@@ -86,20 +92,21 @@ def encode_record(row) -> bytes:
         "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if row.record_type == "revisit" else None,
         "X-Page-ID": row.page_id,
         "X-Payload-Length": row.payload_bytes,
+        "WARC-Identified-Payload-Type": row.content_type,
         "Content-Type": "application/http;msgtype=response",
     }
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: {row.content_type or 'text/html; charset=utf-8'}\r\nContent-Length: {row.payload_bytes or 0}\r\n\r\n".encode()
+    headers = {k: str(v) for k, v in headers.items() if v is not None}
+    coded = [k for k, v in headers.items() if v != v.strip() or "\r" in v or "\n" in v]
+    headers |= {k: quote(headers[k], safe="/:?&=#;,+@!$'()*[]") for k in coded}
+    if coded:
+        headers[CODED] = ",".join(coded)
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: {' '.join((row.content_type or 'text/html; charset=utf-8').split())}\r\nContent-Length: {row.payload_bytes or 0}\r\n\r\n".encode()
     block = http if row.record_type == "revisit" else http + payload
-    lines = [f"{k}: {_one_line(v)}" for k, v in headers.items() if v is not None]
+    lines = [f"{k}: {v}" for k, v in headers.items()]
     head = "\r\n".join(["WARC/1.1", *lines, f"Content-Length: {len(block)}"]) + "\r\n\r\n"
     return gzip.compress(head.encode() + block + b"\r\n\r\n", compresslevel=1, mtime=0)
 
 
-def _one_line(value) -> str:
-    """Header values hold no line breaks: those are percent-coded."""
-    return str(value).replace("\r", "%0D").replace("\n", "%0A")
-
-
 def read_headers(stream) -> dict[str, str] | None:
     """The next record's headers; None at the end."""
     line = stream.readline()
@@ -113,6 +120,9 @@ def read_headers(stream) -> dict[str, str] | None:
     while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
         name, _, value = line.decode("utf-8", "replace").partition(":")
         out[name.strip().lower()] = value.strip()
+    for name in out.get(CODED.lower(), "").lower().split(","):
+        if name in out:
+            out[name] = unquote(out[name])
     return out
 
 
@@ -196,6 +206,19 @@ TESTS = {
 }
 
 
+def manifests(store, root: str) -> list[str]:
+    from pyarrow import fs
+
+    named = [x.path for x in store.get_file_info(fs.FileSelector(root, allow_not_found=True))]
+    return sorted(x for x in named if x.rpartition("/")[2].startswith(MANIFEST[0]) and x.endswith(MANIFEST[1]))
+
+
+def manifest(store, path: str) -> list:
+    """[name, bytes] of the files of one commit."""
+    with store.open_input_stream(path) as f:
+        return json.loads(f.read())
+
+
 class Files(InputPartition):
     def __init__(self, paths: list[str]):
         self.paths = paths
@@ -223,10 +246,8 @@ class WarcReader(DataSourceReader):
         info = store.get_file_info(root)
         if info.type == fs.FileType.File:
             return [Files([root])]
-        if store.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.File:
-            with store.open_input_stream(f"{root}/{MANIFEST}") as f:
-                files = [(f"{root}/{name}", size) for name, size in json.loads(f.read())]
-        else:
+        files = [(f"{root}/{name}", size) for path in manifests(store, root) for name, size in manifest(store, path)]
+        if not manifests(store, root):
             files = [(x.path, x.size) for x in store.get_file_info(fs.FileSelector(root, recursive=True)) if x.path.endswith((".warc", ".warc.gz"))]
         out, room = [], 0
         for path, size in files:
@@ -245,15 +266,22 @@ class WarcReader(DataSourceReader):
 
     def records(self, stream) -> Iterator[tuple]:
         while (headers := read_headers(stream)) is not None:
-            length = int(headers.get("content-length", 0))
-            if not all(c.holds(headers) for c in self.conditions) or not self.payload:
+            length, block = int(headers.get("content-length", 0)), None
+            if HEADERS["content_type"] not in headers:
+                # another writer's record: the type is its own, or for HTTP that of the HTTP headers
+                kind = headers.get("content-type", "")
+                if kind.startswith("application/http"):
+                    block = stream.read(length)
+                    kind = _http_type(block)
+                if kind:
+                    headers[HEADERS["content_type"]] = kind
+            wanted = all(c.holds(headers) for c in self.conditions)
+            if block is None and wanted and self.payload:
+                block = stream.read(length)
+            elif block is None:
                 _skip(stream, length)
-                if not all(c.holds(headers) for c in self.conditions):
-                    continue
-                payload = None
-            else:
-                payload = _payload(headers, stream.read(length))
-            yield tuple(value_of(headers, c) for c in HEADERS) + (payload,)
+            if wanted:
+                yield tuple(value_of(headers, c) for c in HEADERS) + (_payload(headers, block) if self.payload else None,)
 
 
 def _skip(stream, length: int) -> None:
@@ -271,6 +299,14 @@ def _payload(headers: dict[str, str], block: bytes) -> bytes | None:
     return block.partition(b"\r\n\r\n")[2] if block.startswith(b"HTTP/") else block
 
 
+def _http_type(block: bytes) -> str | None:
+    for line in block.partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]:
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        if name.strip().lower() == "content-type":
+            return value.strip()
+    return None
+
+
 @dataclass
 class Wrote(WriterCommitMessage):
     files: list
@@ -305,13 +341,14 @@ class WarcWriter(DataSourceWriter):
         store, root = file_system(self.path)
         store.create_dir(root, recursive=True)
         files = sorted(f for m in messages if m for f in m.files)
-        from pyarrow import fs
-
-        if not self.overwrite and store.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.File:
-            with store.open_input_stream(f"{root}/{MANIFEST}") as f:
-                files = json.loads(f.read()) + files
-        with store.open_output_stream(f"{root}/{MANIFEST}") as f:
+        old = manifests(store, root) if self.overwrite else []
+        name = uuid.uuid4().hex
+        with store.open_output_stream(f"{root}/_{name}.tmp") as f:
             f.write(json.dumps(files).encode())
+        store.move(f"{root}/_{name}.tmp", f"{root}/{MANIFEST[0]}{name}{MANIFEST[1]}")
+        gone = [f"{root}/{file}" for path in old for file, _ in manifest(store, path)]
+        for path in [*old, *gone]:
+            store.delete_file(path)
 
     def abort(self, messages) -> None:
         store, root = file_system(self.path)
@@ -396,7 +433,11 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write pages as WARC archives into the shared folder and read them back."""
+    """Write pages as WARC archives into the shared folder and read them back.
+
+    Every row is a record, also where page_ids repeat or are null; null html is an empty payload; very
+    long pages are records like others; an empty table gives no rows.
+    """
     spark = pages.sparkSession
     register(spark)
     path = scratch(spark, "warc")
