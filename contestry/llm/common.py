@@ -36,6 +36,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text_of(text), SPACE), lambda w: w != "")
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -91,6 +91,21 @@ def test_licence_texts_match_in_any_dress(spark):
     assert found[2][1] == "CC-BY-NC-4.0" and found[3][1] == ""
 
 
+def test_wrapped_texts_and_own_lists_match(spark):
+    import textwrap
+
+    wrap = lambda t: "\n\n".join(textwrap.fill(p, 68) for p in t.split("\n\n"))
+    isc = wrap(licences.ISC.replace("<year> <owner>", "2019, Jane Doe"))
+    shifted = licences.ISC.replace("above copyright", "above\ncopyright").replace("Copyright (c) <year> <owner>", "Copyright Jane Doe")
+    bsd = wrap(f"Copyright (c) 2001, Someone\nAll rights reserved.\n\n{licences.BSD_HEAD}\n\n{licences.BSD_THIRD}\n\n{licences.BSD_TAIL}")
+    texts = [isc, shifted, bsd, licences.UNLICENSE, "my own licence text", "sublicence and licences", "sublicense and licenses"]
+    found = {r.doc_id: r for r in licences.scan(make(spark, texts)).collect()}
+    assert [found[i].licence for i in range(5)] == ["ISC", "ISC", "BSD-3-Clause", "Unlicense", None]
+    assert found[5].digest == found[6].digest
+    own = spark.createDataFrame([("Own-1.0", "My own (licence) TEXT!"), ("None", "...")], "licence string, text string")
+    assert [r.licence for r in licences.scan(make(spark, texts), own).orderBy("doc_id").collect()] == [None] * 4 + ["Own-1.0", None, None]
+
+
 # 3: language model
 
 
@@ -98,7 +113,7 @@ def test_base_scores_equal_brute_force(spark):
     texts = [prose(i, 20 + i) for i in range(40)] + [None, "", "Rare WORD"]
     found = {r.doc_id: r for r in language_model.score_documents(make(spark, texts)).collect()}
     split = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))}
-    words = {i: [*language_model.tokens(t), b""] for i, t in enumerate(texts)}
+    words = {i: [*(t or "").lower().split(), ""] for i, t in enumerate(texts)}
     counts = Counter(itertools.chain.from_iterable(w for i, w in words.items() if not split[i]))
     n, v = sum(counts.values()), len(counts)
     for i, w in words.items():
@@ -108,19 +123,50 @@ def test_base_scores_equal_brute_force(spark):
         assert abs(r.base_score - base) < 1e-6 and r.score < 0
 
 
+def test_trained_model_beats_the_unigram_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language_model.score_documents(docs).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert rows[0] / rows[2] > rows[1] / rows[2] + 0.05
+
+
+def test_texts_score_alike_whatever_lies_beside_them(monkeypatch):
+    import pyarrow as pa
+
+    texts = [prose(1, 700, 50), prose(2, 3, 50), "", None, prose(3, 65, 50), "never seen words"]
+    known = _vocabulary(texts[:2])
+    weights = np.random.default_rng(1).normal(0, 0.3, len(language_model.Network(known).flat))
+    together = np.array(language_model.Scorer(known, weights)(pa.array(texts))[3])
+    alone = [language_model.Scorer(known, weights)(pa.array([t], pa.string()))[3][0].as_py() for t in texts]
+    monkeypatch.setattr(language_model, "STEPS", 5)
+    monkeypatch.setattr(language_model, "LANES", 2)
+    short = np.array(language_model.Scorer(known, weights)(pa.array(texts))[3])
+    assert np.allclose(together, alone, rtol=1e-4) and np.allclose(together, short, rtol=1e-4)
+
+
 def _vocabulary(texts):
-    counts = Counter(itertools.chain.from_iterable(texts))
+    import pyarrow as pa
+
+    words, rare, _ = language_model.tokens_of(pa.array(texts))
+    words, rare, c = language_model._summed(words, rare, np.ones(len(words), np.int64))
+    order = np.argsort(-c, kind="stable")
     n = language_model.RARE
-    return language_model.Vocabulary(dict(counts.most_common()), sum(counts.values()), len(counts), np.ones(n), np.ones(n))
+    return language_model.Vocabulary(words[order], rare[order], c[order], int(c.sum()), len(c), np.ones(n), np.ones(n))
+
+
+def _ids(known, texts):
+    import pyarrow as pa
+
+    words, rare, offsets = language_model.tokens_of(pa.array(texts))
+    return known.ids(rare, known.places(words)), offsets
 
 
 def test_gradients_match_differences(monkeypatch):
     monkeypatch.setattr(language_model, "FREQUENT", 64)
-    texts = [[w.encode() for w in prose(i, 12, 60).split()] for i in range(3)]
+    texts = [prose(i, 12, 60) for i in range(3)]
     known = _vocabulary(texts)
     net = language_model.Network(known)
     net.Wc[...] *= 10
-    ids = np.array([known.ids(t) for t in texts], np.int32).T
+    ids = _ids(known, texts)[0].reshape(3, 13).T
     h = np.zeros((3, language_model.HIDDEN), np.float32)
     inputs = np.vstack([ids[:1] * 0, ids[:-1]])
 
@@ -128,11 +174,11 @@ def test_gradients_match_differences(monkeypatch):
         states, _ = net.forward(inputs, h)
         return -float(net.loss(states.reshape(-1, language_model.HIDDEN), ids.ravel())[0].sum())
 
-    grads = {n: np.zeros(s, np.float32) for n, s in net.shapes.items() if n != "E"}
+    grads = {n: np.zeros(net.shapes[n], np.float32) for n in ("U", "b", "Wc", "Ww")}
     states, kept = net.forward(inputs, h)
     _, d = net.loss(states.reshape(-1, language_model.HIDDEN), ids.ravel(), grads)
     net.backward(inputs, kept, d.reshape(states.shape), grads)
-    for name in ("U", "b", "Wc", "bc"):
+    for name in ("U", "b", "Wc", "Ww"):
         where = np.unravel_index(np.abs(grads[name]).argmax(), grads[name].shape)
         weights, step = getattr(net, name), 1e-2
         weights[where] += step
@@ -145,25 +191,27 @@ def test_gradients_match_differences(monkeypatch):
 
 def test_training_beats_the_start(monkeypatch):
     monkeypatch.setattr(language_model, "LANES", 8)
-    texts = [[w.encode() for w in ("a b c d e f " * 20).split()] for _ in range(40)]
+    texts = ["a b c d e f " * 20] * 40
     known = _vocabulary(texts)
-    ids = [known.ids(t) for t in texts]
-    weights, seen = language_model.train_part(known, None, iter([ids] * 25))
+    ids, offsets = _ids(known, texts)
+    ((weights, seen),) = language_model.train_part(known, None, iter([(ids, offsets)] * 25))
+    parts = list(language_model.train_part(known, None, iter([(ids, offsets)] * 25), 4 * len(ids)))
 
     def total(w):
-        net = language_model.Network(known, w)
-        return sum(float(lp.sum()) for _, n, i in language_model.lanes_of(ids) for _, _, lp in language_model.windows(net, n, i))
+        net, n = language_model.Network(known, w), np.diff(offsets)
+        return sum(float(lp.sum()) for at in language_model.lanes(n) for _, _, lp in language_model.windows(net, ids, offsets[:-1][at], n[at]))
 
-    assert seen == 25 * sum(map(len, ids)) and total(weights) > 0.5 * total(None)
+    assert seen == 25 * len(ids) == sum(n for _, n in parts) and len(parts) > 5 and total(weights) > 0.5 * total(None)
 
 
 def test_told_words_grow_with_the_vocabulary():
     n = language_model.RARE
     for v in (600, 5_000, 300_000):
-        words = [f"w{i}".encode() for i in range(v)]
-        known = language_model.Vocabulary({w: v - i for i, w in enumerate(words)}, v * (v + 1) // 2, v, np.ones(n), np.ones(n))
+        words, rare = np.random.default_rng(v).permutation(np.arange(1, 10**6, dtype=np.uint64))[:v] * np.uint64(0x9E3779B97F4A7C15), np.arange(v, dtype=np.int32) % n
+        known = language_model.Vocabulary(words, rare, np.arange(v, 0, -1), v * (v + 1) // 2, v, np.ones(n), np.ones(n))
         told = min(v, language_model.frequent_words(v))
-        assert len(set(known.ids(words[:told]).tolist())) == told >= min(v, 1024)
+        assert known.places(words).tolist() == list(range(v)) and (known.places(words + np.uint64(1)) < 0).sum() > 0.9 * v
+        assert len(set(known.ids(rare[:told], known.places(words[:told])).tolist())) == told >= min(v, 1024)
         net = language_model.Network(known)
         every = np.concatenate([np.arange(told), known.frequent + np.arange(n)])
         logp, _ = net.loss(np.full((len(every), language_model.HIDDEN), 0.3, np.float32), every)
@@ -199,6 +247,55 @@ def test_toxicity_without_labels(spark):
     assert [r.toxic for r in toxicity.toxicity(docs, labels).collect()] == [False] * len(ODD)
 
 
+def test_labels_behind_one_banner_all_count(spark):
+    banner = "please note that this page is an archived copy of the original"
+    texts = [f"{banner} {prose(i, 40)}{' vile scum' if i % 4 == 0 else ''}" for i in range(120)] + ["", None, "  "]
+    docs = make(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 120 and i % 4 == 0)) for i in range(123) if i % 3], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels)
+    assert sample.count() == sum(1 for i in range(120) if i % 3)
+    found = {r.doc_id: r.toxic for r in toxicity.toxicity(docs, labels).collect()}
+    assert all(found[i] == (i % 4 == 0) for i in range(120)) and not (found[120] or found[121])
+
+
+def test_ordinal_likelihood_and_gradient_equal_brute_force():
+    r = np.random.default_rng(5)
+    x = r.integers(0, 3, (12, 4)).astype(float)
+    grades, p = r.integers(0, toxicity.GRADES, 12), np.array([0.4, 0.0, 1.1, 0.3, 0.2, -0.3, 0.1])
+    rows, cols = np.nonzero(x)
+    args = (rows, cols, x[rows, cols], grades, 4, 0.1)
+
+    def brute(p):
+        w, c = p[:4], [p[4], p[4] + math.exp(p[5]), p[4] + math.exp(p[5]) + math.exp(p[6])]
+        total = 0.1 * sum(w * w) / 2
+        for row, g in zip(x, grades):
+            above = [1.0, *(1 / (1 + math.exp(cut - row @ w)) for cut in c), 0.0]
+            total -= math.log(above[g] - above[g + 1])
+        return total / 12
+
+    value, g = toxicity.objective(p, *args)
+    assert abs(value - brute(p)) < 1e-9
+    for i in range(len(p)):
+        step = np.eye(len(p))[i] * 1e-5
+        assert abs((brute(p + step) - brute(p - step)) / 2e-5 - g[i]) < 1e-6
+    w, cuts = toxicity.fit_ordinal(*args[:5], penalty=0.1)
+    best = toxicity.objective(np.concatenate([w, [cuts[0]], np.log(np.diff(cuts))]), *args)[0]
+    for _ in range(200):
+        near = np.concatenate([np.maximum(w + r.normal(0, 0.1, 4), 0), [cuts[0] + r.normal(0, 0.1)], np.log(np.diff(cuts)) + r.normal(0, 0.1, 2)])
+        assert toxicity.objective(near, *args)[0] > best - 1e-4
+
+
+def test_severities_equal_brute_force(spark):
+    model = toxicity.Model({"vile": 0, "scum*": 1}, np.array([1.5, 0.7]), np.array([0.5, 1.0, 2.5]))
+    texts = ["vile vile scums", "Scumbag!", "fine", None, "vile " * 5000]
+    for row in toxicity.severity(make(spark, texts).withColumn("GRADE", F.lit(9)), model).collect():
+        w = (row.text or "").lower().split()
+        line = 1.5 * math.log1p(w.count("vile")) + 0.7 * math.log1p(sum(x.strip("!").startswith("scum") and len(x.strip("!")) > 4 for x in w))
+        above = [1 / (1 + math.exp(c - line)) for c in (0.5, 1.0, 2.5)]
+        each = [a - b for a, b in zip([1, *above], [*above, 0])]
+        assert abs(row.severity - sum(above)) < 1e-9 and row.toxic == (above[0] >= 0.5) and row.grade == each.index(max(each))
+
+
 # 5: n-gram Jaccard join
 
 
@@ -348,6 +445,20 @@ def test_shards_are_even_gapless_and_shuffled(spark):
     assert abs(np.corrcoef(ids, range(1003))[0, 1]) < 0.2
 
 
+def test_reruns_agree_over_any_partitions(spark):
+    docs = make(spark, [f"text {i // 3}" for i in range(900)] + ["same"] * 100, ids=[*range(900), *[7] * 100])
+    runs = [sorted((r.shard, r.slot, r.doc_id, r.text) for r in sharding.assign_shards(docs.repartition(n), shards=7, bucket_bytes=400).collect()) for n in (5, 7)]
+    assert runs[0] == runs[1] and len(runs[0]) == 1000
+    same = Counter(shard for shard, _, _, text in runs[0] if text == "same")
+    assert sum(same.values()) == 100 and max(same.values()) < 40
+
+
+def test_rows_that_cannot_be_compared_are_sharded_too(spark):
+    docs = make(spark, [f"text {i % 5}" for i in range(100)]).withColumns({"m": F.create_map(F.lit("a"), F.col("doc_id")), "draw": F.lit(1), "copy": F.lit("c")})
+    out = sharding.assign_shards(docs, shards=4)
+    assert out.columns == [*docs.columns, "shard", "slot"] and len({(r.shard, r.slot) for r in out.collect()}) == 100
+
+
 def test_whole_documents_are_written_to_shards(spark):
     texts = ["wörd " * 200_000, None, "", *["same"] * 300, *(prose(i, 30) for i in range(200))]
     docs = make(spark, texts, ids=[0 if t == "same" else i for i, t in enumerate(texts)])
@@ -392,6 +503,14 @@ def test_search_equals_brute_force(spark, block_words):
         assert (row.hits.n_words, row.n, set(row.hits["items"])) == (len(words), len(hit), names)
 
 
+def test_one_block_of_patterns_at_a_time(spark):
+    bench = spark.createDataFrame([(i, prose(i, 30)) for i in range(6)], "item_id long, text string")
+    docs = make(spark, [prose(i, 200) for i in range(5)] + [None]).withColumns({"row_": F.lit(1), "hits": F.lit("x")})
+    found = decontaminate.search_items(docs, bench, "hits", block_words=40)
+    assert found.count() == 6 and set(found.columns) == set(docs.columns)
+    assert [sorted(r.hits["items"]) for r in found.orderBy("doc_id").collect()] == [[] if i > 4 else [str(i)] for i in range(6)]
+
+
 def test_no_items_have_the_digest_of_nothing(spark):
     bench = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
     row = decontaminate.contamination(make(spark, ["clean"]), bench).first()
@@ -415,12 +534,44 @@ def test_surrogates_keep_type_format_and_identity(spark):
 
 
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
-    monkeypatch.setattr(surrogates, "SYLLABLES", {"latin": ["ba"], "cyrillic": ["ба"]})
+    monkeypatch.setattr(surrogates, "SYLLABLES", {k: [v[0]] for k, v in surrogates.SYLLABLES.items()})
     texts = [f"Mr. {n}" for n in ("Able", "Baker", "Cole")]
     found = [r.text for r in surrogates.surrogate_texts(make(spark, texts)).collect()]
     assert len(set(found)) == 3
 
 
+def test_formats_that_are_used_up_widen(spark):
+    import string
+
+    texts = [" ".join(f"{a}@{b}.co" for a in string.ascii_lowercase for b in string.ascii_lowercase)]
+    (row,) = surrogates.surrogate_texts(make(spark, texts)).collect()
+    assert row.n_entities == 676 and len(set(row.text.split())) == 676 and not set(row.text.split()) & set(texts[0].split())
+
+
+def test_names_keep_script_and_person(spark):
+    texts = ["Mr. John Smith came. Later Smith left; Smithson stayed, SMITH.", "Mr. Smith and Mrs. Anna Smith", "Κύριος Κώστα", "Госпожа Анна Ким-Петрова", "Mr. 王伟 came", "Mr. Jean-Luc O'Neil", "\ufdd0 Mr. Smith \ufdd1"]
+    found = {r.doc_id: r.text for r in surrogates.surrogate_texts(make(spark, texts)).collect()}
+    smith = found[1].split()[1]
+    assert found[0].split()[2] == f"{smith}" and found[0].split()[3] == "came." or found[0].split()[2].rstrip(".") == smith
+    assert "Smithson" in found[0] and f"Later {smith} left" in found[0] and "SMITH" in found[0] and found[1].split()[-1] == smith
+    assert found[2].split()[0] == "Κύριος" and all("α" <= c.lower() <= "ω" for c in found[2].split()[1])
+    assert "Петрова" not in found[3] and found[3].count("-") == 1 and all(c in " -" or "а" <= c.lower() <= "я" for c in found[3])
+    assert "王伟" not in found[4] and all("\u4e00" <= c <= "\u9fff" for c in found[4].split()[1]) and found[4].endswith(" came")
+    first, last = found[5].split()[1:]
+    assert first.count("-") == 1 and last.count("'") == 1 and "Luc" not in first and "Neil" not in last
+    assert found[6].startswith("\ufdd0 Mr. ") and found[6].endswith(f"{smith} \ufdd1")
+
+
+def test_numbers_beside_others_are_found(spark):
+    texts = ["4111 1111 1111 1111 12/26", "4845168114407329 123", "2023 555-123-4567", "+33 6 12 34 56 78", "IBAN DE89 3704 0044 0532 0130 00.", "XX00 1234 5678 9012", "from 2001:db8:0:0:1:0:0:1 or fe80::1:2", "a::b std::c 12:30:45"]
+    found = {r.doc_id: r for r in surrogates.surrogate_texts(make(spark, texts)).collect()}
+    assert [found[i].kinds for i in range(8)] == ["card", "card", "phone", "phone", "iban", "", "ipv6", ""]
+    assert "4111 1111" not in found[0].text and found[0].text.endswith(" 12/26") and found[2].text.startswith("2023 ") and found[2].text != texts[2]
+    code = found[4].text.removeprefix("IBAN ").rstrip(".").replace(" ", "")
+    assert code[:2] == "DE" and code != "DE89370400440532013000" and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+    assert found[6].n_entities == 2 and found[7].text == texts[7] and found[5].text == texts[5]
+
+
 # 10: WARC
 
 
@@ -434,6 +585,35 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_headers_come_back_as_written(spark, tmp_path):
+    pages = spark.createDataFrame([(1, " http://a/%0D\r\nx\u00e9 ", "x"), (1, "http://b", "y" * 2000), (None, "http://b", "y" * 2000), (2, None, None)], "page_id long, url string, html string")
+    warc.register(spark)
+    path = str(tmp_path / "w")
+    records = warc.to_records(pages).withColumn("content_type", F.when(F.col("page_id") == 2, "image/png").otherwise(F.col("content_type")))
+    records.write.format("warc").mode("append").save(path)
+    back = spark.read.format("warc").load(path)
+    columns = [c for c in back.columns if c != "payload"]
+    key = lambda rows: sorted(map(str, rows))
+    assert key(back.select(columns).collect()) == key(records.select(columns).collect())
+    assert back.where("content_type like 'text/html%'").count() == 3 and back.where("content_type = 'image/png'").count() == 1
+    records.write.format("warc").mode("append").save(path)
+    assert spark.read.format("warc").load(path).count() == 8 and len(list((tmp_path / "w").glob("_manifest-*.json"))) == 2
+    records.limit(1).write.format("warc").mode("overwrite").save(path)
+    assert spark.read.format("warc").load(path).count() == 1 and len(list((tmp_path / "w").glob("*.warc.gz"))) == 1
+
+
+def test_records_of_other_writers_tell_their_type(spark, tmp_path):
+    import gzip
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/css\r\n\r\nbody"
+    record = lambda kind, block: b"WARC/1.0\r\nWARC-Type: response\r\nContent-Type: " + kind + b"\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(record(b"application/http; msgtype=response", http)) + gzip.compress(record(b"text/dns", b"x")))
+    warc.register(spark)
+    read = spark.read.format("warc").load(str(tmp_path))
+    assert sorted((r.content_type, bytes(r.payload)) for r in read.collect()) == [("text/css", b"body"), ("text/dns", b"x")]
+    assert read.where("content_type = 'text/css'").count() == 1
+
+
 def test_header_filters_are_pushed_and_skip_payloads(spark, tmp_path, monkeypatch):
     pages = spark.createDataFrame([(i, f"http://h{i % 2}/{i}", "x" * 10 * i) for i in range(20)], "page_id long, url string, html string")
     warc.register(spark)
