@@ -103,3 +103,25 @@ def uniform_draw(seed: int, *keys: Column) -> Column:
     """A number from 0 to 1 that depends on seed and keys only, whatever the partitioning; SQL can repeat it."""
     bits = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])), 1, 13), 16, 10).cast("long")
     return (bits + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def outcome(code: Column, home: Column, away: Column) -> Column:
+    """The winner's name, or Draw."""
+    return F.when(code == 2, home).when(code == 0, away).when(code == 1, "Draw")
+
+
+def side_label(code: Column) -> Column:
+    return F.when(code == 0, "Away win").when(code == 1, "Draw").when(code == 2, "Home win")
+
+
+def iso_date(d: Column) -> Column:
+    return F.date_format(d, "yyyy-MM-dd")
+
+
+def iso_minute(kickoff: Column) -> Column:
+    """HH:mm of a kickoff."""
+    return F.substring(kickoff, 1, 5)
+
+
+def iso_stamp(t: Column) -> Column:
+    return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from contestry.operators.evaluate import TRIPLE, normalised
 from contestry.operators.form import MEASURES
+from contestry.sources.store import stored
 
 SIDE = [*MEASURES, "points_l5", "gd_l5"]
 #: The 25 features in order.
@@ -55,7 +56,7 @@ def fit_predict(name: str, train: DataFrame, rows: DataFrame) -> DataFrame:
     """rows with p_away, p_draw and p_home of a model fitted on train (features and result_code)."""
     train, rows = impute(fill_head_to_head(train), fill_head_to_head(train), fill_head_to_head(rows))
     train = balanced(train) if name in ("logreg_balanced", "random_forest") else train.withColumn("weight", F.lit(1.0))
-    train = train.persist()  # read by every iteration of the solvers
+    train = stored(train, "train")  # read by every iteration of the solvers
     if name == "boosted":
         return _boosted(train, rows)
     model = Pipeline(stages=[*_inputs(name.startswith("logreg")), classifier(name, max(train.count(), 1))]).fit(train)

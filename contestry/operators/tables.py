@@ -99,14 +99,31 @@ def by_date(df: DataFrame) -> DataFrame:
     return df.groupBy("match_date").agg(F.count("*").alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["match_id"].cast("string")), ",").alias("match_ids"))
 
 
+def _pairs(matches: DataFrame) -> DataFrame:
+    return matches.withColumns({"low": F.least("home_team_id", "away_team_id"), "high": F.greatest("home_team_id", "away_team_id")})
+
+
+def meetings_before(matches: DataFrame) -> DataFrame:
+    """matches with low, high and met: how often the pair met in a played contest on a strictly earlier date."""
+    dates = W.partitionBy("competition_id", "low", "high").orderBy("match_date").rangeBetween(W.unboundedPreceding, W.currentRow)
+    day = W.partitionBy("competition_id", "low", "high", "match_date")
+    played = lambda w: F.count_if("is_played").over(w)
+    return _pairs(matches).withColumn("met", played(dates) - played(day))
+
+
 def earlier_meetings(matches: DataFrame, last: int = 5) -> DataFrame:
-    """The last played meetings of each unplayed contest's pair on strictly earlier dates."""
-    pair = [F.least("home_team_id", "away_team_id").alias("low"), F.greatest("home_team_id", "away_team_id").alias("high")]
-    targets = matches.where("not is_played").select("match_id", "competition_id", "match_date", *pair)
-    past = matches.where("is_played").select("competition_id", F.col("match_id").alias("past_id"), F.col("match_date").alias("past_date"), "home_goals", "away_goals", *pair)
-    met = targets.join(past, ["competition_id", "low", "high"]).where("past_date < match_date")
-    w = W.partitionBy("match_id").orderBy(F.col("past_date").desc(), F.col("past_id").desc())
-    return met.withColumn("place", F.row_number().over(w)).where(F.col("place") <= last).select("match_id", "place", "past_id", "past_date", "home_goals", "away_goals")
+    """The last played meetings of each unplayed contest's pair on strictly earlier dates.
+
+    A pair's played contests are numbered; a target looks its last numbers up by an equi join, instead of
+    a join with all its history.
+    """
+    pair = ["competition_id", "low", "high"]
+    targets = meetings_before(matches).where("not is_played")
+    numbers = F.explode(F.sequence(F.lit(1), F.least("met", F.lit(last).cast("long"))))
+    wanted = targets.where("met > 0").select("match_id", *pair, "met", numbers.alias("place")).withColumn("k", F.col("met") - F.col("place") + 1)
+    order = W.partitionBy(*pair).orderBy("match_date", "match_id")
+    past = _pairs(matches.where("is_played")).select(*pair, F.row_number().over(order).cast("long").alias("k"), F.col("match_id").alias("past_id"), F.col("match_date").alias("past_date"), "home_goals", "away_goals")
+    return wanted.join(past, [*pair, "k"]).select("match_id", F.col("place").cast("int").alias("place"), "past_id", "past_date", "home_goals", "away_goals")
 
 
 def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -9,7 +9,7 @@ from contestry.operators import tables as t
 from contestry.operators.form import feature_table
 from contestry.plans.features import rounded
 from contestry.plans.models import frozen
-from contestry.sources.contests import contests, with_contests
+from contestry.sources.contests import stored_contests, with_contests
 from contestry.sources.raw import raw_rows
 
 QUERIES: dict = {}
@@ -18,7 +18,7 @@ ORACLE: dict = {}
 
 def query(name: str, sql: str | None = None):
     def add(f):
-        QUERIES[name] = lambda spark, sf_dir: rounded(f(contests(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: rounded(f(stored_contests(spark, sf_dir)))
         if sql:
             ORACLE[name] = with_contests(sql)
         return f

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contestry.operators import form
-from contestry.sources.contests import contests, with_contests
+from contestry.sources.contests import contests, stored_contests, with_contests
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -100,4 +100,4 @@ def w4(spark, sf_dir):
 
 @query("n26_feature_table")
 def n26(spark, sf_dir):
-    return form.feature_table(contests(spark, sf_dir))
+    return form.feature_table(stored_contests(spark, sf_dir))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from contestry.operators import evaluate as e
 from contestry.operators.form import feature_table
 from contestry.operators.learn import fit_predict
 from contestry.plans.features import ELO, rounded
-from contestry.sources.contests import contests, with_contests
+from contestry.sources.contests import contests, stored_contests, with_contests
+from contestry.sources.store import shared_dir, stored
 from contestry.streaming.elo import streaming_elo
 
 QUERIES: dict = {}
@@ -21,8 +21,8 @@ ORACLE: dict = {}
 def _model_query(name: str):
     def run(spark, sf_dir):
         """Fitted on played contests of seasons before 1998, scored on season 1998."""
-        m = contests(spark, sf_dir)
-        rows = feature_table(m).join(m.where("is_played").select("match_id", "start_year", "result_code"), "match_id").persist()
+        m = stored_contests(spark, sf_dir)
+        rows = stored(feature_table(m).join(m.where("is_played").select("match_id", "start_year", "result_code"), "match_id"), "rows")
         train, valid = rows.where("start_year < 1998").drop("start_year"), rows.where("start_year = 1998").drop("start_year")
         scored = fit_predict(name, train, valid).withColumn("model", F.lit(name))
         return rounded(e.metrics(scored, ["model"]).select("model", "n", "accuracy", "log_loss", "brier", "f1_macro"))
@@ -36,12 +36,7 @@ for key, name in {"m1": "logreg", "m2": "logreg_balanced", "m3": "random_forest"
 
 def x2_streaming_elo(spark, sf_dir):
     """The contests as a file stream, rated in one pass and read back from the sink."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    path = f"{shared.rstrip('/')}/elo-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/elo-{uuid.uuid4().hex}"
     contests(spark, sf_dir).write.parquet(f"{path}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
     rated = streaming_elo(stream.select("competition_id", F.date_format("match_date", "yyyy-MM-dd").alias("match_date"), "kickoff_time", "match_id", "home_team_id", "away_team_id", "is_played", "home_goals", "away_goals"))

@@ -11,7 +11,8 @@ from contestry.functions import scalars as s
 from contestry.operators import evaluate as e
 from contestry.operators import poisson
 from contestry.plans.features import rounded
-from contestry.sources.contests import contests, with_contests
+from contestry.sources.contests import stored_contests, with_contests
+from contestry.sources.store import stored
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -23,7 +24,7 @@ COLUMNS = ["model", *KEYS, "match_id", "result_code", *e.TRIPLE]
 
 def query(name: str, sql: str | None = None):
     def add(f):
-        QUERIES[name] = lambda spark, sf_dir: rounded(f(contests(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: rounded(f(stored_contests(spark, sf_dir)))
         if sql:
             ORACLE[name] = with_contests(sql)
         return f
@@ -32,8 +33,8 @@ def query(name: str, sql: str | None = None):
 
 
 def fold_predictions(m: DataFrame, years: list[int] = YEARS) -> DataFrame:
-    """Predictions of all baseline models on every fold's validation season."""
-    rows = e.folds(m, years)
+    """Predictions of all baseline models on every fold's validation season; the folds are written once."""
+    rows = stored(e.folds(m, years), "folds")
     train, valid = rows.where("role = 'train'"), rows.where("role = 'valid'")
     made = {"uniform": e.uniform(valid), "empirical": e.empirical(train, valid, KEYS), "dixon_coles": poisson.fit_and_predict(train, valid, KEYS)}
     return reduce(DataFrame.unionByName, [df.withColumn("model", F.lit(name)).select(*COLUMNS) for name, df in made.items()])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from contestry.functions import scalars as s
@@ -91,7 +92,7 @@ def t2(m):
     return m.where("is_played").orderBy(F.col("match_date").desc(), F.col("kickoff_time").desc_nulls_last(), F.col("match_id").desc()).limit(1).select("match_id", "match_date")
 
 
-@query("t3_page", "SELECT match_id, (row_number() OVER (ORDER BY match_date, match_id))::INT AS place FROM contests WHERE NOT is_played QUALIFY place BETWEEN 21 AND 40")
+@query("t3_page", "SELECT match_id, (row_number() OVER (ORDER BY match_date, match_id))::INT AS place FROM contests WHERE NOT is_played QUALIFY ceil(place / 20) = least(2, greatest(ceil(count(*) OVER () / 20), 1))")
 def t3(m):
     return t.page(m.where("not is_played").select("match_id", "match_date"), [F.col("match_date"), F.col("match_id")], 2, 50).select("match_id", "place")
 
@@ -106,12 +107,17 @@ def t5(m):
     return t.by_date(m.where("not is_played"))
 
 
-@query("t9_settled", "SELECT match_id, result, (row_number() OVER (ORDER BY match_date DESC, coalesce(kickoff_time, '00:00:00') DESC, match_id DESC))::INT AS place FROM contests WHERE is_played AND start_year = 2000")
+@query("t9_settled", "SELECT match_id, result, (row_number() OVER (PARTITION BY competition_id ORDER BY match_date DESC, coalesce(kickoff_time, '00:00:00') DESC, match_id DESC))::INT AS place FROM contests WHERE is_played AND start_year = 2000")
 def t9(m):
-    from pyspark.sql import Window as W
-
+    """Newest first in each competition."""
     order = [F.col("match_date").desc(), F.coalesce("kickoff_time", F.lit("00:00:00")).desc(), F.col("match_id").desc()]
-    return m.where("is_played and start_year = 2000").select("match_id", "result", F.row_number().over(W.orderBy(*order)).alias("place"))
+    return m.where("is_played and start_year = 2000").select("match_id", "result", F.row_number().over(W.partitionBy("competition_id").orderBy(*order)).alias("place"))
+
+
+@query("t3_last_page", "SELECT match_id, (row_number() OVER (ORDER BY match_date, match_id))::INT AS place FROM contests WHERE is_played QUALIFY ceil(place / 10) = ceil(count(*) OVER () / 10)")
+def t3_last(m):
+    """A page beyond the last is the last; a size below 10 is 10."""
+    return t.page(m.where("is_played").select("match_id", "match_date"), [F.col("match_date"), F.col("match_id")], 10**6, 3).select("match_id", "place")
 
 
 @query("n12_team_filter", "SELECT match_id FROM contests WHERE (home_team_id = 7 OR away_team_id = 7) AND match_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'")

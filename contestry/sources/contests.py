@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from contestry.sources.store import stored
 
 #: The fixed day up to which contests count as played.
 TODAY = "2001-02-01"
@@ -19,11 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    order = W.partitionBy("l_orderkey").orderBy("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    first_two = lines.withColumn("place", F.row_number().over(order)).where("place <= 2")
-    side = F.struct("l_suppkey", "l_linenumber", "l_quantity")
-    sides = first_two.groupBy("l_orderkey").agg(F.max(F.when(F.col("place") == 1, side)).alias("h"), F.max(F.when(F.col("place") == 2, side)).alias("a"))
+    order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(*order).alias("line"))
+    # an order has a handful of lines: one aggregation finds its first two
+    two = lines.groupBy("l_orderkey").agg(F.slice(F.sort_array(F.collect_list("line")), 1, 2).alias("two")).where(F.size("two") == 2)
+    sides = two.select("l_orderkey", F.col("two")[0].alias("h"), F.col("two")[1].alias("a"))
     region = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
     home, away = region.toDF("home_team_id", "competition_id"), region.toDF("away_team_id", "away_region")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
@@ -51,6 +52,11 @@ def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_result(out).withColumn("start_year", season_start("match_date"))
 
 
+def stored_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view written once, for plans that use it many times: they scan order lines once."""
+    return stored(contests(spark, sf_dir), "contests")
+
+
 def with_result(df: DataFrame) -> DataFrame:
     """result (H, D, A) and result_code (2, 1, 0) from the goals; null without goals."""
     diff = F.col("home_goals") - F.col("away_goals")

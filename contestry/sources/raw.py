@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,19 @@ def raw_rows(m: DataFrame) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Result files (CSV with a header): all strings, empty for null, with the file's name."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    df = df.toDF(*[c.removeprefix("﻿") for c in df.columns])
-    return df.fillna("").withColumn("source_file", F.col("_metadata.file_path"))
+    """Result files (CSV with a header): all strings, empty for null, with the file's name.
+
+    Season files differ in their columns: files of one header are read together, and the groups are
+    united by name. The files' first lines are collected, one a file, never their rows.
+    """
+    lines = spark.read.text(path).withColumn("file", F.col("_metadata.file_path")).withColumn("at", F.monotonically_increasing_id())
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head")).groupBy("head").agg(F.collect_list("file").alias("files")).collect()
+    found = []
+    for r in sorted(heads, key=lambda r: r.head):
+        df = spark.read.option("header", True).option("inferSchema", False).csv(r.files)
+        df = df.toDF(*[c.removeprefix("\ufeff") for c in df.columns])
+        found.append(df.withColumn("source_file", F.col("_metadata.file_path")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found).fillna("")
 
 
 def read_fixtures(spark: SparkSession, path: str, division: str) -> DataFrame:
