@@ -160,3 +160,45 @@ def differentials(df: DataFrame) -> DataFrame:
         "ga_diff_l5": c("home_goals_conceded_avg_l5") - c("away_goals_conceded_avg_l5"),
         "recent_total_goals_avg_l5": (c("home_goals_total_avg_l5") + c("away_goals_total_avg_l5")) / 2.0,
     })
+
+
+# At a checkpoint: contests once for each checkpoint (scope), those after its cutoff unplayed.
+
+
+def frozen_form(frozen: DataFrame) -> DataFrame:
+    """Form of the sides of what remains at a checkpoint: the last five known contests of each team there.
+
+    frozen: contests with scope, season and checkpoint; earlier seasons are history.
+    """
+    grain = long_form(frozen, "scope", "season", "checkpoint")
+    order = [F.col(c).desc() for c in ("match_date", "kickoff_time", "match_id")]
+    place = lambda *more: F.row_number().over(W.partitionBy("scope", "team_id", *more).orderBy(*order))
+    known = grain.where("is_played").withColumns({"n": place(), "v": place("is_home")})
+    last = F.col("n") <= LAST
+    overall = known.where(last).groupBy("scope", "team_id").agg(*[F.avg(c).alias(n) for n, c in MEASURES.items()], F.sum("points").alias("points_l5"), F.sum("goal_diff").alias("gd_l5"), F.count("*").alias("prior_n"))
+    venue = known.where(F.col("v") <= LAST).groupBy("scope", "team_id", "is_home").agg(F.avg("win").alias("venue_win_rate_l5"), F.avg("draw").alias("venue_draw_rate_l5"))
+    rest = grain.where("not is_played and start_year = season").select("scope", "match_id", "season", "checkpoint", "team_id", "is_home")
+    return rest.join(overall, ["scope", "team_id"], "left").join(venue, ["scope", "team_id", "is_home"], "left").fillna({"prior_n": 0})
+
+
+def frozen_meetings(frozen: DataFrame) -> DataFrame:
+    """match_id, checkpoint and the head-to-head shares over all meetings known there."""
+    pair = ["scope", "low", "high"]
+    x = frozen.withColumns({"low": F.least("home_team_id", "away_team_id"), "high": F.greatest("home_team_id", "away_team_id")})
+    low_won = F.when(F.col("home_team_id") == F.col("low"), F.col("result") == "H").otherwise(F.col("result") == "A")
+    known = x.where("is_played").groupBy(*pair).agg(F.count("*").alias("n"), F.count_if(low_won).alias("low_wins"), F.count_if(F.col("result") == "D").alias("draws"))
+    rest = x.where("not is_played and start_year = season").join(known, pair, "left")
+    wins = F.when(F.col("home_team_id") == F.col("low"), F.col("low_wins")).otherwise(F.col("n") - F.col("draws") - F.col("low_wins"))
+    return rest.select("match_id", "checkpoint", (wins / F.col("n")).alias("h2h_home_win_rate_n"), (F.col("draws") / F.col("n")).alias("h2h_draw_rate_n"))
+
+
+def frozen_features(frozen: DataFrame) -> DataFrame:
+    """match_id, checkpoint and all features of what remains at each checkpoint."""
+    # one id a contest and checkpoint, in the order of the contests' own ids
+    marked = frozen.withColumn("at", F.col("match_id") * 100_000 + (F.col("season") % 1000) * 100 + F.col("checkpoint"))
+    rated = elo(marked.select(F.col("scope").alias("competition_id"), "match_date", "kickoff_time", F.col("at").alias("match_id"), "home_team_id", "away_team_id", "is_played", "home_goals", "away_goals"))
+    form = frozen_form(frozen).withColumn("match_id", F.col("match_id") * 100_000 + (F.col("season") % 1000) * 100 + F.col("checkpoint"))
+    out = sides_in_columns(form).join(rated, "match_id")
+    met = frozen_meetings(frozen).select(F.col("match_id").alias("contest"), F.col("checkpoint").alias("games"), "h2h_home_win_rate_n", "h2h_draw_rate_n")
+    out = differentials(out).withColumns({"contest": F.floor(F.col("match_id") / 100_000).cast("long"), "games": (F.col("match_id") % 100).cast("int")}).drop("match_id")
+    return out.join(met, ["contest", "games"], "left").withColumnsRenamed({"contest": "match_id", "games": "checkpoint"})

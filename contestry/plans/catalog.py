@@ -1,10 +1,10 @@
 """All registered queries over the contest tables, with their SQL."""
 
-from contestry.plans import curations, features, forecasts, learning, models, payloads, reports
+from contestry.plans import curations, features, forecasts, learning, models, payloads, reports, trainings
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for part in (features, reports, payloads, models, forecasts, curations, learning):
+for part in (features, reports, payloads, models, forecasts, curations, learning, trainings):
     QUERIES.update(part.QUERIES)
     ORACLE.update(part.ORACLE)
 

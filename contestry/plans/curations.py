@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 
 from contestry.operators import curation as c
 from contestry.operators import tables as t
-from contestry.operators.form import feature_table
 from contestry.plans.features import rounded
-from contestry.plans.models import frozen
 from contestry.sources.contests import stored_contests, with_contests
 from contestry.sources.raw import raw_rows
 
@@ -84,34 +82,7 @@ def s7(m):
     return c.upsert(old, new, ["match_id"], F.col("o.is_played")).drop("is_played")
 
 
-@query("d11_match_problems", "SELECT unnest(['played without result', 'unplayed with score', 'same teams', 'negative goals', 'result against goals', 'code against result', 'duplicate ids']) AS \"check\", 0::BIGINT AS rows FROM (SELECT count(*) FROM contests)")
-def d11(m):
-    return c.match_problems(m)
-
-
 @query("d10_season_problems", "sm AS (SELECT competition_id, start_year, count(*) AS matches, count(*) FILTER (is_played) AS played, count(*) FILTER (result_code = 1) AS draw FROM contests GROUP BY 1, 2) SELECT competition_id, start_year, unnest(list_filter([CASE WHEN start_year < 2000 AND matches <> 80 AND start_year BETWEEN 1995 AND 1999 THEN 'incomplete' END, CASE WHEN played >= 30 AND NOT draw / played BETWEEN 0.15 AND 0.35 THEN 'draw share' END], lambda x: x IS NOT NULL)) AS problem FROM sm")
 def d10(m):
     catalog = m.select("competition_id").distinct().withColumns({"first_year": F.lit(1995), "last_year": F.lit(1999), "matches": F.lit(80)})
     return c.season_problems(t.season_summary(m), catalog, live=2000)
-
-
-@query("d12_feature_problems")
-def d12(m):
-    return c.feature_problems(m, feature_table(m))
-
-
-@query("d14_prediction_problems")
-def d14(m):
-    return c.prediction_problems(frozen(m))
-
-
-@query("j12_unpredicted", "SELECT match_id FROM contests c WHERE NOT is_played AND NOT EXISTS (SELECT 1 FROM contests p WHERE p.match_id = c.match_id AND p.match_id % 4 = 0)")
-def j12(m):
-    return m.where("not is_played").select("match_id").join(m.where("match_id % 4 = 0").select("match_id"), "match_id", "left_anti")
-
-
-@query("j15_latest_prediction", "r AS (SELECT match_id, v.run, (match_id * v.run) % 17 AS created FROM contests, (VALUES (1), (2), (3)) v(run) WHERE match_id % 4 = 0), l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY created DESC, run DESC) = 1) SELECT contests.match_id, l.run, l.created FROM contests LEFT JOIN l USING (match_id)")
-def j15(m):
-    runs = m.where("match_id % 4 = 0").select("match_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("run"))
-    runs = runs.withColumn("created", (F.col("match_id") * F.col("run")) % 17).withColumn("at", F.struct("created", "run"))
-    return m.select("match_id").join(t.latest_per_key(runs, "match_id", "at").drop("at"), "match_id", "left")

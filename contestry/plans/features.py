@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from contestry.operators import form
@@ -98,6 +100,23 @@ def w4(spark, sf_dir):
     return form.elo(contests(spark, sf_dir))
 
 
-@query("n26_feature_table")
+_RAW = lambda sql: re.sub(r"round\((.*?), 6\)", r"\1", sql)
+_J3 = ORACLE["j3_asof_form"].partition("SELECT t.match_id, t.is_home, round(avg(win)")
+_SIDE = ["win_rate_l5", "draw_rate_l5", "goals_scored_avg_l5", "goals_conceded_avg_l5", "goals_total_avg_l5", "points_l5", "gd_l5", "prior_n"]
+_SHOWN = [f"round({s}.{c}, 6) AS {n}_{c}" if "avg" in c or "rate" in c else f"{s}.{c} AS {n}_{c}" for s, n in (("h", "home"), ("a", "away")) for c in _SIDE]
+#: ft: the whole feature table.
+FEATURE_SQL = LONG + "," + ASOF + "," + H2H + "," + ELO + f""",
+wf AS (SELECT match_id, is_home, {_RAW(FORM_COLUMNS)} FROM lg WHERE is_played {WINDOWS}),
+af AS ({_RAW(_J3[1] + _J3[2])}),
+fm AS (SELECT * FROM wf UNION ALL BY NAME SELECT * FROM af),
+ft AS (SELECT h.match_id, {", ".join(_SHOWN)}, round(h.venue_win_rate_l5, 6) AS home_home_win_rate_l5, round(h.venue_draw_rate_l5, 6) AS home_home_draw_rate_l5, round(a.venue_win_rate_l5, 6) AS away_away_win_rate_l5, round(a.venue_draw_rate_l5, 6) AS away_away_draw_rate_l5,
+  round(h2.w, 6) AS h2h_home_win_rate_n, round(h2.d, 6) AS h2h_draw_rate_n, round(el.h, 6) AS home_elo, round(el.a, 6) AS away_elo, round(abs(el.h - el.a), 6) AS elo_abs_diff,
+  round(h.points_l5 / greatest(h.prior_n, 1) - a.points_l5 / greatest(a.prior_n, 1), 6) AS ppg_diff_l5, round(h.goals_scored_avg_l5 - a.goals_scored_avg_l5, 6) AS gf_diff_l5, round(h.goals_conceded_avg_l5 - a.goals_conceded_avg_l5, 6) AS ga_diff_l5,
+  round((h.goals_total_avg_l5 + a.goals_total_avg_l5) / 2, 6) AS recent_total_goals_avg_l5, 'v1' AS feature_version
+  FROM fm h JOIN fm a ON h.match_id = a.match_id AND h.is_home AND NOT a.is_home JOIN h2 ON h2.match_id = h.match_id JOIN el ON el.match_id = h.match_id)
+"""
+
+
+@query("n26_feature_table", FEATURE_SQL + " SELECT * FROM ft", recursive=True)
 def n26(spark, sf_dir):
     return form.feature_table(stored_contests(spark, sf_dir))
