@@ -70,7 +70,17 @@ def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+    out = spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that no later job reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

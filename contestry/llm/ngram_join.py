@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small, unused, written
+from .common import discard, small, unused, written
 from .shingles import Sets, shingle_sets, slices
 
 WORDS = 5
@@ -226,12 +226,12 @@ def restored(percent: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def peeled(df: DataFrame, rows: Rows, volume: int, percent: int = PERCENT) -> DataFrame:
-    """PEELED of the rows of df; volume: about how many shingles they have."""
+def peeled(df: DataFrame, rows: Rows, volume: int, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """PEELED of the rows of df, and the written table that it reads; volume: about how many shingles they have."""
     columns = max(df.sparkSession.sparkContext.defaultParallelism * 2, -(-volume // COLUMN_BLOCK))
     sent = df.mapInArrow(row_blocks(rows, columns), SENT)
     back = written(sent.groupBy("col").applyInArrow(counted, BACK), "back")  # the shingles sent have no more use
-    return back.groupBy("base").applyInArrow(restored(percent), PEELED)
+    return back.groupBy("base").applyInArrow(restored(percent), PEELED), back
 
 
 POSTED = "token long, p struct<node:long,n:int,m:int,pos:int>, centre double"
@@ -423,11 +423,13 @@ def similarity_classes(docs: DataFrame, carry: list[str], percent: int = PERCENT
     """
     rows = written(sizes_and_digests(docs, carry), "rows")
     volume = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = peeled(docs.select("text"), text_rows, volume, percent)
+    shared, back = peeled(docs.select("text"), text_rows, volume, percent)
     shared = written(shared.groupBy("id1", "id2").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "shared")
+    discard(back)
     volume = shared.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0] // 8
-    nodes = peeled(shared.select("n", "id1", "id2", "tokens"), node_rows, volume, percent)
+    nodes, back = peeled(shared.select("n", "id1", "id2", "tokens"), node_rows, volume, percent)
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    discard(back, shared)
     posts = written(postings(nodes, percent), "posts")
     links = written(linked(pivot_pairs(posts, percent), nodes, percent), "links")
     roots = written(components(links), "roots")

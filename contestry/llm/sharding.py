@@ -1,9 +1,9 @@
 """Sharding by a two-pass external shuffle.
 
 Pass one counts rows and bytes and scatters the records by a seeded hash into buckets that fit a
-task's memory. Pass two shuffles each bucket and deals the records, in bucket order, to the shards:
-shard and slot follow from the record's place in the whole order, so shard sizes differ by one row at
-most (law "rows"). The shards are written as folders of the shared folder, their rows in the order of
+task's memory. Pass two shuffles each bucket and deals the records, in bucket order, to the shards in
+turn: shard and slot follow from the record's place in the whole order, so shard sizes differ by one row
+at most (law "rows"). The shards are written as folders of the shared folder, their rows in the order of
 the slots.
 
 A bucket is shuffled by sorting it by 128 random bits that a record draws from seed and content. That
@@ -11,8 +11,9 @@ gives the uniform permutations of a Fisher-Yates pass, but the same one in every
 partitions and after a lost executor; Spark's shuffle(), a Fisher-Yates pass over an array, draws by
 partition number and arrival and can't repeat itself.
 
-Rows that are alike in every column are interchangeable. They are counted, and each copy is scattered
-by its number too, so that a row that is repeated without end fills no bucket.
+Rows that are alike in every column are interchangeable; they lie side by side in their bucket and so go
+to different shards. Where there are more than COPIES of a row, each copy is scattered by its number
+too, so that a row that is repeated without end fills no bucket.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ SEED = 20_240_601
 BUCKET_BYTES = 8 << 20
 #: Least buckets, so that small inputs still use every core.
 LEAST_BUCKETS = 256
+#: Copies of a row (alike in every column) that may share a bucket.
+COPIES = 64
 
 
 def plain_columns(df: DataFrame) -> list[str]:
@@ -42,16 +45,18 @@ def record_hash(df: DataFrame, *seed) -> F.Column:
 
 
 def numbered_copies(df: DataFrame, copy: str) -> DataFrame:
-    """df with a column copy that numbers the rows that are alike in every column from 0; others have 0.
+    """df with a column copy: from 0 for the rows that more than COPIES are like in every column, 0 for others.
 
-    Only rows with copies are aggregated; where columns can't be compared all rows have 0.
+    Only such rows are aggregated; where columns can't be compared all rows have 0.
     """
     if len(plain_columns(df)) < len(df.columns):
         return df.withColumn(copy, F.lit(0))
     h, g, n = unused(df, "h", "g", "n")
     marked = df.withColumns({h: record_hash(df, 1), g: record_hash(df, 2)})
-    again = marked.groupBy(h, g).agg(F.count("*").alias(n)).where(f"`{n}` > 1").select(F.col(h).alias(f"{h}_"), F.col(g).alias(f"{g}_"))
+    again = marked.groupBy(h, g).agg(F.count("*").alias(n)).where(F.col(n) > COPIES).select(F.col(h).alias(f"{h}_"), F.col(g).alias(f"{g}_"))
     again = small(again)
+    if not again.limit(1).count():
+        return df.withColumn(copy, F.lit(0))
     same = (F.col(h) == F.col(f"{h}_")) & (F.col(g) == F.col(f"{g}_"))
     once = marked.join(again, same, "left_anti").select(*df.columns, F.lit(0).alias(copy))
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(h)
@@ -76,7 +81,7 @@ def assign_shards(
     """
     df = df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
     size = size if size is not None else F.octet_length(text_of(F.col("text"))) + 16
-    total, volume = df.agg(F.count("*"), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    volume = df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, -(-volume // bucket_bytes))
     bucket, draw, row, base, at, n, copy = unused(df, "bucket", "draw", "row", "base", "at", "n", "copy")
     copies = numbered_copies(df, copy)
@@ -94,13 +99,7 @@ def assign_shards(
     filled = scattered.groupBy(bucket).agg(shuffled.alias(row))
     dealt = filled.join(small(bases, BROADCAST_ROWS), bucket).select(base, F.posexplode(row).alias(at, row))
     place = F.col(base) + F.col(at)
-    shard = F.expr(f"({base} + {at}) * {shards}L div {max(total, 1)}L")
-    first = F.expr(f"({names[0]} * {max(total, 1)}L + {shards - 1}L) div {shards}L")
-    return (
-        dealt.select(f"{row}.{row}.*", place.alias(at), shard.cast("int").alias(names[0]))
-        .withColumn(names[1], F.col(at) - first)
-        .drop(at)
-    )
+    return dealt.select(f"{row}.{row}.*", F.pmod(place, F.lit(shards)).cast("int").alias(names[0]), F.floor(place / shards).cast("long").alias(names[1]))
 
 
 def write_shards(df: DataFrame, **how) -> DataFrame:
