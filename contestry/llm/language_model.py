@@ -1,16 +1,17 @@
 """A gated recurrent language model that scores whole documents.
 
-Words are counted over all training documents by Spark. The most frequent words form classes; there are
-at least FREQUENT of them, and their number and the size of a class grow with the distinct words. All
-other words form RARE classes by their last letters. The output softmax is
-factored: first the class given the state, then, in the classes of frequent words, the word given
-class and state; in rare classes the word's smoothed share of its class.
-
-Training is data-parallel. In each of ROUNDS rounds every task runs truncated backpropagation (numpy)
-over its part of the training documents, each document in one round; the tasks' weights are averaged
-by Spark, weighted by their tokens. Documents are read in windows of STEPS words, and the state is
-carried from window to window, in training and in scoring, so that a document's log-likelihood is
-that of its whole text.
+Words are hashed to 64 bits and counted over all training documents by Spark. The most frequent words
+form classes; there are at least FREQUENT of them, and their number and the size of a class grow with
+the distinct words. All other words form RARE classes by their last letters. The output softmax is
+factored: first the class given the state, then, in the classes of frequent words, the word given class
+and state; in rare classes the word's smoothed share of its class.
+
+Training is data-parallel. In each of ROUNDS rounds the documents of the round form shards of about
+SHARD_TOKENS tokens, whatever the number of tasks; over each runs truncated backpropagation (numpy),
+each document in one round; the shards' weights are averaged by Spark, weighted by their tokens.
+Documents are read in windows of STEPS words, and the state is carried from window to window, in
+training and in scoring, so that a document's log-likelihood is that of its whole text. A window is
+cut from the texts' words when its turn comes: long documents aren't padded to anything.
 
 Counts of the LISTED most frequent words are broadcast (that many entries at most); the tokens beyond
 meet their counts in a shuffled join.
@@ -20,41 +21,65 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import most_counted, text_of, written
+from .shingles import slices, text_bytes, word_hashes
 
 FOLDS, HELD_OUT = 5, 1
 #: Least frequent words and least words a class; frequent words by the root of the distinct words.
 FREQUENT, CLASS_WORDS, RARE = 1024, 32, 32
 ROOTS = 4
 LISTED = 200_000
-HIDDEN, STEPS, LANES = 16, 32, 256
-ROUNDS, RATE = 3, 0.08
-#: Documents that a scoring task holds at a time.
-CHUNK = 2_000
+HIDDEN, STEPS = 16, 32
+#: Documents side by side: fewer in training, where each window is a step of the descent.
+LANES, SCORE_LANES = 256, 768
+#: Adagrad's rate and the first sum of squares. Biases stay those of the unigram model.
+ROUNDS, RATE, START = 3, 0.1, 1e-6
+SHARD_TOKENS = 2_000_000
+#: Tokens that a task scores together at least.
+SCORE_TOKENS = 4_000_000
+#: Tokens whose softmax is in memory at a time.
+TILE = 2_048
 #: Distinct words a counting task holds before it passes them on.
-COUNTED = 400_000
-END = ""
-
-
-def tokens(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+COUNTED = 1_000_000
+#: Pieces in which weights are averaged, and partial averages of each.
+PIECES, PARTIAL = 32, 32
+#: The token that ends each document.
+END = np.uint64(0)
 
 
 def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def rare_class(word: bytes) -> int:
-    """Of the RARE classes, from the last two bytes."""
-    return zlib.crc32(word[-2:]) % RARE
+def rare_class(suffix: bytes) -> int:
+    """Of the RARE classes, from a word's last two bytes."""
+    return zlib.crc32(suffix) % RARE
+
+
+#: rare_class of a last byte and, by the place 256 * (byte before + 1), of two; upper case counts as lower.
+RARE_CLASSES = np.array([[rare_class((bytes([b]) if b >= 0 else b"") + bytes([c])) for c in bytes(range(256)).lower()] for b in [-1, *bytes(range(256)).lower()]], np.int32)
+
+
+def tokens_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each token, its rare class, offsets of the documents); each document ends with END."""
+    data, offsets = text_bytes(text)
+    hashes, first, last = word_hashes(data, offsets[:-1])
+    of = np.searchsorted(first, offsets)
+    before = np.where(last > first, data[last - 1].astype(np.int32) + 1, 0)
+    out, rare = np.full(len(hashes) + len(text), END, np.uint64), np.full(len(hashes) + len(text), rare_class(b""), np.int32)
+    place = np.arange(len(hashes)) + np.repeat(np.arange(len(text)), np.diff(of))
+    out[place], rare[place] = hashes, RARE_CLASSES[before, data[last]]
+    return out, rare, of + np.arange(len(of))
 
 
 def frequent_words(v: int) -> int:
@@ -62,76 +87,101 @@ def frequent_words(v: int) -> int:
     return min(max(FREQUENT, ROOTS * math.isqrt(v)), LISTED)
 
 
+def _text(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column(batch.schema.get_field_index("text"))
+
+
 def count_words(docs: DataFrame) -> DataFrame:
-    """word, c over docs' texts; each document has one END besides its words."""
+    """word (its hash), k (its rare class), c over docs' texts; each document has one END besides its words."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for text in batch["text"]:
-                counts.update(tokens(text))
-                if len(counts) > COUNTED:
-                    yield _frame(counts)
-                    counts.clear()
-            counts[b""] += len(batch)
-        if counts:
-            yield _frame(counts)
+            for a, b in slices(_text(batch)):
+                words, rare, _ = tokens_of(_text(batch).slice(a, b - a))
+                held.append(_summed(words, rare, np.ones(len(words), np.int64)))
+                if sum(len(w) for w, _, _ in held) > COUNTED:
+                    held = [_summed(*map(np.concatenate, zip(*held)))]
+                    if len(held[0][0]) > COUNTED // 2:
+                        yield _counts(held.pop())
+        if held:
+            yield _counts(_summed(*map(np.concatenate, zip(*held))))
+
+    return docs.select("text").mapInArrow(count, "word long, k int, c long").groupBy("word", "k").agg(F.sum("c").alias("c"))
+
 
-    return docs.select(text_of(F.col("text")).alias("text")).mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def _summed(words: np.ndarray, rare: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    found, at, back = np.unique(words, return_index=True, return_inverse=True)
+    return found, rare[at], np.bincount(back, c, len(found)).astype(np.int64)
 
 
-def _frame(counts: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"word": [w.decode("utf-8", "surrogatepass") for w in counts], "c": list(counts.values())})
+def _counts(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), pa.array(found[1]), pa.array(found[2])], ["word", "k", "c"])
 
 
 class Vocabulary:
     """What all tasks know of the words: bounded by LISTED, whatever the corpus.
 
-    counts: the listed words, most frequent first; the first `frequent` have output classes of class_words.
+    words, rare, counts: the listed words, most frequent first; the first `frequent` have output classes
+    of class_words. n, v: all tokens and distinct words; rare_n, rare_v: those of each rare class.
     """
 
-    def __init__(self, counts: dict[bytes, int], n: int, v: int, rare_n: np.ndarray, rare_v: np.ndarray):
-        self.place = {w: i for i, w in enumerate(counts)}
-        self.n, self.v, self.rare_n, self.rare_v = n, v, rare_n, rare_v
+    def __init__(self, words: np.ndarray, rare: np.ndarray, counts: np.ndarray, n: int, v: int, rare_n: np.ndarray, rare_v: np.ndarray):
+        self.words, self.n, self.v, self.rare_n, self.rare_v = words, n, v, rare_n, rare_v
+        self.counts = counts.astype(float)
         self.frequent = min(frequent_words(v), len(counts))
         self.class_words = max(CLASS_WORDS, math.isqrt(self.frequent))
-        self.counts = np.array(list(counts.values()), float)
         self.classes = -(-self.frequent // self.class_words)
-        self.id_at = np.array([i if i < self.frequent else self.frequent + rare_class(w) for i, w in enumerate(counts)], np.int32)
-
-    def places(self, words: list[bytes]) -> np.ndarray:
+        self.id_at = np.where(np.arange(len(counts)) < self.frequent, np.arange(len(counts)), self.frequent + rare).astype(np.int32)
+        # open addressing: a word's slot is the first from its hash on that is free when it comes
+        self.slots = np.full(1 << max(10, (len(words) * 4).bit_length()), -1, np.int32)
+        left, step = np.arange(len(words)), 0
+        while len(left):
+            at = self._slot(words[left], step)
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            left, step = left[self.slots[at] != left], step + 1
+
+    def _slot(self, words: np.ndarray, step: int) -> np.ndarray:
+        return (words + np.uint64(step)) & np.uint64(len(self.slots) - 1)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
         """Each word's place among the listed; -1 where it has none."""
-        get = self.place.get
-        return np.array([get(w, -1) for w in words], np.int32)
+        out, left, step = np.full(len(words), -1, np.int32), np.arange(len(words)), 0
+        while len(left):
+            found = self.slots[self._slot(words[left], step)]
+            hit = (found >= 0) & (self.words[found] == words[left]) if len(self.words) else np.zeros(len(left), bool)
+            out[left[hit]] = found[hit]
+            left, step = left[(found >= 0) & ~hit], step + 1
+        return out
 
-    def ids(self, words: list[bytes], places: np.ndarray | None = None) -> np.ndarray:
+    def ids(self, rare: np.ndarray, places: np.ndarray) -> np.ndarray:
         """A frequent word's place, or the number of frequent words and the rare class."""
-        places = self.places(words) if places is None else places
-        out = self.id_at[places] if len(self.id_at) else np.zeros(len(words), np.int32)
-        for i in np.flatnonzero(places < 0).tolist():
-            out[i] = self.frequent + rare_class(words[i])
-        return out
+        if not len(self.id_at):
+            return rare + np.int32(self.frequent)
+        return np.where(places >= 0, self.id_at[places], rare + np.int32(self.frequent))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """counts: word, c (written before)."""
+    """counts: word, k, c (written before)."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = most_counted(counts, "c", LISTED).toPandas().sort_values(["c", "word"], ascending=[False, True])
-    listed = {w.encode("utf-8", "surrogatepass"): c for w, c in zip(top["word"], top["c"].tolist())}
-    suffix = F.encode("word", "UTF-8")
-    suffix = F.when(F.octet_length(suffix) > 2, F.substring(suffix, -2, 2)).otherwise(suffix)
-    by_class = counts.groupBy(F.pmod(F.crc32(suffix), F.lit(RARE)).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
+    words, rare, c = top["word"].to_numpy(np.int64).view(np.uint64), top["k"].to_numpy(np.int32), top["c"].to_numpy(np.int64)
     rare_n, rare_v = np.zeros(RARE), np.zeros(RARE)
-    for r in by_class:
+    for r in counts.groupBy("k").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         rare_n[r.k], rare_v[r.k] = r.n, r.v
-    for w in list(listed)[: frequent_words(v)]:
-        rare_n[rare_class(w)] -= listed[w]
-        rare_v[rare_class(w)] -= 1
-    return Vocabulary(listed, n, v, rare_n, rare_v)
+    told = min(frequent_words(v), len(c))
+    rare_n -= np.bincount(rare[:told], c[:told], RARE)
+    rare_v -= np.bincount(rare[:told], minlength=RARE)
+    return Vocabulary(words, rare, c, n, v, rare_n, rare_v)
 
 
 class Network:
-    """The weights and the passes of one gated recurrent network with a class-factored softmax."""
+    """The weights and the passes of one gated recurrent network with a class-factored softmax.
+
+    The softmax's biases bc and bw are the unigram model's and aren't trained: the weights tell by how much
+    a context departs from it.
+    """
 
     def __init__(self, known: Vocabulary, weights: np.ndarray | None = None):
         self.words, self.k, self.size = known.frequent, known.classes, known.class_words
@@ -154,81 +204,102 @@ class Network:
         c = np.full(self.k * self.size, 0.0)
         c[: self.words] = known.counts[: self.words]
         c = c.reshape(self.k, self.size)
-        self.bw[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9)), -30)
-        self.bc[:] = np.log(np.concatenate([c.sum(1), known.rare_n]) + 0.5)
+        self.bw[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9) / np.maximum(c.sum(1, keepdims=True), 1)), -30)
+        share = np.concatenate([c.sum(1), known.rare_n]) + 0.5
+        self.bc[:] = np.log(share / share.sum())
         self.Wc *= 0.1
         self.Ww *= 0.1
         self.b[:] = 0
 
-    def forward(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
-        """States after each step; ids: (steps, lanes) of input words, h: (lanes, HIDDEN)."""
-        x = self.E[ids]
+    def forward(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """States after each step, and what backward needs; ids: (steps, lanes) of input words, h: (lanes, HIDDEN)."""
+        # 1 / (1 + exp(-y)) = (1 + tanh(y / 2)) / 2
+        half = np.repeat(np.array([0.5, 0.5, 1], np.float32), HIDDEN)
+        x, u = self.E[ids], self.U * half
         x += self.b
-        states, kept = np.empty((*ids.shape, HIDDEN), np.float32), []
+        x *= half
+        shape = (*ids.shape, HIDDEN)
+        states, before, new, inner = (np.empty(shape, np.float32) for _ in range(4))
+        gates = np.empty((*ids.shape, 2 * HIDDEN), np.float32)
         for t in range(len(ids)):
-            a = h @ self.U
-            gates = x[t, :, : 2 * HIDDEN] + a[:, : 2 * HIDDEN]
-            np.negative(gates, out=gates)
-            np.exp(np.minimum(gates, 30, out=gates), out=gates)
-            gates += 1
-            np.reciprocal(gates, out=gates)
-            z, r, u = gates[:, :HIDDEN], gates[:, HIDDEN:], a[:, 2 * HIDDEN :]
-            new = np.tanh(x[t, :, 2 * HIDDEN :] + r * u)
-            kept.append((h, z, r, u, new))
-            h = new + z * (h - new)
+            before[t] = h
+            a = h @ u
+            g = gates[t]
+            np.add(x[t, :, : 2 * HIDDEN], a[:, : 2 * HIDDEN], out=g)
+            np.tanh(g, out=g)
+            g += 1
+            g *= 0.5
+            inner[t] = a[:, 2 * HIDDEN :]
+            n = new[t]
+            np.multiply(g[:, HIDDEN:], inner[t], out=n)
+            n += x[t, :, 2 * HIDDEN :]
+            np.tanh(n, out=n)
+            h = h - n
+            h *= g[:, :HIDDEN]
+            h += n
             states[t] = h
-        return states, kept
+        return states, (before, gates[:, :, :HIDDEN], gates[:, :, HIDDEN:], inner, new)
 
     def loss(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of the targets' classes and frequent words; and the gradient of the states."""
         frequent = targets < self.words
         of = np.where(frequent, targets // self.size, self.k + targets - self.words)
-        logits = states @ self.Wc
-        logits += self.bc
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        every = np.arange(len(of))
-        out = np.log(np.maximum(logits[every, of], 1e-30))
-        if grads is not None:
-            logits[every, of] -= 1
-            grads["Wc"] += states.T @ logits
-            grads["bc"] += logits.sum(0)
-            d = logits @ self.Wc.T
-        order = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[order], np.arange(self.k + 1))
+        out = np.empty(len(of), np.float32)
+        d = np.empty_like(states) if grads is not None else None
+        for at in range(0, len(of), TILE):
+            tile, goal = states[at : at + TILE], of[at : at + TILE]
+            logits = tile @ self.Wc
+            logits += self.bc
+            np.exp(np.minimum(logits, 60, out=logits), out=logits)
+            logits *= 1 / logits.sum(1, keepdims=True)
+            every = np.arange(len(goal))
+            out[at : at + TILE] = np.log(np.maximum(logits[every, goal], 1e-30))
+            if grads is not None:
+                logits[every, goal] -= 1
+                grads["Wc"] += tile.T @ logits
+                np.matmul(logits, self.Wc.T, out=d[at : at + TILE])
+        told = np.flatnonzero(frequent)
+        order = told[np.argsort(of[told], kind="stable")]
+        ends = np.searchsorted(of[order], np.arange(self.k + 1)).tolist()
+        rows, word = states[order], targets[order] % self.size
+        back, logs = np.empty_like(rows), np.empty(len(order), np.float32)
         for k in range(self.k):
-            rows = order[ends[k] : ends[k + 1]]
-            if not len(rows):
+            i, j = ends[k], ends[k + 1]
+            if i == j:
                 continue
-            s, w, at = states[rows], targets[rows] - k * self.size, np.arange(len(rows))
-            p = s @ self.Ww[k]
+            p = rows[i:j] @ self.Ww[k]
             p += self.bw[k]
-            p -= p.max(1, keepdims=True)
-            np.exp(p, out=p)
-            p /= p.sum(1, keepdims=True)
-            out[rows] += np.log(np.maximum(p[at, w], 1e-30))
+            np.exp(np.minimum(p, 60, out=p), out=p)
+            p *= 1 / p.sum(1, keepdims=True)
+            at = (np.arange(j - i), word[i:j])
+            logs[i:j] = p[at]
             if grads is not None:
-                p[at, w] -= 1
-                grads["Ww"][k] += s.T @ p
-                grads["bw"][k] += p.sum(0)
-                d[rows] += p @ self.Ww[k].T
-        return out, d if grads is not None else None
+                p[at] -= 1
+                grads["Ww"][k] += rows[i:j].T @ p
+                np.matmul(p, self.Ww[k].T, out=back[i:j])
+        out[order] += np.log(np.maximum(logs, 1e-30))
+        if grads is not None:
+            d[order] += back
+        return out, d
 
-    def backward(self, ids: np.ndarray, kept: list, d_states: np.ndarray, grads: dict) -> None:
+    def backward(self, ids: np.ndarray, kept: tuple, d_states: np.ndarray, grads: dict) -> None:
         """Backpropagation through one window; it stops at the window's first state."""
-        dx = np.empty((*ids.shape, 3 * HIDDEN), np.float32)
-        dh = np.zeros_like(d_states[0])
+        before, z, r, inner, new = kept
+        fall = 1 - z
+        by_new, by_z, by_r = fall * (1 - new * new), (before - new) * z * fall, inner * r * (1 - r)
+        dx, da = np.empty((*ids.shape, 3 * HIDDEN), np.float32), np.empty((*ids.shape, 3 * HIDDEN), np.float32)
+        dh, back = np.zeros_like(d_states[0]), np.ascontiguousarray(self.U.T)
         for t in range(len(ids) - 1, -1, -1):
-            h, z, r, u, new = kept[t]
-            dh = dh + d_states[t]
-            dn = dh * (1 - z) * (1 - new * new)
-            dz = dh * (h - new) * z * (1 - z)
-            dr = dn * u * r * (1 - r)
-            dx[t, :, :HIDDEN], dx[t, :, HIDDEN : 2 * HIDDEN], dx[t, :, 2 * HIDDEN :] = dz, dr, dn
-            da = np.concatenate([dz, dr, dn * r], 1)
-            grads["U"] += h.T @ da
-            dh = dh * z + da @ self.U.T
+            dh += d_states[t]
+            dn = dh * by_new[t]
+            np.multiply(dh, by_z[t], out=dx[t, :, :HIDDEN])
+            np.multiply(dn, by_r[t], out=dx[t, :, HIDDEN : 2 * HIDDEN])
+            dx[t, :, 2 * HIDDEN :] = dn
+            da[t, :, : 2 * HIDDEN] = dx[t, :, : 2 * HIDDEN]
+            np.multiply(dn, r[t], out=da[t, :, 2 * HIDDEN :])
+            dh = dh * z[t]
+            dh += da[t] @ back
+        grads["U"] += before.reshape(-1, HIDDEN).T @ da.reshape(-1, 3 * HIDDEN)
         dx = dx.reshape(-1, 3 * HIDDEN)
         grads["b"] += dx.sum(0)
         flat = ids.ravel()
@@ -237,130 +308,220 @@ class Network:
         grads["E"] = (words, np.add.reduceat(dx[order], starts))
 
 
-def lanes_of(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Documents of like length side by side: (their places, lengths, ids padded to the longest)."""
-    order = np.argsort([-len(t) for t in texts], kind="stable")
-    for at in range(0, len(order), LANES):
-        places = order[at : at + LANES]
-        lengths = np.array([len(texts[i]) for i in places])
-        ids = np.zeros((lengths[0], len(places)), np.int32)
-        for lane, i in enumerate(places):
-            ids[: lengths[lane], lane] = texts[i]
-        yield places, lengths, ids
-
-
-def windows(net: Network, lengths: np.ndarray, ids: np.ndarray, grads=None) -> Iterator[tuple]:
-    """Each window of a set of lanes: (start, real steps mask, log probabilities); states carry over."""
-    start = net.E.shape[0] - 1
-    inputs = np.vstack([np.full((1, ids.shape[1]), start, np.int32), ids[:-1]])
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
-    for at in range(0, len(ids), STEPS):
-        live = int(np.searchsorted(-lengths, -at, side="left"))  # lengths fall: lanes with words left
-        window, goal = inputs[at : at + STEPS, :live], ids[at : at + STEPS, :live]
-        states, kept = net.forward(window, h[:live])
-        real = np.arange(at, at + len(window))[:, None] < lengths[None, :live]
+def windows(net: Network, ids: np.ndarray, offsets: np.ndarray, lanes: int, grads=None) -> Iterator[tuple]:
+    """Every window of some documents, so many lanes side by side: (documents of the lanes, real steps, log probabilities).
+
+    ids: the documents' words, one after the other. A lane carries its document's state from window to
+    window and takes the next document when it ends: the longest ones first, the others in mixed order.
+    """
+    begin, starts, lengths = np.int32(net.E.shape[0] - 1), offsets[:-1], np.diff(offsets)
+    order = np.argsort(-lengths, kind="stable")
+    order = np.concatenate([order[:lanes], np.random.default_rng(len(order)).permutation(order[lanes:])])
+    doc, taken = order[:lanes].copy(), lanes
+    at, h = np.zeros(len(doc), np.int64), np.zeros((len(doc), HIDDEN), np.float32)
+    while len(doc):
+        step = at + np.arange(STEPS)[:, None]
+        real = step < lengths[doc]
+        goal = ids[np.minimum(starts[doc] + step, len(ids) - 1)]
+        given = np.empty_like(goal)
+        given[1:] = goal[:-1]
+        given[0] = np.where(at > 0, ids[starts[doc] + at - 1], begin)
+        states, kept = net.forward(given, h)
         if grads is None:
             logp, _ = net.loss(states[real], goal[real])
         else:
             logp, d = net.loss(states[real], goal[real], grads)
             d_states = np.zeros_like(states)
             d_states[real] = d
-            net.backward(window, kept, d_states, grads)
-        yield live, real, logp
+            net.backward(given, kept, d_states, grads)
+        yield doc, real, logp
+        at += STEPS
         h = states[-1].copy()
+        done = np.flatnonzero(at >= lengths[doc])
+        fresh = order[taken : taken + len(done)]
+        taken += len(fresh)
+        filled = done[: len(fresh)]
+        doc = doc.copy()
+        doc[filled], at[filled], h[filled] = fresh, 0, 0
+        if len(done) > len(fresh):
+            left = np.delete(np.arange(len(doc)), done[len(fresh) :])
+            doc, at, h = doc[left], at[left], h[left]
 
 
-def train_part(known: Vocabulary, weights: np.ndarray | None, batches: Iterator[list[np.ndarray]]) -> tuple[np.ndarray, int]:
-    """Weights after one pass over a task's documents (Adagrad), and the tokens it saw."""
-    net, seen = Network(known, weights), 0
-    sums = {name: np.full(shape, 1e-2, np.float32) for name, shape in net.shapes.items()}
-    for texts in batches:
-        for _, lengths, ids in lanes_of(texts):
-            grads = {n: np.zeros(s, np.float32) for n, s in net.shapes.items() if n != "E"}
-            for _, _, logp in windows(net, lengths, ids, grads):
-                scale = np.float32(1 / max(len(logp), 256))
-                words, g = grads.pop("E")
+Texts = tuple[np.ndarray, np.ndarray]
+
+
+def train_part(known: Vocabulary, weights: np.ndarray | None, shards: Iterator[Texts]) -> Iterator[tuple[np.ndarray, int]]:
+    """(weights after one pass over a shard (Adagrad), the tokens it saw) of each shard: (ids, offsets) of its documents.
+
+    Every shard starts from the given weights.
+    """
+    for ids, offsets in shards:
+        net, seen = Network(known, weights), 0
+        sums = {name: np.full(shape, START, np.float32) for name, shape in net.shapes.items()}
+        grads = {n: np.zeros(net.shapes[n], np.float32) for n in ("U", "b", "Wc", "Ww")}
+        for _, _, logp in windows(net, ids, offsets, LANES, grads):
+            scale = np.float32(1 / (LANES * STEPS))  # a window of few lanes counts by its tokens
+            words, g = grads.pop("E")
+            g *= scale
+            sums["E"][words] += g * g
+            net.E[words] -= RATE * g / np.sqrt(sums["E"][words])
+            for n, g in grads.items():
                 g *= scale
-                sums["E"][words] += g * g
-                net.E[words] -= RATE * g / np.sqrt(sums["E"][words])
-                for n, g in grads.items():
-                    g *= scale
-                    np.clip(g, -1, 1, out=g)
-                    sums[n] += g * g
-                    getattr(net, n)[...] -= RATE * g / np.sqrt(sums[n])
-                    g[...] = 0
-                seen += len(logp)
-    return net.flat, seen
-
-
-def train(docs: DataFrame, known: Vocabulary, tasks: int | None = None) -> np.ndarray:
-    """Averaged weights after ROUNDS rounds; docs: text, round."""
+                np.clip(g, -1, 1, out=g)
+                sums[n] += g * g
+                getattr(net, n)[...] -= RATE * g / np.sqrt(sums[n])
+                g[...] = 0
+            seen += len(logp)
+        yield net.flat, seen
+
+
+def gathered(parts: Iterator[Texts], most: int) -> Iterator[Texts]:
+    """Documents of several parts together, at least `most` tokens (but for the last)."""
+    held: list[Texts] = []
+    for part in parts:
+        held.append(part)
+        if sum(len(ids) for ids, _ in held) >= most:
+            yield _together(held)
+            held = []
+    if held:
+        yield _together(held)
+
+
+def _together(parts: list[Texts]) -> Texts:
+    ends = np.concatenate([np.diff(offsets) for _, offsets in parts])
+    return np.concatenate([ids for ids, _ in parts]), np.concatenate([[0], np.cumsum(ends)])
+
+
+def id_parts(known: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[Texts]:
+    for batch in batches:
+        for i, j in slices(_text(batch)):
+            words, rare, offsets = tokens_of(_text(batch).slice(i, j - i))
+            yield known.ids(rare, known.places(words)), offsets
+
+
+def train(docs: DataFrame, known: Vocabulary) -> np.ndarray:
+    """Averaged weights after ROUNDS rounds; docs: text, round.
+
+    A task sums its shards' weights; pieces of the sums are added up in two steps, so that no task
+    gathers more than a part of them.
+    """
     spark = docs.sparkSession
     shared, weights = spark.sparkContext.broadcast(known), None
-    tasks = tasks or max(spark.sparkContext.defaultParallelism, 1)
     for turn in range(ROUNDS):
         start = spark.sparkContext.broadcast(weights)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            vocab = shared.value
-            texts = ([vocab.ids([*tokens(t), b""]) for t in b["text"]] for b in batches)
-            flat, seen = train_part(vocab, start.value, texts)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocab, total, seen = shared.value, None, 0
+            for flat, n in train_part(vocab, start.value, gathered(id_parts(vocab, batches), SHARD_TOKENS)):
+                total, seen = flat.astype(np.float64) * n + (0 if total is None else total), seen + n
             if seen:
-                yield pd.DataFrame({"w": [flat], "seen": [seen]})
-
-        parts = docs.where(F.col("round") == turn).select("text").coalesce(tasks).mapInPandas(run, "w array<float>, seen long")
-        weighed = parts.select("seen", F.posexplode("w").alias("i", "x"))
-        mean = weighed.groupBy("i").agg((F.sum(F.col("x") * F.col("seen")) / F.sum("seen")).alias("x")).orderBy("i")
-        found = mean.toPandas()["x"].to_numpy(np.float32)
-        weights = found if len(found) else weights
+                parts = np.array_split(total, PIECES)
+                task = TaskContext.get().partitionId() % PARTIAL
+                yield pa.RecordBatch.from_arrays([pa.array([task] * PIECES, pa.int32()), pa.array(range(PIECES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([seen] * PIECES, pa.int64())], ["task", "piece", "w", "seen"])
+
+        schema = "task int, piece int, w binary, seen long"
+        tasks = max(1, -(-known.n // (ROUNDS * SHARD_TOKENS)))
+        parts = docs.where(F.col("round") == turn).select("text").coalesce(tasks).mapInArrow(run, schema)
+        found = parts.groupBy("task", "piece").applyInArrow(_added, schema).groupBy("piece").applyInArrow(_added, schema).orderBy("piece").collect()
+        if found:
+            weights = np.concatenate([np.frombuffer(r.w, np.float64) / r.seen for r in found]).astype(np.float32)
     return Network(known).flat if weights is None else weights
 
 
-SCORED = "n_tokens long, n_known long, base double, score double, others array<struct<word string, times int>>"
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(w, np.float64) for w in table["w"].to_pylist())
+    return pa.table([table["task"][:1], table["piece"][:1], pa.array([total.tobytes()], pa.binary()), pa.array([sum(table["seen"].to_pylist())], pa.int64())], ["task", "piece", "w", "seen"])
+
+
+SCORED = "n_tokens long, n_known long, base double, score double, others array<struct<word:long,times:int>>"
 
 
 def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, carry: list[str]) -> DataFrame:
     """carry's columns, and of each text what a task can tell; others: words that aren't listed."""
     spark = docs.sparkSession
     shared, trained = spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(weights)
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry), SCORED])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = shared.value
-        net, base = Network(vocab, trained.value), vocab.frequent
-        share = np.log10(vocab.rare_n + 0.5 * (vocab.rare_v + 1))
-        logs = np.log10(vocab.counts + 0.5)
-        total = float(np.log10(vocab.n + 0.5 * (vocab.v + 1)))
-        for batch in (b.iloc[at : at + CHUNK] for b in batches for at in range(0, len(b), CHUNK)):
-            texts, rows = [], []
-            for text in batch["text"]:
-                words = [*tokens(text), b""]
-                at = vocab.places(words)
-                ids = vocab.ids(words, at)
-                texts.append(ids)
-                listed = at[at >= 0]
-                in_class = float(logs[listed[listed >= base]].sum()) - float(share[ids[ids >= base] - base].sum())
-                others = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
-                rows.append([len(words), len(listed), float(logs[listed].sum()) - total * len(words), in_class, [{"word": w.decode("utf-8", "surrogatepass"), "times": k} for w, k in others.items()]])
-            for places, lengths, ids in lanes_of(texts):
-                sums = np.zeros(len(places))
-                for live, real, logp in windows(net, lengths, ids):
-                    spread = np.zeros(real.shape)
-                    spread[real] = logp
-                    sums[:live] += spread.sum(0)
-                for i, x in zip(places, sums):
-                    rows[i][3] += float(x) / float(np.log(10))
-            made = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base", "score", "others"])
-            yield pd.concat([batch[carry].reset_index(drop=True), made], axis=1)
-
-    return docs.select(*carry, "text").mapInPandas(run, schema)
+    schema = T.StructType([*(docs.schema[c] for c in carry), *T._parse_datatype_string(SCORED).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, held = Scorer(shared.value, trained.value), []
+        for batch in batches:
+            for i, j in slices(_text(batch)):
+                kept = [batch.column(batch.schema.get_field_index(c)).slice(i, j - i) for c in carry]
+                held.append((kept, scorer.prepared(_text(batch).slice(i, j - i))))
+                if sum(len(x.ids) for _, x in held) >= SCORE_TOKENS:
+                    yield from scored(scorer, held)
+                    held = []
+        yield from scored(scorer, held)
+
+    def scored(scorer: Scorer, held: list) -> Iterator[pa.RecordBatch]:
+        for (kept, _), made in zip(held, scorer([x for _, x in held])):
+            yield pa.RecordBatch.from_arrays([*kept, *made], [*carry, "n_tokens", "n_known", "base", "score", "others"])
+
+    return docs.select(*carry, "text").mapInArrow(run, schema)
+
+
+@dataclass
+class Prepared:
+    """What scoring needs of some texts: their ids, and the columns of SCORED but for the network's share."""
+
+    ids: np.ndarray
+    offsets: np.ndarray
+    n_known: np.ndarray
+    base: np.ndarray
+    score: np.ndarray
+    others: pa.Array
+
+
+class Scorer:
+    """Texts -> the columns of SCORED."""
+
+    def __init__(self, known: Vocabulary, weights: np.ndarray):
+        self.known, self.net = known, Network(known, weights)
+        self.share = np.log10(known.rare_n + 0.5 * (known.rare_v + 1))
+        self.logs = np.log10(known.counts + 0.5)
+        self.total = float(np.log10(known.n + 0.5 * (known.v + 1)))
+
+    def prepared(self, text: pa.Array) -> Prepared:
+        known, (words, rare, offsets) = self.known, tokens_of(text)
+        at = known.places(words)
+        ids = known.ids(rare, at)
+        n, of = np.diff(offsets), np.repeat(np.arange(len(text)), np.diff(offsets))
+        listed, in_rare = at >= 0, ids >= known.frequent
+        summed = lambda mask, values: np.bincount(of[mask], values, len(text))
+        base = summed(listed, self.logs[at[listed]]) - self.total * n
+        score = np.zeros(len(text)) + summed(listed & in_rare, self.logs[at[listed & in_rare]]) - summed(in_rare, self.share[ids[in_rare] - known.frequent])
+        other, who = words[~listed], of[~listed]
+        order = np.lexsort((other, who))
+        other, who = other[order], who[order]
+        fresh = np.ones(len(other), bool)
+        fresh[1:] = (other[1:] != other[:-1]) | (who[1:] != who[:-1])
+        cuts = np.flatnonzero(fresh)
+        times = np.diff(np.concatenate([cuts, [len(other)]])).astype(np.int32)
+        rows = pa.StructArray.from_arrays([pa.array(other[cuts].view(np.int64)), pa.array(times)], ["word", "times"])
+        starts = np.searchsorted(who[cuts], np.arange(len(text) + 1)).astype(np.int32)
+        return Prepared(ids, offsets, summed(listed, None), base, score, pa.ListArray.from_arrays(pa.array(starts), rows))
+
+    def __call__(self, parts: list[Prepared]) -> Iterator[list[pa.Array]]:
+        if not parts:
+            return
+        ids, offsets = _together([(p.ids, p.offsets) for p in parts])
+        sums, at = np.zeros(len(offsets) - 1), 0
+        for doc, real, logp in windows(self.net, ids, offsets, SCORE_LANES):
+            sums[doc] += np.bincount(np.nonzero(real)[1], logp, len(doc))
+        for p in parts:
+            n = np.diff(p.offsets)
+            score = p.score + sums[at : at + len(n)] / np.log(10)
+            at += len(n)
+            yield [pa.array(n, pa.int64()), pa.array(p.n_known.astype(np.int64)), pa.array(p.base), pa.array(score), p.others]
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Null texts are empty: one end token. Null ids are training documents. Repeated rows are scored one
-    by one. Where there is no training document, every token is unknown. An empty table stays empty.
+    by one. Where there is no training document, every token is unknown. A very long text is read window
+    by window, whole. An empty table stays empty; further columns don't matter.
     """
     part = F.pmod(fold(F.col("doc_id")), F.lit(FOLDS))
     parted = docs.select("doc_id", text_of(F.col("text")).alias("text"), (part == HELD_OUT).alias("held_out"), (F.floor(fold(F.col("doc_id")) / FOLDS) % ROUNDS).alias("round"))

@@ -134,13 +134,12 @@ def test_texts_score_alike_whatever_lies_beside_them(monkeypatch):
 
     texts = [prose(1, 700, 50), prose(2, 3, 50), "", None, prose(3, 65, 50), "never seen words"]
     known = _vocabulary(texts[:2])
-    weights = np.random.default_rng(1).normal(0, 0.3, len(language_model.Network(known).flat))
-    together = np.array(language_model.Scorer(known, weights)(pa.array(texts))[3])
-    alone = [language_model.Scorer(known, weights)(pa.array([t], pa.string()))[3][0].as_py() for t in texts]
+    scorer = language_model.Scorer(known, np.random.default_rng(1).normal(0, 0.3, len(language_model.Network(known).flat)))
+    scores = lambda *parts: [x for made in scorer([scorer.prepared(pa.array(p, pa.string())) for p in parts]) for x in made[3].to_pylist()]
+    together, alone = scores(texts), [scores([t])[0] for t in texts]
     monkeypatch.setattr(language_model, "STEPS", 5)
-    monkeypatch.setattr(language_model, "LANES", 2)
-    short = np.array(language_model.Scorer(known, weights)(pa.array(texts))[3])
-    assert np.allclose(together, alone, rtol=1e-4) and np.allclose(together, short, rtol=1e-4)
+    monkeypatch.setattr(language_model, "SCORE_LANES", 2)
+    assert np.allclose(together, alone, rtol=1e-4) and np.allclose(together, scores(texts[:2], texts[2:]), rtol=1e-4)
 
 
 def _vocabulary(texts):
@@ -194,14 +193,14 @@ def test_training_beats_the_start(monkeypatch):
     texts = ["a b c d e f " * 20] * 40
     known = _vocabulary(texts)
     ids, offsets = _ids(known, texts)
-    ((weights, seen),) = language_model.train_part(known, None, iter([(ids, offsets)] * 25))
-    parts = list(language_model.train_part(known, None, iter([(ids, offsets)] * 25), 4 * len(ids)))
+    shards = list(language_model.gathered(iter([(ids, offsets)] * 25), 24 * len(ids) + 1))
+    assert len(shards) == 1 and len(list(language_model.gathered(iter([(ids, offsets)] * 25), 4 * len(ids)))) == 7
+    ((weights, seen),) = language_model.train_part(known, None, iter(shards))
 
     def total(w):
-        net, n = language_model.Network(known, w), np.diff(offsets)
-        return sum(float(lp.sum()) for at in language_model.lanes(n) for _, _, lp in language_model.windows(net, ids, offsets[:-1][at], n[at]))
+        return sum(float(lp.sum()) for _, _, lp in language_model.windows(language_model.Network(known, w), ids, offsets, 8))
 
-    assert seen == 25 * len(ids) == sum(n for _, n in parts) and len(parts) > 5 and total(weights) > 0.5 * total(None)
+    assert seen == 25 * len(ids) and total(weights) > 0.5 * total(None)
 
 
 def test_told_words_grow_with_the_vocabulary():
@@ -352,7 +351,7 @@ def test_large_families_equal_brute_force_and_list_few_pairs(spark):
     texts = [*family(400), *(prose(i, 60) for i in range(20))]
     docs = make(spark, texts)
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.jaccard_components(docs).collect()} == brute_components(texts)
-    nodes = ngram_join.peeled(docs.select("text"), ngram_join.text_rows, 100_000).withColumn("node", F.monotonically_increasing_id()).persist()
+    nodes = ngram_join.peeled(docs.select("text"), ngram_join.text_rows, 100_000)[0].withColumn("node", F.monotonically_increasing_id()).persist()
     posts = ngram_join.postings(nodes)
     pairs = ngram_join.pivot_pairs(posts)
     assert 0 < pairs.count() < 4 * len(texts)
