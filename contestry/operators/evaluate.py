@@ -38,9 +38,11 @@ def empirical(train: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(shares, keys, "left").fillna(1 / 3, TRIPLE)
 
 
-def normalised(df: DataFrame) -> DataFrame:
-    """Triples divided by their sums; a sum of 0 or less gives thirds."""
+def normalised(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Triples divided by their sums; a sum of 0 or less gives thirds, or an error where strict."""
     every = sum((F.coalesce(F.col(p), F.lit(0.0)) for p in TRIPLE), F.lit(0.0))
+    if strict:
+        df = df.where(F.assert_true(every > 0, F.lit("probabilities sum to 0")).isNull())
     return df.withColumns({p: F.when(every > 0, F.coalesce(F.col(p), F.lit(0.0)) / every).otherwise(1 / 3) for p in TRIPLE})
 
 
@@ -153,6 +155,17 @@ def blend(predictions: DataFrame, weights: DataFrame, keys: list[str]) -> DataFr
     return normalised(out).withColumnRenamed("candidate", "model")
 
 
+def blend_by(predictions: DataFrame, weights: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """The same with weights of their own for each fold and competition (by): candidate, model, by, weight."""
+    mixed = predictions.join(weights, ["model", *by])
+    out = mixed.groupBy("candidate", *keys).agg(*[(F.sum(F.greatest(F.col(p), F.lit(0.0)) * F.col("weight")) / F.sum("weight")).alias(p) for p in TRIPLE])
+    return normalised(out).withColumnRenamed("candidate", "model")
+
+
+def place(key: str, *order) -> Column:
+    return F.row_number().over(W.partitionBy(key).orderBy(*order))
+
+
 def inverse_loss_weights(scores: DataFrame) -> DataFrame:
     """For each fold and model 1 / the mean loss of the other folds, normalised over models."""
     w = W.partitionBy("competition_id", "model")

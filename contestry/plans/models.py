@@ -169,13 +169,6 @@ def w9(m):
     return e.inverse_loss_weights(scores(m))
 
 
-@query("m13_recommendation", FOLD + "," + OVER + ", ws AS (SELECT competition_id, arg_min(model, log_loss_mean) AS winner, min(log_loss_mean) AS best, max(log_loss_mean) FILTER (model = 'empirical') AS prod FROM ov GROUP BY 1) SELECT competition_id, winner, CASE WHEN winner = 'empirical' THEN 'KEEP CURRENT PRODUCTION' WHEN prod - best < CASE WHEN winner = 'dixon_coles' THEN 0.010 ELSE 0.005 END THEN 'INSUFFICIENT IMPROVEMENT' ELSE 'SWITCH TO NEW MODEL' END AS action FROM ws")
-def m13(m):
-    over = a12(m).groupBy("competition_id").agg(F.min_by("model", "log_loss_mean").alias("winner"), F.min("log_loss_mean").alias("best"), F.max(F.when(F.col("model") == "empirical", F.col("log_loss_mean"))).alias("prod"))
-    gain = F.col("prod") - F.col("best")
-    return over.select("competition_id", "winner", e.recommendation(F.lit("empirical"), F.col("winner"), gain, gain, ["dixon_coles"]).alias("action"))
-
-
 @query("a14_scorecard", FOLD + " SELECT competition_id, count(*) AS n, count(*) FILTER (pred = result_code) AS correct, round(avg((pred = result_code)::INT), 6) AS accuracy, round(avg(-ln(py)), 6) AS log_loss FROM pc WHERE model = 'dixon_coles' GROUP BY 1")
 def a14(m):
     settled = fold_predictions(m).where("model = 'dixon_coles'").withColumn("predicted_class", s.argmax_class(*map(F.col, e.TRIPLE)))
