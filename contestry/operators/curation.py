@@ -159,7 +159,9 @@ def season_problems(summary: DataFrame, catalog: DataFrame, live: int) -> DataFr
 
     catalog: competition_id, first_year, last_year, matches; years without a range have no expectation.
     """
-    sized = summary.alias("s").join(F.broadcast(catalog.withColumnRenamed("matches", "expected").alias("c")), (F.col("s.competition_id") == F.col("c.competition_id")) & F.col("s.start_year").between(F.col("c.first_year"), F.col("c.last_year")), "left")
+    # one row for each year of a range: an equi join takes the place of a range join
+    years = catalog.select("competition_id", F.explode(F.sequence("first_year", "last_year")).alias("start_year"), F.col("matches").alias("expected"))
+    sized = summary.join(years, ["competition_id", "start_year"], "left")
     share = F.col("draw") / F.nullif(F.col("played"), F.lit(0))
     found = F.array_compact(F.array(
         F.when((F.col("start_year") < live) & (F.col("matches") != F.col("expected")), "incomplete"),
@@ -167,7 +169,7 @@ def season_problems(summary: DataFrame, catalog: DataFrame, live: int) -> DataFr
         F.when((F.col("played") >= 30) & ~share.between(0.15, 0.35), "draw share"),
         F.when(F.col("played") != F.col("away") + F.col("draw") + F.col("home"), "uncoded results"),
     ))
-    return sized.select(F.col("s.competition_id").alias("competition_id"), "start_year", F.explode(found).alias("problem"))
+    return sized.select("competition_id", "start_year", F.explode(found).alias("problem"))
 
 
 def feature_problems(m: DataFrame, features: DataFrame) -> DataFrame:
@@ -197,9 +199,3 @@ def fail_on(found: DataFrame, stage: str) -> None:
     broken = found.where("rows > 0").limit(100).collect()
     if broken:
         raise ValueError(f"{stage}: " + "; ".join(f"{r['check']} ({r['rows']})" for r in broken))
-
-
-def run_fingerprint(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """A digest of a run's scores, rounded to ten places, to reuse equal runs."""
-    item = F.to_json(F.struct(*[F.round(c, 10).alias(c) if kind == "double" else F.col(c) for c, kind in scores.dtypes if c not in keys]))
-    return scores.groupBy(*keys).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(item)), "\n"), 256).alias("fingerprint"))

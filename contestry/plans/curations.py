@@ -43,12 +43,6 @@ def n6(m):
     return curated(m).select("rid", "competition", "match_date", "kickoff_time", "home_team", "away_team", "home_goals", "away_goals", "result", "is_played", "start_year")
 
 
-@query("s4_violations", RAW + " SELECT 'result' AS rule, count(*) AS rows FROM rw WHERE match_id % 101 <> 0 AND is_played AND match_id % 97 = 0 HAVING count(*) > 0")
-def s4(m):
-    bad = c.transform(c.without_blank_rows(raw_rows(m)))
-    return bad.select(F.explode("violations").alias("rule")).groupBy("rule").agg(F.count("*").alias("rows"))
-
-
 @query("d3_merge", RAW + " SELECT competition, start_year, home_team, away_team, match_date::VARCHAR AS match_date, kickoff_time, home_goals, away_goals, result, is_played, match_id FROM mg")
 def d3(m):
     return c.merge(curated(m)).drop("row_hash", "result_code")

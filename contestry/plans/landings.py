@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from contestry.operators import landing
+from contestry.functions import scalars
+from contestry.operators import curation, landing
 from contestry.operators import tables as t
 from contestry.plans.features import rounded
 from contestry.plans.reports import TABLE
 from contestry.sources import derived as d
+from contestry.plans.curations import RAW, curated
 from contestry.sources.contests import stored_contests, with_contests
+from contestry.sources.raw import raw_rows
+from contestry.sources.store import shared_dir
+from contestry.streaming.landing import land_stream
+from contestry.streaming.landing import landed as landed_rows
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -77,3 +85,48 @@ def s18_bands(m):
     clubs = table.groupBy("competition_id", "start_year").agg(F.count("*").alias("clubs"))
     places = [F.lit(x) for x in (2, 1, 2, 3)]
     return table.join(clubs, ["competition_id", "start_year"]).select("competition_id", "start_year", "team_id", landing.band(F.col("position"), F.col("clubs"), *places).alias("band"))
+
+
+@query("x1_incremental_landing", d.PAYLOADS + " SELECT source_file, row_number, CASE WHEN start_year >= 1999 THEN 1 ELSE 0 END AS sent_again FROM pl")
+def x1(m):
+    """All payloads as one file, then the seasons from 1999 on once more, as a stream of two micro-batches."""
+    path = f"{shared_dir(m.sparkSession)}/landing-{uuid.uuid4().hex}"
+    rows = d.payloads(m).select("source_file", "row_number", "start_year", "payload")
+    rows.coalesce(1).write.parquet(f"{path}/in")
+    rows.where("start_year >= 1999").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = m.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    land_stream(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    return landed_rows(m.sparkSession, f"{path}/out").select("source_file", "row_number", F.col("batch").alias("sent_again"))
+
+
+@query("d1_team_resolution", "tm AS (SELECT DISTINCT 'C' || competition_id AS competition, unnest([home_team_id, away_team_id]) AS id FROM contests) SELECT competition, 'Team ' || id AS source, CASE id % 3 WHEN 0 THEN id END AS team_id_by_name, CASE WHEN id % 3 = 0 THEN 'canonical' WHEN id % 3 = 1 THEN 'source' ELSE 'new' END AS how FROM tm")
+def d1(m):
+    """Clubs of which a third are known by their name, a third by an older source name, and a third not at all."""
+    clubs = d.clubs(m).select(F.concat(F.lit("C"), F.col("competition_id").cast("string")).alias("competition"), "team_id", F.col("name").alias("source"))
+    known = clubs.where("team_id % 3 < 2").select("competition", "team_id", F.when(F.col("team_id") % 3 == 0, F.col("source")).otherwise(F.concat(F.lit("Old "), F.col("source"))).alias("canonical"), "source")
+    found = curation.resolve_teams(known, clubs.select("competition", "source", F.col("source").alias("canonical")))
+    return found.select("competition", "source", F.when(F.col("how") == "canonical", F.col("team_id")).alias("team_id_by_name"), "how")
+
+
+@query("n7_division", RAW + " SELECT rid, competition FROM vl WHERE competition = 'C1'")
+def n7(m):
+    return curation.of_competition(curated(m), "C1").select("rid", "competition")
+
+
+@query("n20_prediction_texts", d.PREDICTED + " SELECT match_id, model_run_id, CASE algorithm WHEN 'logistic_regression' THEN 'Logistic Regression' ELSE 'Poisson Dixon Coles' END AS label FROM pd")
+def n20(m):
+    p = d.predictions(m)
+    return p.select("match_id", "model_run_id", scalars.title_of(F.col("algorithm"), {}).alias("label"))
+
+
+@query("s4_violations", """cp AS (SELECT * FROM contests), rw AS (SELECT match_id * 2 AS rid, match_id % 101 = 0 AS blank, CASE WHEN match_id % 101 <> 0 THEN match_id % 6 END AS k, is_played, match_id FROM cp)
+SELECT rule, count(*) AS rows FROM (SELECT CASE k WHEN 0 THEN 'date' WHEN 1 THEN 'kickoff' WHEN 2 THEN 'team' WHEN 3 THEN 'same teams' WHEN 4 THEN 'goals' ELSE CASE WHEN is_played THEN 'one score' END END AS rule FROM rw WHERE NOT blank UNION ALL SELECT 'result without goals' FROM rw WHERE NOT blank AND k IN (4, 5) AND is_played UNION ALL SELECT 'one score' FROM rw WHERE NOT blank AND k = 4 UNION ALL SELECT 'result' FROM rw WHERE NOT blank AND is_played AND k < 4 AND match_id % 97 = 0) WHERE rule IS NOT NULL GROUP BY 1""")
+def s4(m):
+    """Each row breaks a rule by its id: dates, kickoffs, names, equal names, goals, scores of one side; some results are wrong."""
+    raw = raw_rows(m).where("rid % 2 = 0")
+    k = F.when(F.col("Div") != "", F.floor(F.col("rid") / 2) % 6)
+    change = {"Date": (0, "31/02/2020"), "Time": (1, "25:00"), "HomeTeam": (2, " "), "FTHG": (4, "x")}
+    spoiled = raw.withColumns({c: F.when(k == i, F.lit(v)).otherwise(F.col(c)) for c, (i, v) in change.items()})
+    spoiled = spoiled.withColumns({"AwayTeam": F.when(k == 3, F.col("HomeTeam")).otherwise(F.col("AwayTeam")), "FTAG": F.when((k == 4) | (k == 5), "").otherwise(F.col("FTAG"))})
+    bad = curation.transform(curation.without_blank_rows(spoiled)).select(F.explode("violations").alias("rule"))
+    return bad.groupBy("rule").agg(F.count("*").alias("rows"))

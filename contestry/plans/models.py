@@ -141,6 +141,15 @@ def a9(m):
     return e.reliability_table(fold_predictions(m), ["model"], "p_draw", F.col("result_code") == 1)
 
 
+ORACLE["a9_reliability_table"] = with_contests(FOLD + """, ed AS (SELECT model, greatest(ceil(round(max(p_draw) / 0.05, 9)), floor(round(min(p_draw) / 0.05, 9)) + 1) - 1 AS last FROM pc GROUP BY 1),
+bn AS (SELECT model, least(floor(round(p_draw / 0.05, 9)), last)::BIGINT AS bin, count(*) AS n, sum(p_draw) AS sp, sum((result_code = 1)::INT) AS sy FROM pc JOIN ed USING (model) GROUP BY 1, 2),
+nb AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY bin) AS rn FROM bn),
+rc AS (SELECT model, rn, 1 AS g, n AS acc FROM nb WHERE rn = 1 UNION ALL SELECT nb.model, nb.rn, CASE WHEN acc >= 30 THEN g + 1 ELSE g END, CASE WHEN acc >= 30 THEN nb.n ELSE acc + nb.n END FROM rc JOIN nb ON nb.model = rc.model AND nb.rn = rc.rn + 1),
+gt AS (SELECT model, g, sum(n) AS total FROM rc JOIN nb USING (model, rn) GROUP BY 1, 2),
+fg AS (SELECT rc.model, rn, CASE WHEN total < 30 AND g > 1 THEN g - 1 ELSE g END AS g FROM rc JOIN gt USING (model, g))
+SELECT model, round(min(bin) * 0.05::DOUBLE, 6) AS lo, round((max(bin) + 1) * 0.05::DOUBLE, 6) AS hi, sum(n)::BIGINT AS n, round(sum(sp) / sum(n), 6) AS mean_predicted, round(sum(sy) / sum(n), 6) AS mean_observed, round(sum(sy) / sum(n) - sum(sp) / sum(n), 6) AS difference FROM fg JOIN nb USING (model, rn) GROUP BY model, g""", recursive=True)
+
+
 CLASS = "lc AS (SELECT model, 'away' AS class, p_away AS p, (result_code = 0)::INT AS hit, (pred = 0)::INT AS top FROM pc UNION ALL SELECT model, 'draw', p_draw, (result_code = 1)::INT, (pred = 1)::INT FROM pc UNION ALL SELECT model, 'home', p_home, (result_code = 2)::INT, (pred = 2)::INT FROM pc)"
 
 

@@ -1,15 +1,14 @@
-"""Streams: Elo ratings with state, and incremental upserts of curated rows."""
+"""Elo ratings as a stream with state."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from contestry.operators.curation import upsert
 from contestry.operators.form import rate
 
 OUT = "match_id long, competition_id long, home_elo double, away_elo double, late boolean"
@@ -24,6 +23,7 @@ def streaming_elo(stream: DataFrame) -> DataFrame:
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, ratings = state.get if state.exists else ("", "{}")
         known = {int(k): v for k, v in json.loads(ratings).items()}
+        # a micro-batch's rows of a competition are put in order together: the source bounds their number
         rows = pd.concat(list(batches)).sort_values(["match_date", "kickoff_time", "match_id"], kind="stable")
         out = []
         for r in rows.itertuples():
@@ -37,19 +37,3 @@ def streaming_elo(stream: DataFrame) -> DataFrame:
         yield pd.DataFrame(out, columns=["match_id", "competition_id", "home_elo", "away_elo", "late"])
 
     return stream.groupBy("competition_id").applyInPandasWithState(run, OUT, "last string, ratings string", "append", GroupStateTimeout.NoTimeout)
-
-
-def upsert_batches(path: str, keys: list[str], curate: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: curate a micro-batch and upsert it into the newest version under path.
-
-    Each batch writes version=<batch id>; a repeated batch writes the same version again from the one before.
-    """
-    def run(batch: DataFrame, batch_id: int) -> None:
-        new = curate(batch)
-        spark = batch.sparkSession
-        if batch_id:
-            old = spark.read.parquet(f"{path}/version={batch_id - 1}")
-            new = upsert(old, new, keys).drop("change")
-        new.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-
-    return run

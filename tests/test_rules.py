@@ -4,12 +4,14 @@ import datetime as dt
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from contestry.functions import scalars as s
 from contestry.operators import curation as c
 from contestry.operators import evaluate as e
+from contestry.operators import landing, learn, reports
 from contestry.operators import tables as t
 from contestry.plans import forecasts
 from contestry.plans.models import frozen
@@ -94,6 +96,76 @@ def test_result_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 1
 
 
+def test_files_of_other_columns_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Div,Date,Time,HomeTeam,AwayTeam,FTHG,FTAG,FTR\nE0,05/08/2023,15:00,A,B,1,0,H\n")
+    (tmp_path / "b.csv").write_text("\ufeffDiv,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR,HS\nE0,06/08/2019,C,D,2,2,D,7\n")
+    rows = {r.HomeTeam: r for r in raw.read_results(spark, str(tmp_path)).collect()}
+    assert (rows["A"].Time, rows["A"].FTR, rows["A"].HS) == ("15:00", "H", "") and (rows["C"].Time, rows["C"].AwayTeam, rows["C"].FTR, rows["C"].HS) == ("", "D", "D", "7")
+    assert rows["C"].source_file.endswith("b.csv")
+
+
+def test_sinks_write_headers_and_objects(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "n int, t string")
+    raw.write_csv(df, str(tmp_path / "c"))
+    raw.write_json(df, str(tmp_path / "j"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).collect()[0].asDict() == {"n": "1", "t": "a"} and spark.read.json(str(tmp_path / "j")).first().t == "a"
+
+
+def test_competition_lists_and_years():
+    assert landing.competition_codes("all") == landing.competition_codes(None) == ["E0", "SP1", "D1", "I1", "F1"]
+    assert landing.competition_codes(" la-liga, d1") == ["SP1", "D1"]
+    with pytest.raises(ValueError):
+        landing.competition_codes("nowhere")
+    assert [landing.year_override(x) for x in (None, " auto", "", 2019, "2020", 2021.0)] == [None, None, None, 2019, 2020, 2021]
+    for bad in (True, "soon", 2020.5):
+        with pytest.raises(ValueError):
+            landing.year_override(bad)
+
+
+@pytest.mark.parametrize("today", [dt.date(2026, 7, 31), dt.date(2026, 8, 1), dt.date(2027, 1, 15), dt.date(2024, 2, 29)])
+def test_holdout_is_never_validated(today):
+    w = landing.season_windows(today)
+    assert w["holdout"] == w["live"] - 1 and max(w["valid_years"]) == w["holdout"] - 1 and w["train_end"] < w["valid_end"] < w["test_end"]
+
+
+def test_catalog_sizes_follow_the_year(spark):
+    seasons = spark.createDataFrame([("F1", y) for y in (2017, 2018, 2019, 2021, 2023)] + [("E0", 2019), ("XX", 2019)], "code string, start_year int")
+    found = {(r.code, r.start_year): (r.clubs, r.contests) for r in landing.season_sizes(seasons).collect()}
+    assert found[("F1", 2019)] == (20, 279) and found[("F1", 2021)] == (20, 380) and found[("F1", 2023)] == (18, 306) and found[("E0", 2019)] == (20, 380) and found[("XX", 2019)] == (None, None)
+
+
+def test_years_of_a_scan_are_checked(spark):
+    with pytest.raises(ValueError):
+        landing.of_years(spark.range(1), 2001, 2000)
+
+
+def test_logistic_regression_is_at_its_optimum():
+    r = np.random.default_rng(1)
+    x, y, weight = r.normal(size=(200, 4)), r.integers(0, 3, 200), r.uniform(0.5, 2, 200)
+    w = learn.fit_logistic(x, y, weight)
+
+    def loss(w):
+        z = np.column_stack([x, np.ones(200)]) @ w
+        return float((weight * (np.log(np.exp(z).sum(1)) - z[np.arange(200), y])).sum() + (w[:-1] ** 2).sum() / 2)
+
+    for _ in range(100):
+        assert loss(w) <= loss(w + r.normal(0, 0.01, w.shape)) + 1e-6
+
+
+def test_sums_of_zero_fail_where_strict(spark):
+    rows = spark.createDataFrame([(0.0, 0.0, 0.0)], "p_away double, p_draw double, p_home double")
+    assert abs(e.normalised(rows).first().p_draw - 1 / 3) < 1e-9
+    with pytest.raises(Exception, match="sum to 0"):
+        e.normalised(rows, strict=True).collect()
+
+
+def test_statistics_need_numbers_on_both_sides(spark):
+    fields = [("shots", "HS", "AS", "higher"), ("fouls", "HF", "AF", "lower"), ("corners", "HC", "AC", "higher")]
+    rows = spark.createDataFrame([('{"HS": "12", "AS": "9.0", "HF": "3", "AF": "n/a", "HC": "4", "AC": "4"}',), (None,)], "p string")
+    found = [[tuple(x) for x in r[0]] for r in rows.select(reports.statistics(F.col("p"), fields)).collect()]
+    assert found == [[("shots", 12, 9, "home"), ("corners", 4, 4, None)], []]
+
+
 def test_fixture_files_have_no_scores(spark, tmp_path):
     (tmp_path / "f.json").write_text('[{"DateUtc": "2024-08-16 19:00:00Z", "HomeTeam": "A", "AwayTeam": "B", "HomeTeamScore": 3}]')
     row = raw.read_fixtures(spark, str(tmp_path / "f.json"), "E0").first()
