@@ -29,6 +29,8 @@ CEILING = 2
 SEED = "mix-1"
 #: Cells of the Pareto ranks of a source; one cell's documents are sorted in one task.
 CELLS = 1 << 16
+#: Logarithms of ranks lie within this on either side of 0: twice that of the odds of 52-bit numbers.
+LOGS = 75.0
 
 
 def draw(df: DataFrame, seed: str = SEED) -> Column:
@@ -99,6 +101,12 @@ def pareto(bits: Column, p: Column) -> Column:
     return F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
 
 
+def cell_of(rank: Column, cells: int) -> Column:
+    """Equal steps of the rank's logarithm, which is a logistic number shifted by the inclusion odds: no cell holds
+    more than one in a thousand of a level's documents (at CELLS), however small or large their chance."""
+    return F.least(F.greatest(F.floor((F.ln(rank) + LOGS) / (2 * LOGS) * cells), F.lit(0)), F.lit(cells - 1)).cast("long")
+
+
 def plan_mix(light: DataFrame, ceiling: int = CEILING, cells: int = CELLS, **shares) -> DataFrame:
     """Per source: source_size, target, kappa, and the last Pareto key taken (cut_cell; cut: rank, bits, size).
 
@@ -112,8 +120,7 @@ def plan_mix(light: DataFrame, ceiling: int = CEILING, cells: int = CELLS, **sha
     )
     wanted = small(wanted)
     ranks = drawn.where(F.col("rank").isNotNull())
-    cell = F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * cells), F.lit(cells - 1)).cast("long")
-    ranks = ranks.withColumn("cell", cell)
+    ranks = ranks.withColumn("cell", cell_of(F.col("rank"), cells))
     sums = ranks.groupBy("of", "cell").agg(F.sum("size").alias("words"))
     start = F.coalesce(F.sum("words").over(W.partitionBy("of").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sums = sums.withColumn("start", start).join(wanted.select(F.col("source").alias("s"), "wanted"), F.col("of").eqNullSafe(F.col("s")))
@@ -144,7 +151,7 @@ def copies_taken(size: Column, level: Column, bits: Column, kappa: Column, cut_c
     share = expected(kappa, level, ceiling)
     sure = F.floor(share)
     rank = pareto(bits, share - sure)
-    cell = F.least(F.floor(rank / (1 + rank) * cells), F.lit(cells - 1)).cast("long")
+    cell = cell_of(rank, cells)
     drawn = rank.isNotNull() & ((cell < cut_cell) | ((cell == cut_cell) & cut.isNotNull() & (F.struct(rank.alias("rank"), bits.alias("bits"), size.alias("size")) <= cut)))
     return sure + F.coalesce(drawn, F.lit(False)).cast("long")
 
