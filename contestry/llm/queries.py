@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_model, licences, mixing, ngram_join, quality, sharding, surrogates, toxicity, warc
+from . import decontaminate, language_model, licences, mixing, ngram_join, quality, sharding, surrogates, token_counts, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -91,3 +91,10 @@ ORACLE["op2_licence_scan"] = licences.oracle_sql()
 @query
 def op9_pii_surrogates(spark, sf_dir):
     return surrogates.surrogate_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.FILE))
