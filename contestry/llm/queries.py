@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_model, licences, mixing, ngram_join, quality, sharding, surrogates, token_counts, toxicity, warc
+from . import decontaminate, filter_audit, hard_negatives, language_model, licences, mixing, ngram_join, quality, sharding, surrogates, token_counts, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -98,3 +98,19 @@ def op13_token_counts(spark, sf_dir):
     import public_tokenizers
 
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.FILE))
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = filter_audit.SQL
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_hard_negatives"] = hard_negatives.SQL
