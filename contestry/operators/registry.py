@@ -10,6 +10,9 @@ from contestry.operators.tables import latest_per_key
 #: What identifies a run, in this order.
 IDENTITY = ["algorithm", "feature_version", "competition_id", "n_train", "n_test", "train_start", "train_end", "test_start", "test_end", "walkforward_mean_log_loss", "test_log_loss"]
 
+#: What a stored run is found by.
+RUN_KEYS = ["algorithm", "feature_version", "fingerprint"]
+
 
 def fingerprinted(runs: DataFrame) -> DataFrame:
     """runs with a fingerprint: a digest of IDENTITY, scores rounded to ten places. Nothing is gathered: a run is a row."""
@@ -23,7 +26,7 @@ def reusable(new: DataFrame, stored: DataFrame) -> DataFrame:
 
     Both have algorithm, competition_id, feature_version, fingerprint; stored also model_run_id, trained_at.
     """
-    keys = ["algorithm", "competition_id", "feature_version", "fingerprint"]
+    keys = ["competition_id", *RUN_KEYS]
     old = stored.groupBy(*keys).agg(F.max_by("model_run_id", F.struct("trained_at", "model_run_id")).alias("reused_id"))
     return new.join(old, keys, "left")
 

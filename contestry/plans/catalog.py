@@ -1,10 +1,10 @@
 """All registered queries over the contest tables, with their SQL."""
 
-from contestry.plans import curations, experiments, features, forecasts, landings, learning, models, payloads, reports, trainings
+from contestry.plans import curations, experiments, features, forecasts, landings, learning, maintenance, models, payloads, reports, trainings
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for part in (features, reports, payloads, models, forecasts, curations, learning, landings, trainings, experiments):
+for part in (features, reports, payloads, models, forecasts, curations, learning, landings, trainings, experiments, maintenance):
     QUERIES.update(part.QUERIES)
     ORACLE.update(part.ORACLE)
 
