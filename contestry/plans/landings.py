@@ -89,13 +89,13 @@ def s18_bands(m):
 
 @query("x1_incremental_landing", d.PAYLOADS + " SELECT source_file, row_number, CASE WHEN start_year >= 1999 THEN 1 ELSE 0 END AS sent_again FROM pl")
 def x1(m):
-    """All payloads as one file, then the seasons from 1999 on once more, as a stream of two micro-batches."""
+    """All payloads, then the seasons from 1999 on once more, each taken up by the stream as one micro-batch of several files."""
     path = f"{shared_dir(m.sparkSession)}/landing-{uuid.uuid4().hex}"
     rows = d.payloads(m).select("source_file", "row_number", "start_year", "payload")
-    rows.coalesce(1).write.parquet(f"{path}/in")
-    rows.where("start_year >= 1999").coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = m.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    land_stream(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    for sent in (rows, rows.where("start_year >= 1999")):
+        sent.write.mode("append").parquet(f"{path}/in")
+        stream = m.sparkSession.readStream.schema(rows.schema).parquet(f"{path}/in")
+        land_stream(stream, f"{path}/out", f"{path}/state").awaitTermination()
     return landed_rows(m.sparkSession, f"{path}/out").select("source_file", "row_number", F.col("batch").alias("sent_again"))
 
 
