@@ -1,39 +1,123 @@
-"""Elo ratings as a stream with state."""
+"""Elo ratings as a stream with state.
+
+A competition's state is a map of ratings by club, a list of contests that still wait, and the place up
+to which it has rated. Contests wait until the competition's newest day is WAIT days past theirs, so
+arrival may be shuffled within that time; then they are rated in order, and only the ratings of clubs
+that played are read and written. A row without match_id closes a competition: all that waits is rated.
+In a stream that never ends a timer does so, when nothing has come for HOLD of processing time; a run that
+stops with the data at hand has no timers, as Spark would wait for them.
+
+A contest from before the place already rated is late: it comes out marked, with the ratings of now, and
+changes none. `corrected` reads the late rows and rates the competitions they belong to anew.
+"""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from contestry.operators.form import rate
+from contestry.operators.form import elo, rate
 
 OUT = "match_id long, competition_id long, home_elo double, away_elo double, late boolean"
+CONTEST = "match_date string, kickoff_time string, match_id long, home_team_id long, away_team_id long, is_played boolean, home_goals int, away_goals int"
+FIELDS = [c.split()[0] for c in CONTEST.split(", ")]
+WAIT, HOLD = 7, 24 * 3600 * 1000
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Ratings(StatefulProcessor):
+    def __init__(self, wait: int = WAIT, timers: bool = False):
+        self.wait, self.timers = wait, timers
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.ratings = handle.getMapState("ratings", "team long", "rating double")
+        self.waiting = handle.getListState("waiting", CONTEST)
+        self.place = handle.getValueState("place", "day string, kickoff string, match long, newest string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        came = pd.concat(list(rows))  # a micro-batch's rows of one competition: the source bounds their number
+        closing = bool(came["match_id"].isna().any())
+        contests = [_plain(r) for r in came[came["match_id"].notna()][FIELDS].itertuples(index=False)]
+        *place, newest = self.place.get() or ("", "", 0, "")
+        late = [c for c in contests if c[:3] <= tuple(place)]
+        if late:
+            yield self._late(key, late)
+        waiting = [tuple(c) for c in self.waiting.get()] + [c for c in contests if c[:3] > tuple(place)]
+        newest = max([newest, *(c[0] for c in contests)])
+        yield self._rate(key, waiting, "9999" if closing else _days_before(newest, self.wait), tuple(place), newest)
+        if not self.timers:
+            return
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + HOLD)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        *place, newest = self.place.get() or ("", "", 0, "")
+        yield self._rate(key, [tuple(c) for c in self.waiting.get()], "9999", tuple(place), newest)
+
+    def close(self) -> None:
+        pass
+
+    def _known(self, contests: list[tuple]) -> dict[int, float]:
+        clubs = {t for c in contests for t in c[3:5]}
+        return {t: self.ratings.getValue((t,))[0] for t in clubs if self.ratings.containsKey((t,))}
+
+    def _rate(self, key, waiting: list[tuple], upto: str, place: tuple, newest: str) -> pd.DataFrame:
+        """Rate what waits from days before upto, in order."""
+        due = sorted(c for c in waiting if c[0] < upto)
+        known = self._known(due)
+        found = list(rate(((c[3], c[4], *(c[6:8] if c[5] else (None, None))) for c in due), known))
+        for team, rating in known.items():
+            self.ratings.updateValue((team,), (rating,))
+        rest = [c for c in waiting if c[0] >= upto]
+        self.waiting.put(rest) if rest else self.waiting.clear()
+        self.place.update((*(due[-1][:3] if due else place), newest))
+        return pd.DataFrame([(c[2], key[0], *e, False) for c, e in zip(due, found)], columns=[c.split()[0] for c in OUT.split(", ")])
+
+    def _late(self, key, contests: list[tuple]) -> pd.DataFrame:
+        known = self._known(contests)
+        found = [next(rate([(c[3], c[4], None, None)], known)) for c in contests]
+        return pd.DataFrame([(c[2], key[0], *e, True) for c, e in zip(contests, found)], columns=[c.split()[0] for c in OUT.split(", ")])
+
+
+def _plain(row) -> tuple:
+    """A contest as plain values, nulls as None."""
+    day, kickoff, match, home, away, played, hg, ag = row
+    number = lambda x: None if pd.isna(x) else int(x)
+    return (day, "" if pd.isna(kickoff) else kickoff, int(match), int(home), int(away), bool(played) if not pd.isna(played) else False, number(hg), number(ag))
+
+
+def _days_before(day: str, n: int) -> str:
+    return str((pd.Timestamp(day) - pd.Timedelta(days=n)).date()) if day else ""
+
+
+def streaming_elo(stream: DataFrame, wait: int = WAIT, timers: bool = True) -> DataFrame:
+    """Ratings before each contest of a stream (competition_id and the columns of CONTEST), as described above."""
+    return stream.select("competition_id", *FIELDS).groupBy("competition_id").transformWithStateInPandas(Ratings(wait, timers), OUT, "Append", "ProcessingTime" if timers else "None")
+
+
+def start_elo(stream: DataFrame, out: str, checkpoint: str, wait: int = WAIT) -> StreamingQuery:
+    """The stream's ratings as Parquet under out; its state needs the RocksDB store, for which the session is set while the query starts."""
+    spark = stream.sparkSession
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        writer = streaming_elo(stream, wait, timers=False).writeStream.format("parquet").option("path", out)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
 
-def streaming_elo(stream: DataFrame) -> DataFrame:
-    """Ratings before each contest of a stream, a competition's ratings being its state.
-
-    Inside a micro-batch contests go by date, kickoff and id. A contest that lies before one already
-    rated is late: it gets the present ratings, is marked, and changes none; a batch run corrects it.
-    """
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, ratings = state.get if state.exists else ("", "{}")
-        known = {int(k): v for k, v in json.loads(ratings).items()}
-        # a micro-batch's rows of a competition are put in order together: the source bounds their number
-        rows = pd.concat(list(batches)).sort_values(["match_date", "kickoff_time", "match_id"], kind="stable")
-        out = []
-        for r in rows.itertuples():
-            at = f"{r.match_date} {r.kickoff_time} {r.match_id:020d}"
-            late = at <= last
-            goals = (r.home_goals, r.away_goals) if r.is_played and not late else (None, None)
-            h, a = next(iter(list(rate([(r.home_team_id, r.away_team_id, *goals)], known))))
-            out.append((r.match_id, key[0], h, a, late))
-            last = max(last, at)
-        state.update((last, json.dumps(known)))
-        yield pd.DataFrame(out, columns=["match_id", "competition_id", "home_elo", "away_elo", "late"])
-
-    return stream.groupBy("competition_id").applyInPandasWithState(run, OUT, "last string, ratings string", "append", GroupStateTimeout.NoTimeout)
+def corrected(rated: DataFrame, matches: DataFrame) -> DataFrame:
+    """match_id, competition_id, home_elo, away_elo: the stream's ratings, and those of competitions with late rows from a batch run over matches."""
+    wrong = rated.where("late").select("competition_id").distinct()
+    again = elo(matches.join(wrong, "competition_id", "left_semi")).join(matches.select("match_id", "competition_id"), "match_id")
+    columns = ["match_id", "competition_id", "home_elo", "away_elo"]
+    return rated.join(wrong, "competition_id", "left_anti").select(*columns).unionByName(again.select(*columns))
