@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contestry.operators import fits
 from contestry.operators.evaluate import TRIPLE, normalised
 from contestry.operators.form import MEASURES
 from contestry.sources.store import stored
@@ -78,56 +79,46 @@ def _boosted(train: DataFrame, rows: DataFrame) -> DataFrame:
     return normalised(out)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Multinomial weights (features and intercept x 3) by Newton's steps; the intercepts aren't penalised."""
-    x = np.column_stack([x, np.ones(len(x))])
-    n, k = x.shape[1], 3
-    w, hot = np.zeros((n, k)), np.eye(k)[y]
-    ridge = np.diag(np.repeat(np.append(np.full(n - 1, penalty), 1e-6), k))
-    for _ in range(steps):
-        p = x @ w
-        p = np.exp(p - p.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        g = x.T @ (weight[:, None] * (p - hot)) + np.diag(ridge).reshape(n, k) * w
-        h = np.zeros((n, k, n, k))
-        for a in range(k):
-            for b in range(k):
-                h[:, a, :, b] = x.T @ (x * (weight * p[:, a] * ((a == b) - p[:, b]))[:, None])
-        step = np.linalg.solve(h.reshape(n * k, n * k) + ridge, g.ravel()).reshape(n, k)
-        w -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return w
-
-
-def walk_forward(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """model, keys, match_id, result_code and triples: logistic regression, plain and balanced, fitted on each group's training rows.
-
-    rows: keys (fold, competition), role, match_id, result_code and FEATURES. A group is one
-    competition's history in one fold; groups run in parallel. Missing features take the training
-    median, and are scaled by the training rows. A group without all three results gives no rows.
+#: What is fitted for each group, and how its rows are scored.
+ALGORITHMS = {
+    "logistic_regression": (lambda blocks, keys: fits.logistic(blocks, keys, len(FEATURES), False), fits.logistic_triples),
+    "logistic_regression_balanced": (lambda blocks, keys: fits.logistic(blocks, keys, len(FEATURES), True), fits.logistic_triples),
+    "random_forest": (lambda blocks, keys: fits.forest(blocks, keys, len(FEATURES)), fits.forest_triples()),
+    "xgboost": (lambda blocks, keys: fits.boosted(blocks, keys, len(FEATURES)), fits.boosted_triples),
+}
+
+
+def walk_forward(rows: DataFrame, keys: list[str], algorithms: tuple[str, ...] = tuple(ALGORITHMS)) -> DataFrame:
+    """model, keys, match_id, result_code and triples of every row that isn't for training, by each algorithm fitted on its group's training rows.
+
+    rows: keys (fold, competition), role, match_id, result_code and FEATURES. All groups are fitted in the same
+    jobs; fits.unfitted tells why a group has no rows.
     """
+    filled = stored(fill_head_to_head(rows).select(*keys, "role", "match_id", "result_code", *FEATURES), "rows")
+    found = fits.statistics(filled, keys, FEATURES)
+    blocks = stored(fits.packed(fits.applied(filled, found, keys, FEATURES), keys), "blocks")
+    scored = [fits.predicted(blocks, ALGORITHMS[a][0](blocks, keys), keys, ALGORITHMS[a][1]).withColumn("model", F.lit(a)) for a in algorithms]
+    return reduce(DataFrame.unionByName, scored)
+
+
+# Models that are kept: a row for each run and group.
+
+KEPT = ["algorithm", "middle", "mean", "scale", "edges", "counts", "weights", "pending"]
+
+
+def trained(rows: DataFrame, keys: list[str], algorithm: str) -> DataFrame:
+    """keys and KEPT: what has to be stored of each group's model to score rows later on."""
+    training = stored(fill_head_to_head(rows).withColumn("role", F.lit("train")), "training")
+    found = stored(fits.statistics(training, keys, FEATURES), "statistics")
+    blocks = stored(fits.packed(fits.applied(training, found, keys, FEATURES), keys), "blocks")
+    models = ALGORITHMS[algorithm][0](blocks, keys)
+    return found.drop("n", "counts").join(models.drop("change"), keys).select(*keys, F.lit(algorithm).alias("algorithm"), *KEPT[1:])
+
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf[["h2h_home_win_rate_n", "h2h_draw_rate_n"]] = pdf[["h2h_home_win_rate_n", "h2h_draw_rate_n"]].fillna(0.5)
-        train, valid = pdf[pdf["role"] == "train"], pdf[pdf["role"] == "valid"]
-        y = train["result_code"].to_numpy(int)
-        if len(np.unique(y)) < 3 or not len(valid):
-            return pdf.iloc[:0].assign(model="", p_away=0.0, p_draw=0.0, p_home=0.0)[names]
-        x = train[FEATURES].astype(float)
-        middle = x.median().fillna(0.0)
-        x = x.fillna(middle)
-        mean, scale = x.mean(), x.std(ddof=0).replace(0.0, 1.0)
-        given = ((valid[FEATURES].astype(float).fillna(middle) - mean) / scale).to_numpy()
-        found = []
-        for name, weight in (("logistic_regression", np.ones(len(y))), ("logistic_regression_balanced", len(y) / (3 * np.bincount(y, minlength=3)[y]))):
-            w = fit_logistic(((x - mean) / scale).to_numpy(), y, weight)
-            p = np.column_stack([given, np.ones(len(given))]) @ w
-            p = np.exp(p - p.max(1, keepdims=True))
-            found.append(valid.assign(model=name, **dict(zip(TRIPLE, (p / p.sum(1, keepdims=True)).T)))[names])
-        return pd.concat(found)
-
-    names = ["model", *keys, "match_id", "result_code", *TRIPLE]
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(["model string", *(f"{c} {kinds[c]}" for c in [*keys, "match_id", "result_code"]), *(f"{p} double" for p in TRIPLE)])
-    return rows.select(*keys, "role", "match_id", "result_code", *FEATURES).groupBy(*keys).applyInPandas(run, schema)
+def score(rows: DataFrame, models: DataFrame, keys: list[str], algorithm: str) -> DataFrame:
+    """keys, match_id and triple of rows (keys, match_id, FEATURES) by the stored models of one algorithm."""
+    own = models.where(F.col("algorithm") == algorithm)
+    given = fill_head_to_head(rows).withColumns({"role": F.lit("upcoming"), "result_code": F.lit(None).cast("int")})
+    sized = own.select(*keys, "middle", "mean", "scale", "edges", "counts").join(rows.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+    blocks = stored(fits.packed(fits.applied(given, sized, keys, FEATURES), keys), "blocks")
+    return fits.predicted(blocks, own.select(*keys, "weights", "pending", "counts"), keys, ALGORITHMS[algorithm][1]).drop("result_code")

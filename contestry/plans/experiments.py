@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contestry.operators import evaluate as e
-from contestry.operators import form, learn
+from contestry.operators import fits, form, learn
 from contestry.plans.features import rounded
 from contestry.plans.forecasts import SIM
 from contestry.plans.models import CLASS, COLUMNS, FOLD, KEYS, PRF, fold_predictions
@@ -42,29 +42,44 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def model_predictions(m: DataFrame) -> DataFrame:
-    """Predictions of the fitted models and of Dixon-Coles on every fold, the holdout season among them."""
-    rows = e.folds(m, [*YEARS, HOLDOUT]).select("match_id", *KEYS, "role", "result_code").join(form.feature_table(m), "match_id")
-    fitted = learn.walk_forward(stored(rows, "rows"), KEYS)
-    goals = fold_predictions(m, [*YEARS, HOLDOUT]).where("model = 'dixon_coles'").withColumn("model", F.lit("poisson_dixon_coles"))
-    return stored(fitted.select(*COLUMNS).unionByName(goals.select(*COLUMNS)), "predictions")
+#: Predictions made in this session, by application and data: three queries read the same fits.
+_MADE: dict[tuple[str, str], DataFrame] = {}
+
+
+def fold_rows(m: DataFrame) -> DataFrame:
+    """The rows of every fold, the holdout season among them, with their features."""
+    return e.folds(m, [*YEARS, HOLDOUT]).select("match_id", *KEYS, "role", "result_code").join(form.feature_table(m), "match_id")
+
+
+def model_predictions(spark, sf_dir: str) -> DataFrame:
+    """Predictions of the four fitted models and of Dixon-Coles on every fold, the holdout season among them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MADE:
+        m = stored_contests(spark, sf_dir)
+        fitted = learn.walk_forward(stored(fold_rows(m), "rows"), KEYS)
+        goals = fold_predictions(m, [*YEARS, HOLDOUT]).where("model = 'dixon_coles'").withColumn("model", F.lit("poisson_dixon_coles"))
+        _MADE[key] = stored(fitted.select(*COLUMNS).unionByName(goals.select(*COLUMNS)), "predictions")
+    return _MADE[key]
+
+
+def whole_query(f):
+    """A query over the session's predictions instead of the contests; no SQL can fit its models."""
+    QUERIES[f.__name__] = lambda spark, sf_dir: rounded(f(model_predictions(spark, sf_dir)))
+    return f
 
 
 def blends(predictions: DataFrame) -> DataFrame:
-    """The blends whose members were all fitted, and the one by inverse losses (of the other folds)."""
+    """The nine fixed blends, and the one by inverse losses (of the other folds)."""
     spark, keys = predictions.sparkSession, [*KEYS, "match_id", "result_code"]
     weights = spark.createDataFrame([(c, model, w) for c, parts in BLENDS.items() for model, w in parts.items()], "candidate string, model string, weight double")
-    there = predictions.select("model").distinct()
-    whole = weights.join(there.withColumn("fitted", F.lit(True)), "model", "left").groupBy("candidate").agg(F.bool_and(F.coalesce("fitted", F.lit(False))).alias("whole")).where("whole")
-    fixed = e.blend(predictions, weights.join(whole, "candidate", "left_semi"), keys)
+    fixed = e.blend(predictions, weights, keys)
     members = predictions.where(F.col("model").isin("logistic_regression", "xgboost", "poisson_dixon_coles"))
     inverse = e.inverse_loss_weights(e.metrics(members, ["model", *KEYS])).withColumn("candidate", F.lit(INVERSE))
     mixed = e.blend_by(members, inverse, keys, KEYS)
     return fixed.select(*COLUMNS).unionByName(mixed.select(*COLUMNS))
 
 
-def candidates(m: DataFrame) -> DataFrame:
-    predictions = model_predictions(m)
+def candidates(predictions: DataFrame) -> DataFrame:
     return stored(predictions.unionByName(blends(predictions)), "candidates")
 
 
@@ -78,21 +93,34 @@ def comparison(found: DataFrame) -> DataFrame:
     return out.withColumn("place", e.place("competition_id", "log_loss_mean", "log_loss_median", "log_loss_std", "model"))
 
 
-@query("m9_walk_forward")
-def m9(m):
+@whole_query
+def m9_walk_forward(predictions):
     """One row a model, fold and competition, the holdout's fold last."""
-    return e.metrics(model_predictions(m), ["model", *KEYS])
+    return e.metrics(predictions, ["model", *KEYS])
+
+
+@query("m9_unfitted", """fr AS (SELECT fold::INT AS fold, competition_id, count(*) FILTER (start_year < fold) AS train, count(*) FILTER (start_year = fold) AS valid FROM contests, (VALUES (1994), (1996), (1997), (1998), (1999), (2001)) v(fold) WHERE is_played AND start_year <= fold GROUP BY 1, 2)
+SELECT fold, competition_id, CASE WHEN train = 0 THEN 'no training rows' ELSE 'nothing to predict' END AS reason FROM fr WHERE train = 0 OR valid = 0""")
+def m9_unfitted(m):
+    """Why a fold of a competition has no model: with a fold before all seasons and one after the last played one."""
+    return fits.unfitted(e.folds(m, [1994, *YEARS, HOLDOUT, 2001]), KEYS)
+
+
+@whole_query
+def m11_blends(predictions):
+    """The metrics of every blend over all folds and competitions."""
+    return e.metrics(blends(predictions), ["model"])
 
 
-@query("m12_candidates")
-def m12(m):
-    return comparison(candidates(m))
+@whole_query
+def m12_candidates(predictions):
+    return comparison(candidates(predictions))
 
 
-@query("m15_recommendations")
-def m15(m):
+@whole_query
+def m15_recommendations(predictions):
     """The winner of each competition against logistic regression: gains over the folds and on the holdout, and what to do."""
-    table = stored(comparison(candidates(m)), "comparison")
+    table = stored(comparison(candidates(predictions)), "comparison")
     now = table.where("model = 'logistic_regression'").select("competition_id", F.col("log_loss_mean").alias("now"), F.col("holdout_log_loss").alias("now_held"))
     best = table.where("place = 1").join(now, "competition_id")
     gain, held = F.col("now") - F.col("log_loss_mean"), F.col("now_held") - F.col("holdout_log_loss")

@@ -24,4 +24,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again: what follows scans the result, however often, instead of its plan."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _opened(df.sparkSession, df.schema, path)
+
+
+def _opened(spark: SparkSession, schema, path: str) -> DataFrame:
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_in = path
+    return out
+
+
+def again(df: DataFrame) -> DataFrame:
+    """A stored table with columns of its own, to be joined with itself."""
+    return _opened(df.sparkSession, df.schema, df.stored_in)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that no later job reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_in)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from contestry.functions import scalars as s
 from contestry.operators import curation as c
 from contestry.operators import evaluate as e
-from contestry.operators import landing, learn, reports
+from contestry.operators import landing, reports
 from contestry.operators import tables as t
 from contestry.plans import forecasts
 from contestry.plans.models import frozen
 from contestry.sources import raw
 from contestry.sources.contests import contests
+from tests.test_fits import fit_logistic
 
 
 def one(spark, expr, value, kind="string"):
@@ -142,7 +143,7 @@ def test_years_of_a_scan_are_checked(spark):
 def test_logistic_regression_is_at_its_optimum():
     r = np.random.default_rng(1)
     x, y, weight = r.normal(size=(200, 4)), r.integers(0, 3, 200), r.uniform(0.5, 2, 200)
-    w = learn.fit_logistic(x, y, weight)
+    w = fit_logistic(x, y, weight)
 
     def loss(w):
         z = np.column_stack([x, np.ones(200)]) @ w
