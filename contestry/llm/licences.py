@@ -140,10 +140,14 @@ LETTER = r"\p{L}\p{N}"
 #: A mark with a year, a name or a place for one; the name is told by its capital.
 COPYRIGHT_LINE = rf"(?m)^[^{LETTER}\n(©]*(?:(?i:copyright|copr)[.:,]? *(?:(?i:\(c\))|©|[<\[{{0-9]|(?i:by) |\p{{Lu}}\p{{Ll}}|$)|(?i:\(c\)) *(?:[<\[{{0-9]|(?i:copyright))|©|(?i:all rights reserved))[^\n]*$"
 
+#: Words that make "Copyright" part of a sentence, however they are spelled: such a line is text, also where a wrap puts it first.
+CONTINUED = r"((?i:copyright)) +((?i:holder|owner|proprietor|licen[cs]e|law|notice|act|statement|disclaimer|interest)s?)\b"
+
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form, line by line (joined by \\n); only A-Z are lower-cased, spellings count between words."""
-    out = F.regexp_replace(text_of(text), COPYRIGHT_LINE, "")
+    out = F.regexp_replace(text_of(text), CONTINUED, "$1 _$2")
+    out = F.regexp_replace(out, COPYRIGHT_LINE, "")
     out = F.translate(out, UPPER, UPPER.lower())
     out = F.regexp_replace(out, rf"[^{LETTER}\n]+", " ")
     out = F.regexp_replace(out, r" ?\n[ \n]*", "\n")
@@ -191,7 +195,8 @@ def oracle_sql() -> str:
 
     def canonical(text: str) -> str:
         pattern = COPYRIGHT_LINE.replace("'", "''")
-        out = f"translate(regexp_replace(coalesce({text}, ''), '{pattern}', '', 'g'), '{UPPER}', '{UPPER.lower()}')"
+        out = f"regexp_replace(coalesce({text}, ''), '{CONTINUED}', '\\1 _\\2', 'g')"
+        out = f"translate(regexp_replace({out}, '{pattern}', '', 'g'), '{UPPER}', '{UPPER.lower()}')"
         out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
         out = f"regexp_replace({out}, ' ?\\n[ \\n]*', chr(10), 'g')"
         for old, new in SPELLINGS.items():

@@ -83,6 +83,14 @@ def test_targets_share_the_excess_by_weight(spark):
 # 2: licences
 
 
+def test_sentences_about_a_copyright_holder_stay(spark):
+    text = "You may copy the Package\nif the Copyright Holder agrees and the\nCopyright Holders are named, under\nCopyright Law or the\nCopyright Notice above."
+    wrapped = "Copyright (c) 2001 Someone\n" + text.replace("the Copyright Holder agrees", "the\nCopyright Holder agrees")
+    known = spark.createDataFrame([("Own-1.0", text.replace("\n", " "))], "licence string, text string")
+    docs = make(spark, [text, wrapped, text.replace("Copyright Holders are", "owners are"), "Copyright Jane Doe\n" + text])
+    assert [r.licence for r in licences.scan(docs, known).orderBy("doc_id").collect()] == ["Own-1.0", "Own-1.0", None, "Own-1.0"]
+
+
 def test_licence_texts_match_in_any_dress(spark):
     dressed = licences.MIT.replace("<year> <copyright holders>", "2020 Somebody").upper().replace(",", " ;").replace("SUBLICENSE", "sub-licence")
     docs = make(spark, [licences.MIT, dressed, "Prose.\nLicensed under CC BY-NC 4.0.", "Licensed under CC BY-NC 4.0, or not", None])
