@@ -1,19 +1,19 @@
 """Sharding by a two-pass external shuffle.
 
-Pass one counts rows and bytes and scatters the records by a seeded hash into buckets that fit a
-task's memory. Pass two shuffles each bucket and deals the records, in bucket order, to the shards in
-turn: shard and slot follow from the record's place in the whole order, so shard sizes differ by one row
-at most (law "rows"). The shards are written as folders of the shared folder, their rows in the order of
-the slots.
-
-A bucket is shuffled by sorting it by 128 random bits that a record draws from seed and content. That
-gives the uniform permutations of a Fisher-Yates pass, but the same one in every rerun, over any
-partitions and after a lost executor; Spark's shuffle(), a Fisher-Yates pass over an array, draws by
-partition number and arrival and can't repeat itself.
-
-Rows that are alike in every column are interchangeable; they lie side by side in their bucket and so go
-to different shards. Where there are more than COPIES of a row, each copy is scattered by its number
-too, so that a row that is repeated without end fills no bucket.
+Pass one counts rows and bytes and scatters the records by a seeded hash into buckets; a task takes
+neighbouring buckets of some 64 MB. Pass two shuffles each bucket and writes it: the whole order is cut
+into shards of equal counts (law "rows"), so that a bucket goes to one shard or two, and a task writes few files.
+Whole records are moved once.
+
+A bucket is shuffled in two steps by its task, which sorts and numbers records and never holds a bucket:
+records are put in an order of their content, and their numbers in that order are then permuted by seeded
+draws, one a number. That gives the uniform permutations of a Fisher-Yates pass, but the same one in every
+rerun, over any partitions and after a lost executor; Spark's shuffle(), a Fisher-Yates pass over an array,
+draws by partition number and arrival and can't repeat itself. Rows alike in every column are interchangeable
+and get places of their own.
+
+Where there are more than COPIES of a row, each copy is scattered by its number too, so that a row that is
+repeated without end fills no bucket.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ from .common import BROADCAST_ROWS, small, text_of, unused, written
 
 SHARDS = 40
 SEED = 20_240_601
-#: Text bytes a bucket should hold; a task has one bucket in memory at a time.
-BUCKET_BYTES = 8 << 20
-#: Least buckets, so that small inputs still use every core.
-LEAST_BUCKETS = 256
+#: Text bytes of a bucket, and of a task's buckets together.
+BUCKET_BYTES, TASK_BYTES = 8 << 20, 64 << 20
+#: Least buckets, so that small inputs still use every core; most, so that a row for each may be broadcast.
+LEAST_BUCKETS, MOST_BUCKETS = 256, BROADCAST_ROWS
 #: Copies of a row (alike in every column) that may share a bucket.
 COPIES = 64
 
@@ -82,30 +82,33 @@ def assign_shards(
     df = df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
     size = size if size is not None else F.octet_length(text_of(F.col("text"))) + 16
     volume = df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
-    buckets = max(LEAST_BUCKETS, -(-volume // bucket_bytes))
-    bucket, draw, row, base, at, n, copy = unused(df, "bucket", "draw", "row", "base", "at", "n", "copy")
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-volume // bucket_bytes)))
+    tasks = min(buckets, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // TASK_BYTES)))
+    bucket, task, a, b, base, at, n, copy, place = unused(df, "bucket", "task", "a", "b", "base", "at", "n", "copy", "place")
     copies = numbered_copies(df, copy)
-    scattered = copies.select(
-        F.pmod(record_hash(df, seed, copy), F.lit(buckets)).alias(bucket),
-        F.struct(record_hash(df, seed + 1, copy).alias("a"), record_hash(df, seed + 2, copy).alias("b")).alias(draw),
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row),
-    )
+    scattered = copies.withColumns({
+        bucket: F.pmod(record_hash(df, seed, copy), F.lit(buckets)),
+        a: record_hash(df, seed + 1, copy),
+        b: record_hash(df, seed + 2, copy),
+    }).withColumn(task, F.expr(f"`{bucket}` * {tasks} div {buckets}").cast("int"))
     counts = scattered.groupBy(bucket).agg(F.count("*").alias(n))
     # one row a bucket: the window below runs over counts, never over records
     before = W.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    bases = counts.select(bucket, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base))
-    gathered = F.collect_list(F.struct(draw, row))
-    shuffled = F.sort_array(gathered) if len(plain_columns(df)) == len(df.columns) else F.array_sort(gathered, lambda x, y: F.when(x[draw] < y[draw], -1).when(x[draw] > y[draw], 1).otherwise(0))
-    filled = scattered.groupBy(bucket).agg(shuffled.alias(row))
-    dealt = filled.join(small(bases, BROADCAST_ROWS), bucket).select(base, F.posexplode(row).alias(at, row))
-    place = F.col(base) + F.col(at)
-    return dealt.select(f"{row}.{row}.*", F.pmod(place, F.lit(shards)).cast("int").alias(names[0]), F.floor(place / shards).cast("long").alias(names[1]))
+    bases = small(counts.select(F.col(bucket), F.col(n), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base)), MOST_BUCKETS)
+    rows = bases.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    own = W.partitionBy(task, bucket)
+    ordered = scattered.repartitionById(tasks, F.col(task)).withColumn(at, F.row_number().over(own.orderBy(a, b)))
+    drawn = ordered.withColumn(a, F.xxhash64(F.lit(seed + 3), F.col(bucket), F.col(at)))
+    drawn = drawn.withColumn(at, F.row_number().over(own.orderBy(a, b, at)))
+    placed = drawn.join(bases.drop(n), bucket).withColumn(place, F.col(base) + F.col(at) - 1)
+    shard = F.expr(f"`{place}` * {shards} div {max(rows, 1)}")
+    slot = F.col(place) - F.expr(f"(`{names[0]}` * {rows} + {shards - 1}) div {shards}")
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], shard.cast("int").alias(names[0]), F.col(place)).select(*[F.col(f"`{c}`") for c in df.columns], names[0], slot.cast("long").alias(names[1]))
 
 
 def write_shards(df: DataFrame, **how) -> DataFrame:
     """assign_shards' rows, written in one folder a shard and read again; a large shard has several files."""
-    dealt = assign_shards(df, **how).hint("rebalance", "shard").sortWithinPartitions("shard", "slot")
-    return written(dealt, "shards", "shard")
+    return written(assign_shards(df, **how).sortWithinPartitions("shard", "slot"), "shards", "shard")
 
 
 def shard_digest(docs: DataFrame) -> DataFrame:
