@@ -55,5 +55,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, kept, sf_dir)
 
 
-#: The order inside the shards comes from Spark's shuffle(), which SQL elsewhere can't repeat.
+#: The order inside the shards comes from 64-bit hashes that SQL elsewhere does not have.
 ORACLE_SQL = None
