@@ -68,6 +68,8 @@ CODED = "X-Percent-Coded"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 64 << 20
+#: Bytes read at a time to find the end of another writer's HTTP headers.
+HEAD_BYTES = 8 << 10
 
 
 def file_system(path: str):
@@ -265,25 +267,40 @@ class WarcReader(DataSourceReader):
                 yield from self.records(io.BufferedReader(Inflated(raw), 1 << 17))
 
     def records(self, stream) -> Iterator[tuple]:
+        typed = HEADERS["content_type"]
+        early = [c for c in self.conditions if c.column != "content_type"]
         while (headers := read_headers(stream)) is not None:
-            length, block = int(headers.get("content-length", 0)), None
-            if HEADERS["content_type"] not in headers:
-                # another writer's record: the type is its own, or for HTTP that of the HTTP headers
+            length, head = int(headers.get("content-length", 0)), b""
+            wanted = all(c.holds(headers) for c in early)
+            if wanted and typed not in headers:
+                # another writer's record: the type is its own, or for HTTP that of the HTTP headers, which are read by themselves
                 kind = headers.get("content-type", "")
                 if kind.startswith("application/http"):
-                    block = stream.read(length)
-                    kind = _http_type(block)
+                    head = _http_head(stream, length)
+                    kind = _http_type(head)
                 if kind:
-                    headers[HEADERS["content_type"]] = kind
-            wanted = all(c.holds(headers) for c in self.conditions)
-            if block is None and wanted and self.payload:
-                block = stream.read(length)
-            elif block is None:
-                _skip(stream, length)
+                    headers[typed] = kind
+            wanted = wanted and all(c.holds(headers) for c in self.conditions)
+            block = None
+            if wanted and self.payload:
+                block = head + stream.read(length - len(head))
+            else:
+                _skip(stream, length - len(head))
             if wanted:
                 yield tuple(value_of(headers, c) for c in HEADERS) + (_payload(headers, block) if self.payload else None,)
 
 
+def _http_head(stream, length: int) -> bytes:
+    """The first bytes of a block of that length, up to the piece in which its HTTP headers end."""
+    head = b""
+    while len(head) < length and b"\r\n\r\n" not in head[-(HEAD_BYTES + 3):]:
+        got = stream.read(min(HEAD_BYTES, length - len(head)))
+        if not got:
+            raise EOFError("the last record is cut short")
+        head += got
+    return head
+
+
 def _skip(stream, length: int) -> None:
     while length > 0:
         got = len(stream.read(min(length, 1 << 17)))

@@ -653,3 +653,30 @@ def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert set(docs.columns) < set(out.columns) and out.count() > 0
     assert out.join(docs, "doc_id", "left_anti").count() == 0
+
+
+def test_rejected_records_of_other_writers_are_not_read():
+    import io
+
+    class Counted(io.BytesIO):
+        most = 0
+
+        def read(self, n=-1):
+            got = super().read(n)
+            self.most = max(self.most, len(got))
+            return got
+
+    def record(kind, http, payload):
+        block = http + payload
+        return (f"WARC/1.0\r\nWARC-Type: {kind}\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    plain, page = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\n\r\n", b"HTTP/1.1 200 OK\r\nX: " + b"x" * 20_000 + b"\r\nContent-Type: text/html\r\n\r\n"
+    data = record("response", plain, b"a" * 5_000_000) + record("response", page, b"<p>") + record("request", page, b"b" * 3_000_000)
+    for conditions, kept in (([("record_type", "equal", "nothing")], 0), ([("content_type", "equal", "text/html")], 2), ([("content_type", "equal", "text/html"), ("record_type", "equal", "response")], 1)):
+        reader = warc.WarcReader({"path": "x"})
+        reader.conditions = [warc.Condition(c, next(t for f, t in warc.TESTS.items() if f.__name__ == "EqualTo"), v) for c, _, v in conditions]
+        stream = Counted(data)
+        found = list(reader.records(stream))
+        assert len(found) == kept and (stream.most < 200_000 or kept == 2)
+    names = list(warc.HEADERS)
+    assert [r[names.index("content_type")] for r in found] == ["text/html"] and found[0][-1] == b"<p>"
