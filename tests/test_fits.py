@@ -174,3 +174,24 @@ def test_forest_is_that_of_each_tree_alone(built):
 def test_a_bootstrap_takes_each_row_once_on_average():
     drawn = fits.draws(np.arange(20_000), 20)
     assert abs(drawn.mean() - 1) < 0.01 and abs(drawn.var() - 1) < 0.02 and (drawn[5] == fits.draws(np.array([5]), 20)).all()
+
+
+@pytest.mark.parametrize("algorithm", ["logistic_regression_balanced", "random_forest"])
+def test_stored_models_score_like_fresh_ones(spark, algorithm, monkeypatch):
+    from contestry.operators import learn
+    from contestry.sources.versioned import fresh_table
+
+    monkeypatch.setattr(fits, "BLOCK", 150)
+    r, rows = np.random.default_rng(3), []
+    for i in range(500):
+        v = r.normal(size=len(learn.FEATURES)).round(2)
+        y = int(np.digitize(v[0] + r.normal(), [-0.5, 0.5]))
+        rows.append((i % 2, "valid" if i >= 440 else "train", i, y, *[None if r.random() < 0.03 else float(x) for x in v]))
+    rows = spark.createDataFrame(rows, "league int, role string, match_id long, result_code int, " + ", ".join(f"{f} double" for f in learn.FEATURES))
+    fresh = learn.walk_forward(rows, ["league"], (algorithm,))
+    table = fresh_table(spark, "models", ["league"], ["league"])
+    table.replace(learn.trained(rows.where("role = 'train'").drop("role"), ["league"], algorithm))
+    found = learn.score(rows.where("role = 'valid'").drop("role", "result_code"), table.read(), ["league"], algorithm)
+    columns = ["league", "match_id", "p_away", "p_draw", "p_home"]
+    shown = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.select(*columns).collect())
+    assert shown(found) == shown(fresh) and found.count() == 60
