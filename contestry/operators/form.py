@@ -88,13 +88,13 @@ def asof_form(matches: DataFrame) -> DataFrame:
 FORM = [*MEASURES, "points_l5", "gd_l5", "prior_n"]
 
 
-def sides_in_columns(form: DataFrame) -> DataFrame:
-    """One row a contest with home_ and away_ columns."""
+def sides_in_columns(form: DataFrame, *keys: str, more: dict[str, str] | None = None) -> DataFrame:
+    """One row a contest (or of other keys) with home_ and away_ columns; more: further columns and their names."""
     def of(is_home: bool, side: str) -> list[Column]:
-        names = {**{c: f"{side}_{c}" for c in FORM}, "venue_win_rate_l5": f"{side}_{side}_win_rate_l5", "venue_draw_rate_l5": f"{side}_{side}_draw_rate_l5"}
+        names = {**{c: f"{side}_{c}" for c in FORM}, **{c: f"{side}_{n}" for c, n in (more or {}).items()}, "venue_win_rate_l5": f"{side}_{side}_win_rate_l5", "venue_draw_rate_l5": f"{side}_{side}_draw_rate_l5"}
         return [F.max(F.when(F.col("is_home") == is_home, F.col(c))).alias(n) for c, n in names.items()]
 
-    return form.groupBy("match_id").agg(*of(True, "home"), *of(False, "away"))
+    return form.groupBy(*(keys or ("match_id",))).agg(*of(True, "home"), *of(False, "away"))
 
 
 def head_to_head(matches: DataFrame) -> DataFrame:
@@ -130,17 +130,36 @@ def rate(rows: Iterator[tuple], ratings: dict[int, float]) -> Iterator[tuple[flo
 
 
 def elo(matches: DataFrame) -> DataFrame:
-    """Ratings before each contest. Contests of a competition depend on each other in turn, so a
-    competition is one group; competitions run in parallel, on six columns only."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["match_date", "kickoff_time", "match_id"], kind="stable")
-        goals = [(None, None) if not p else (h, a) for p, h, a in zip(pdf["is_played"], pdf["home_goals"], pdf["away_goals"])]
-        rows = ((h, a, *g) for h, a, g in zip(pdf["home_team_id"], pdf["away_team_id"], goals))
-        found = list(rate(rows, {}))
-        return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "home_elo": [x for x, _ in found], "away_elo": [x for _, x in found]})
+    """Ratings before each contest.
+
+    Contests of a competition depend on each other in turn: they come to one task in order, sorted by Spark, and
+    are rated batch by batch as they stream through it. The task holds a batch and its competitions' ratings, never
+    a competition's history; competitions run in parallel.
+    """
+    order = ["competition_id", "match_date", "kickoff_time", "match_id"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, ratings = None, {}
+        for pdf in batches:
+            found = []
+            for competition, own in pdf.groupby("competition_id", sort=False, dropna=False):
+                if last is None or competition != last:
+                    last, ratings = competition, {}
+                goals = [(None, None) if not p else (h, a) for p, h, a in zip(own["is_played"], own["home_goals"], own["away_goals"])]
+                found += rate(((h, a, *g) for h, a, g in zip(own["home_team_id"], own["away_team_id"], goals)), ratings)
+            yield pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "home_elo": [x for x, _ in found], "away_elo": [x for _, x in found]})
 
     light = matches.select("competition_id", "match_date", F.coalesce("kickoff_time", F.lit("")).alias("kickoff_time"), "match_id", "home_team_id", "away_team_id", "is_played", "home_goals", "away_goals")
-    return light.groupBy("competition_id").applyInPandas(run, "match_id long, home_elo double, away_elo double")
+    return light.repartition("competition_id").sortWithinPartitions(*order).mapInPandas(run, "match_id long, home_elo double, away_elo double")
+
+
+def elo_after(rated: DataFrame) -> DataFrame:
+    """rated (contests with home_elo and away_elo) with home_after and away_after: the ratings once the contest is over."""
+    goals = F.col("home_goals") - F.col("away_goals")
+    actual = F.when(goals > 0, 1.0).when(goals < 0, 0.0).otherwise(0.5)
+    moved = F.lit(ELO_K) * (actual - 1.0 / (1.0 + F.pow(F.lit(10.0), (F.col("away_elo") - F.col("home_elo") - ELO_HOME) / 400.0)))
+    moved = F.when(F.col("is_played") & goals.isNotNull(), moved).otherwise(0.0)
+    return rated.withColumns({"home_after": F.col("home_elo") + moved, "away_after": F.col("away_elo") - moved})
 
 
 def feature_table(matches: DataFrame) -> DataFrame:
@@ -162,43 +181,67 @@ def differentials(df: DataFrame) -> DataFrame:
     })
 
 
-# At a checkpoint: contests once for each checkpoint (scope), those after its cutoff unplayed.
+# At a checkpoint. What is known is looked up as of its day: a history gets the running figures of its keys once, and marks (a
+# contest that remains, and the checkpoint's day) take the newest of them that isn't later. History isn't copied by checkpoint.
+
+
+def remaining(played: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """The contests of each season that lie behind each checkpoint's cutoff, with checkpoint and cutoff."""
+    return played.join(cutoffs, ["competition_id", "start_year"]).where("match_date > cutoff")
 
 
-def frozen_form(frozen: DataFrame) -> DataFrame:
-    """Form of the sides of what remains at a checkpoint: the last five known contests of each team there.
+def as_of(marks: DataFrame, history: DataFrame, keys: list[str], day: str, found: str) -> DataFrame:
+    """marks with found: the newest value of the history with the same keys up to the mark's day, or null.
 
-    frozen: contests with scope, season and checkpoint; earlier seasons are history.
+    history: keys, match_date, kickoff_time, match_id and value (a struct). One window over both.
     """
-    grain = long_form(frozen, "scope", "season", "checkpoint")
-    order = [F.col(c).desc() for c in ("match_date", "kickoff_time", "match_id")]
-    place = lambda *more: F.row_number().over(W.partitionBy("scope", "team_id", *more).orderBy(*order))
-    known = grain.where("is_played").withColumns({"n": place(), "v": place("is_home")})
-    last = F.col("n") <= LAST
-    overall = known.where(last).groupBy("scope", "team_id").agg(*[F.avg(c).alias(n) for n, c in MEASURES.items()], F.sum("points").alias("points_l5"), F.sum("goal_diff").alias("gd_l5"), F.count("*").alias("prior_n"))
-    venue = known.where(F.col("v") <= LAST).groupBy("scope", "team_id", "is_home").agg(F.avg("win").alias("venue_win_rate_l5"), F.avg("draw").alias("venue_draw_rate_l5"))
-    rest = grain.where("not is_played and start_year = season").select("scope", "match_id", "season", "checkpoint", "team_id", "is_home")
-    return rest.join(overall, ["scope", "team_id"], "left").join(venue, ["scope", "team_id", "is_home"], "left").fillna({"prior_n": 0})
-
-
-def frozen_meetings(frozen: DataFrame) -> DataFrame:
-    """match_id, checkpoint and the head-to-head shares over all meetings known there."""
-    pair = ["scope", "low", "high"]
-    x = frozen.withColumns({"low": F.least("home_team_id", "away_team_id"), "high": F.greatest("home_team_id", "away_team_id")})
+    columns = marks.columns
+    mark = marks.select(*keys, F.col(day).alias("day_"), F.lit(1).alias("mark_"), F.lit(None).cast("string").alias("kick_"), F.lit(None).cast("long").alias("id_"), F.struct(*columns).alias("row_"))
+    past = history.select(*keys, F.col("match_date").alias("day_"), F.lit(0).alias("mark_"), F.col("kickoff_time").alias("kick_"), F.col("match_id").alias("id_"), "value")
+    w = W.partitionBy(*keys).orderBy("day_", "mark_", "kick_", "id_").rowsBetween(W.unboundedPreceding, W.currentRow)
+    both = past.unionByName(mark, allowMissingColumns=True).withColumn(found, F.last("value", ignorenulls=True).over(w))
+    return both.where("mark_ = 1").select("row_.*", found)
+
+
+def checkpoint_form(played: DataFrame, rest: DataFrame, rated: DataFrame | None = None) -> DataFrame:
+    """match_id, checkpoint, is_home, form of the side (overall and at the venue) over its last five contests up to the cutoff, and elo where rated is given.
+
+    played: contests with results; rest: of remaining; rated: of elo_after.
+    """
+    known = played if rated is None else played.join(rated.select("match_id", "home_after", "away_after"), "match_id")
+    ratings = ["home_after", "away_after"] if rated is not None else []
+    order = ("match_date", "kickoff_time", "match_id")
+    grain = long_form(known, *ratings)
+    last = W.partitionBy("competition_id", "team_id").orderBy(*order).rowsBetween(1 - LAST, 0)
+    venue = W.partitionBy("competition_id", "team_id", "is_home").orderBy(*order).rowsBetween(1 - LAST, 0)
+    rating = [F.when(F.col("is_home"), F.col("home_after")).otherwise(F.col("away_after")).alias("elo")] if ratings else []
+    overall = [*[F.avg(c).over(last).alias(n) for n, c in MEASURES.items()], F.sum("points").over(last).alias("points_l5"), F.sum("goal_diff").over(last).alias("gd_l5"), F.count("*").over(last).alias("prior_n"), *rating]
+    at_venue = [F.avg("win").over(venue).alias("venue_win_rate_l5"), F.avg("draw").over(venue).alias("venue_draw_rate_l5")]
+    history = grain.select("competition_id", "team_id", "is_home", *order, F.struct(*overall).alias("overall"), F.struct(*at_venue).alias("at_venue"))
+    sides = F.explode(F.array(F.struct(F.col("home_team_id").alias("team_id"), F.lit(True).alias("is_home")), F.struct(F.col("away_team_id").alias("team_id"), F.lit(False).alias("is_home"))))
+    marks = rest.select("competition_id", "match_id", "checkpoint", "cutoff", sides.alias("s")).select("competition_id", "match_id", "checkpoint", "cutoff", "s.*")
+    marks = as_of(marks, history.withColumnRenamed("overall", "value").drop("at_venue"), ["competition_id", "team_id"], "cutoff", "o")
+    marks = as_of(marks, history.withColumnRenamed("at_venue", "value").drop("overall"), ["competition_id", "team_id", "is_home"], "cutoff", "v")
+    return marks.select("match_id", "checkpoint", "is_home", "o.*", "v.*").fillna({"prior_n": 0})
+
+
+def checkpoint_meetings(played: DataFrame, rest: DataFrame) -> DataFrame:
+    """match_id, checkpoint and the head-to-head shares over all meetings up to the cutoff; null without one."""
+    pair = {"low": F.least("home_team_id", "away_team_id"), "high": F.greatest("home_team_id", "away_team_id")}
+    keys = ["competition_id", *pair]
     low_won = F.when(F.col("home_team_id") == F.col("low"), F.col("result") == "H").otherwise(F.col("result") == "A")
-    known = x.where("is_played").groupBy(*pair).agg(F.count("*").alias("n"), F.count_if(low_won).alias("low_wins"), F.count_if(F.col("result") == "D").alias("draws"))
-    rest = x.where("not is_played and start_year = season").join(known, pair, "left")
-    wins = F.when(F.col("home_team_id") == F.col("low"), F.col("low_wins")).otherwise(F.col("n") - F.col("draws") - F.col("low_wins"))
-    return rest.select("match_id", "checkpoint", (wins / F.col("n")).alias("h2h_home_win_rate_n"), (F.col("draws") / F.col("n")).alias("h2h_draw_rate_n"))
-
-
-def frozen_features(frozen: DataFrame) -> DataFrame:
-    """match_id, checkpoint and all features of what remains at each checkpoint."""
-    # one id a contest and checkpoint, in the order of the contests' own ids
-    marked = frozen.withColumn("at", F.col("match_id") * 100_000 + (F.col("season") % 1000) * 100 + F.col("checkpoint"))
-    rated = elo(marked.select(F.col("scope").alias("competition_id"), "match_date", "kickoff_time", F.col("at").alias("match_id"), "home_team_id", "away_team_id", "is_played", "home_goals", "away_goals"))
-    form = frozen_form(frozen).withColumn("match_id", F.col("match_id") * 100_000 + (F.col("season") % 1000) * 100 + F.col("checkpoint"))
-    out = sides_in_columns(form).join(rated, "match_id")
-    met = frozen_meetings(frozen).select(F.col("match_id").alias("contest"), F.col("checkpoint").alias("games"), "h2h_home_win_rate_n", "h2h_draw_rate_n")
-    out = differentials(out).withColumns({"contest": F.floor(F.col("match_id") / 100_000).cast("long"), "games": (F.col("match_id") % 100).cast("int")}).drop("match_id")
-    return out.join(met, ["contest", "games"], "left").withColumnsRenamed({"contest": "match_id", "games": "checkpoint"})
+    w = W.partitionBy(*keys).orderBy("match_date", "kickoff_time", "match_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts = F.struct(F.count("*").over(w).alias("n"), F.count_if("low_won").over(w).alias("low_wins"), F.count_if(F.col("result") == "D").over(w).alias("draws"))
+    history = played.withColumns(pair).withColumn("low_won", low_won).select(*keys, "match_date", "kickoff_time", "match_id", counts.alias("value"))
+    marks = rest.withColumns(pair).select(*keys, "match_id", "checkpoint", "cutoff", (F.col("home_team_id") == F.col("low")).alias("home_is_low"))
+    met = as_of(marks, history, keys, "cutoff", "m")
+    wins = F.when(F.col("home_is_low"), F.col("m.low_wins")).otherwise(F.col("m.n") - F.col("m.draws") - F.col("m.low_wins"))
+    return met.select("match_id", "checkpoint", (wins / F.col("m.n")).alias("h2h_home_win_rate_n"), (F.col("m.draws") / F.col("m.n")).alias("h2h_draw_rate_n"))
+
+
+def checkpoint_features(played: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """match_id, checkpoint and all features of what remains at each checkpoint, as they stood then."""
+    rest = remaining(played, cutoffs)
+    sides = checkpoint_form(played, rest, elo_after(elo(played).join(played, "match_id")))
+    out = sides_in_columns(sides.fillna({"elo": ELO_START}), "match_id", "checkpoint", more={"elo": "elo"})
+    return differentials(out).join(checkpoint_meetings(played, rest), ["match_id", "checkpoint"], "left")

@@ -66,17 +66,3 @@ def history_before(matches: DataFrame, features: DataFrame, season: int, least_p
     """Features of eligible contests of the seasons before one."""
     rows = matches.select("match_id", "start_year", "match_date", "is_played", "result_code").where(F.col("start_year") < season).join(features, "match_id")
     return rows.where(eligible(least_prior)).drop("is_played")
-
-
-def frozen_at(matches: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """matches once for each checkpoint of their season, as they stood then: what came after the cutoff is unplayed.
-
-    cutoffs: competition_id, start_year, checkpoint, cutoff. Earlier seasons come along as history; the
-    checkpoint and its season become the competition's scope (scope), so that none sees another's.
-    """
-    at = cutoffs.select(F.col("competition_id").alias("of"), F.col("start_year").alias("season"), "checkpoint", "cutoff")
-    met = matches.join(at, (F.col("competition_id") == F.col("of")) & (F.col("start_year") <= F.col("season"))).drop("of")
-    known = F.col("match_date") <= F.col("cutoff")
-    hidden = {c: F.when(known, F.col(c)) for c in ("home_goals", "away_goals", "result", "result_code")}
-    scope = F.concat_ws("/", F.col("competition_id").cast("string"), F.col("season").cast("string"), F.col("checkpoint").cast("string"))
-    return met.withColumns({**hidden, "is_played": F.col("is_played") & known, "scope": scope})

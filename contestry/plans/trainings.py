@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from contestry.operators import curation as c
 from contestry.operators import evaluate, form, registry, training
 from contestry.operators import tables as t
-from contestry.plans.features import FEATURE_SQL, LONG, rounded
+from contestry.plans.features import ELO, FEATURE_SQL, LONG, rounded
 from contestry.plans.payloads import PRODUCTION, SETTLED, in_use, named, settled_rows
 from contestry.sources import derived as d
 from contestry.sources.contests import stored_contests, with_contests
@@ -74,9 +76,14 @@ def u4(m):
 # Features at a checkpoint.
 
 
-def frozen_contests(m):
+def cutoffs(m):
     seasons = m.where("is_played and start_year between 1996 and 1999")
-    return training.frozen_at(m.where("is_played"), t.checkpoint_cutoffs(seasons, list(CHECKPOINTS)))
+    return stored(t.checkpoint_cutoffs(seasons, list(CHECKPOINTS)), "cutoffs")
+
+
+def played_and_rest(m):
+    played = m.where("is_played")
+    return played, form.remaining(played, cutoffs(m))
 
 
 FROZEN = LONG + """, cl AS (SELECT competition_id, start_year, count(DISTINCT team_id) AS clubs FROM lg WHERE is_played AND start_year BETWEEN 1996 AND 1999 GROUP BY 1, 2),
@@ -93,19 +100,39 @@ SELECT t.match_id, t.checkpoint, b AS is_home, round(avg(win) FILTER (rn <= 5),
   (sum(points) FILTER (rn <= 5))::BIGINT AS points_l5, (sum(goal_diff) FILTER (rn <= 5))::BIGINT AS gd_l5, count(*) FILTER (rn <= 5) AS prior_n, round(avg(win) FILTER (sv AND rv <= 5), 6) AS venue_win_rate_l5, round(avg(draw) FILTER (sv AND rv <= 5), 6) AS venue_draw_rate_l5
 FROM tg t CROSS JOIN (VALUES (true), (false)) v(b) LEFT JOIN j ON j.match_id = t.match_id AND j.checkpoint = t.checkpoint AND j.is_home = b GROUP BY 1, 2, 3""")
 def w10(m):
-    return form.frozen_form(frozen_contests(m)).select("match_id", "checkpoint", "is_home", *form.FORM, "venue_win_rate_l5", "venue_draw_rate_l5")
+    return form.checkpoint_form(*played_and_rest(m)).select("match_id", "checkpoint", "is_home", *form.FORM, "venue_win_rate_l5", "venue_draw_rate_l5")
 
 
 @query("w11_meetings_at_checkpoint", FROZEN + """ SELECT t.match_id, t.checkpoint, round(avg(((h.home_team_id = t.home_team_id AND h.result = 'H') OR (h.away_team_id = t.home_team_id AND h.result = 'A'))::INT), 6) AS h2h_home_win_rate_n, round(avg((h.result = 'D')::INT), 6) AS h2h_draw_rate_n
 FROM tg t LEFT JOIN contests h ON h.is_played AND h.competition_id = t.competition_id AND h.match_date <= t.cutoff AND least(h.home_team_id, h.away_team_id) = least(t.home_team_id, t.away_team_id) AND greatest(h.home_team_id, h.away_team_id) = greatest(t.home_team_id, t.away_team_id) GROUP BY 1, 2""")
 def w11(m):
-    return form.frozen_meetings(frozen_contests(m))
+    return form.checkpoint_meetings(*played_and_rest(m))
 
 
-@query("m21_features_at_checkpoint")
+_W10, _W11 = (re.sub(r"round\((avg\(.*?\) FILTER \(.*?\)|avg\(\(.*?\)::INT\)), 6\)", r"\1", ORACLE[k].rpartition(" SELECT t.match_id" if k.startswith("w11") else "\nSELECT t.match_id")[2]) for k in ("w10_form_at_checkpoint", "w11_meetings_at_checkpoint"))
+_SIDES = [f"{s}.{c} AS {n}_{c}" if c in ("points_l5", "gd_l5", "prior_n") else f"round({s}.{c}, 6) AS {n}_{c}" for s, n in (("h", "home"), ("a", "away")) for c in form.FORM]
+#: Features at checkpoints: the form and meetings above, and the ratings after the last contest up to the cutoff.
+CHECKPOINT_FEATURES = FROZEN + ", " + ELO + """,
+ea AS (SELECT c.competition_id, c.match_date, c.kickoff_time, c.match_id, unnest([home_team_id, away_team_id]) AS team_id, unnest([h + d, a - d]) AS elo FROM (SELECT match_id, h, a, 20 * (CASE result WHEN 'H' THEN 1.0 WHEN 'A' THEN 0.0 ELSE 0.5 END - 1 / (1 + pow(10, (a - h - 100) / 400.0))) AS d FROM el JOIN contests USING (match_id) WHERE rn > 0 AND is_played) x JOIN contests c USING (match_id)),
+ec AS (SELECT t.match_id, t.checkpoint, s.is_home, arg_max(e.elo, (e.match_date, e.kickoff_time, e.match_id)) AS elo FROM tg t JOIN lg s ON s.match_id = t.match_id JOIN ea e ON e.competition_id = t.competition_id AND e.team_id = s.team_id AND e.match_date <= t.cutoff GROUP BY 1, 2, 3),
+j AS (SELECT t.match_id, t.checkpoint, s.is_home, h.win, h.draw, h.goals_for, h.goals_against, h.goals_total, h.points, h.goal_diff,
+  row_number() OVER (PARTITION BY t.match_id, t.checkpoint, s.is_home ORDER BY h.match_date DESC, h.kickoff_time DESC, h.match_id DESC) AS rn, h.is_home = s.is_home AS sv,
+  row_number() OVER (PARTITION BY t.match_id, t.checkpoint, s.is_home, h.is_home = s.is_home ORDER BY h.match_date DESC, h.kickoff_time DESC, h.match_id DESC) AS rv
+  FROM tg t JOIN lg s ON s.match_id = t.match_id JOIN lg h ON h.is_played AND h.competition_id = t.competition_id AND h.team_id = s.team_id AND h.match_date <= t.cutoff),
+cf AS (SELECT t.match_id""" + _W10 + """),
+cm AS (SELECT t.match_id""" + _W11 + f""")
+SELECT h.match_id, h.checkpoint, {", ".join(_SIDES)}, round(h.venue_win_rate_l5, 6) AS home_home_win_rate_l5, round(h.venue_draw_rate_l5, 6) AS home_home_draw_rate_l5, round(a.venue_win_rate_l5, 6) AS away_away_win_rate_l5, round(a.venue_draw_rate_l5, 6) AS away_away_draw_rate_l5,
+  round(h2h_home_win_rate_n, 6) AS h2h_home_win_rate_n, round(h2h_draw_rate_n, 6) AS h2h_draw_rate_n, round(he, 6) AS home_elo, round(ae, 6) AS away_elo, round(abs(he - ae), 6) AS elo_abs_diff,
+  round(h.points_l5 / greatest(h.prior_n, 1) - a.points_l5 / greatest(a.prior_n, 1), 6) AS ppg_diff_l5, round(h.goals_scored_avg_l5 - a.goals_scored_avg_l5, 6) AS gf_diff_l5, round(h.goals_conceded_avg_l5 - a.goals_conceded_avg_l5, 6) AS ga_diff_l5,
+  round((h.goals_total_avg_l5 + a.goals_total_avg_l5) / 2, 6) AS recent_total_goals_avg_l5
+FROM (SELECT cf.*, coalesce(ec.elo, 1500.0)::DOUBLE AS he FROM cf LEFT JOIN ec USING (match_id, checkpoint, is_home) WHERE is_home) h
+JOIN (SELECT cf.*, coalesce(ec.elo, 1500.0)::DOUBLE AS ae FROM cf LEFT JOIN ec USING (match_id, checkpoint, is_home) WHERE NOT is_home) a ON a.match_id = h.match_id AND a.checkpoint = h.checkpoint JOIN cm ON cm.match_id = h.match_id AND cm.checkpoint = h.checkpoint"""
+
+
+@query("m21_features_at_checkpoint", CHECKPOINT_FEATURES, recursive=True)
 def m21(m):
     """All features of the contests that remain at a checkpoint; ratings stand as they were then."""
-    return form.frozen_features(stored(frozen_contests(m), "frozen"))
+    return form.checkpoint_features(m.where("is_played"), cutoffs(m))
 
 
 # The registry of runs.

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from contestry.operators import form
 from contestry.sources.contests import with_result
 
@@ -47,3 +49,50 @@ def test_upcoming_uses_played_history_only(spark):
 def test_elo_moves_after_the_contest(spark):
     found = by_id(form.elo(make(spark, ROWS)))
     assert found[2].away_elo > form.ELO_START > found[2].home_elo
+
+
+def many(n=160, seed=9):
+    import random
+
+    r, rows = random.Random(seed), []
+    for i in range(n):
+        league = r.choice([1, 1, 2])
+        home, away = r.sample(range(league * 10, league * 10 + 5), 2)
+        rows.append((i, league, f"2020-{1 + i // 16:02d}-{1 + r.randrange(28):02d}", r.choice(["12:00:00", "15:00:00"]), home, away, r.randrange(4), r.randrange(4)))
+    return rows
+
+
+def test_elo_holds_no_competition_at_once(spark):
+    rows = [(*x, True) for x in many()]
+    m = with_result(spark.createDataFrame(rows, "match_id long, competition_id long, match_date string, kickoff_time string, home_team_id long, away_team_id long, home_goals int, away_goals int, is_played boolean").withColumn("match_date", F.to_date("match_date")))
+    wanted = by_id(form.elo(m))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 7):  # batches smaller than a season
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert by_id(form.elo(m.repartition(5))) == wanted
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    ratings = {}
+    for i, league, day, kick, home, away, hg, ag in sorted(many(), key=lambda x: (x[2], x[3], x[0])):
+        assert (wanted[i].home_elo, wanted[i].away_elo) == next(form.rate([(home, away, None, None)], ratings))
+        list(form.rate([(home, away, hg, ag)], ratings))
+
+
+def test_features_at_a_checkpoint_are_those_of_a_history_that_ends_there(spark):
+    schema = "match_id long, competition_id long, match_date string, kickoff_time string, home_team_id long, away_team_id long, home_goals int, away_goals int, is_played boolean, start_year int"
+    m = with_result(spark.createDataFrame([(*x, True, 2019 if x[2] < "2020-05" else 2020) for x in many()], schema).withColumns({"match_date": F.to_date("match_date"), "kickoff_time": F.lit("12:00:00")}))
+    cutoffs = spark.createDataFrame([(1, 2020, 5, "2020-07-15"), (1, 2020, 10, "2020-09-01"), (2, 2020, 5, "2020-06-20")], "competition_id long, start_year int, checkpoint int, cutoff string").withColumn("cutoff", F.to_date("cutoff"))
+    found = form.checkpoint_features(m, cutoffs).collect()
+    assert len(found) > 60
+    for league, _, checkpoint, day in [tuple(r) for r in cutoffs.collect()]:
+        known = F.col("match_date") <= F.lit(day)
+        cut = m.where(F.col("competition_id") == league).withColumns({c: F.when(known, F.col(c)) for c in ("home_goals", "away_goals", "result", "result_code")}).withColumn("is_played", known)
+        rest = {r.match_id for r in m.where((F.col("competition_id") == league) & (F.col("start_year") == 2020) & ~known).collect()}
+        # each contest that remains moved to the day after the cutoff: then as-of form is form at the cutoff
+        alone = by_id(form.feature_table(cut.withColumn("match_date", F.when(known, F.col("match_date")).otherwise(F.date_add(F.lit(day), 1)))))
+        for r in (x for x in found if x.checkpoint == checkpoint and x.match_id in rest):
+            wanted = alone[r.match_id].asDict()
+            for c in ("home_elo", "away_elo", "h2h_home_win_rate_n", "h2h_draw_rate_n", "home_prior_n", "away_points_l5", "away_gd_l5"):
+                a, b = r[c], wanted[c]
+                assert (a is None and b is None) or abs(a - b) < 1e-9, c
