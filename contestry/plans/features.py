@@ -69,7 +69,7 @@ j AS (SELECT t.match_id, t.is_home, h.win, h.draw, h.goals_for, h.goals_against,
   count(*) FILTER (rn <= 5) AS prior_n, round(avg(win) FILTER (same_venue AND rv <= 5), 6) AS venue_win_rate_l5, round(avg(draw) FILTER (same_venue AND rv <= 5), 6) AS venue_draw_rate_l5
   FROM (SELECT match_id, is_home FROM lg WHERE NOT is_played) t LEFT JOIN j ON t.match_id = j.match_id AND t.is_home = j.is_home GROUP BY 1, 2""")
 def j3(spark, sf_dir):
-    return form.asof_form(contests(spark, sf_dir))
+    return form.asof_form(stored_contests(spark, sf_dir))
 
 
 H2H = """

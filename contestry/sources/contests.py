@@ -7,6 +7,7 @@ suppliers differ and belong to nations of one region, which is the competition.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from contestry.sources.store import stored
@@ -21,16 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(*order).alias("line"))
-    # an order has a handful of lines: one aggregation finds its first two
-    two = lines.groupBy("l_orderkey").agg(F.slice(F.sort_array(F.collect_list("line")), 1, 2).alias("two")).where(F.size("two") == 2)
-    sides = two.select("l_orderkey", F.col("two")[0].alias("h"), F.col("two")[1].alias("a"))
+    # one sorted pass: an order's first line sees the one that follows it
+    w = W.partitionBy("l_orderkey").orderBy(*order)
+    line = F.struct("l_linenumber", "l_suppkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *order)
+    sides = lines.select("l_orderkey", F.row_number().over(w).alias("place"), line.alias("h"), F.lead(line).over(w).alias("a")).where("place = 1 and a is not null")
     region = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
     home, away = region.toDF("home_team_id", "competition_id"), region.toDF("away_team_id", "away_region")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     joined = (
         sides.where("h.l_suppkey <> a.l_suppkey")
-        .select("*", F.col("h.l_suppkey").alias("home_team_id"), F.col("a.l_suppkey").alias("away_team_id"))
+        .select("l_orderkey", "h", "a", F.col("h.l_suppkey").alias("home_team_id"), F.col("a.l_suppkey").alias("away_team_id"))
         .join(home, "home_team_id")
         .join(away, "away_team_id")
         .where("competition_id = away_region")

@@ -79,8 +79,9 @@ def stale_rows(table: Table, predicted: DataFrame) -> DataFrame:
     now = contests_of(table.read())
     newest = now.groupBy(*SEASON).agg(F.max("feed").alias("newest"))
     known = now.join(newest, SEASON).join(predicted.select(*PAIRING, "predictions"), PAIRING, "left").fillna({"predictions": 0})
-    fates = stale(known, known.where("feed = newest"))
-    return known.join(fates, "match_id").select(*PAIRING, "match_id", "reasons", "fate")
+    # a day that crosses into another season leaves its contest in both, under one id: rows are told apart by their pairing
+    whole = known.withColumn("match_id", F.struct(*PAIRING, "match_id"))
+    return stale(whole, known.where("feed = newest")).select("match_id.*", "reasons", "fate")
 
 
 def retire(table: Table, predicted: DataFrame) -> int:
