@@ -121,16 +121,33 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], frozen: Column | Non
     return both.select(*keys, taken.alias("v"), "change").select(*keys, "v.*", "change")
 
 
-def resolve_teams(known: DataFrame, incoming: DataFrame) -> DataFrame:
+def resolve_teams(known: DataFrame, incoming: DataFrame, renames: bool = False) -> DataFrame:
     """Each incoming name's team: by canonical name, then by source name, else new.
 
-    known: competition, team_id, canonical, source; incoming: competition, source, canonical.
+    known: competition, team_id, canonical, source; incoming: competition, source, canonical. With renames a team found
+    by its source takes the incoming canonical name (how: renamed), unless that name is taken: by another known
+    team, or by a claim that comes first, of the lowest id. A team takes one name. What loses is contested, and
+    keeps its team under the old name.
     """
     by_name = known.select("competition", "canonical", F.col("team_id").alias("by_name"))
     by_source = known.groupBy("competition", "source").agg(F.min("team_id").alias("by_source"))
     out = incoming.join(by_name, ["competition", "canonical"], "left").join(by_source, ["competition", "source"], "left")
     how = F.when(F.col("by_name").isNotNull(), "canonical").when(F.col("by_source").isNotNull(), "source").otherwise("new")
-    return out.select("competition", "source", "canonical", F.coalesce("by_name", "by_source").alias("team_id"), how.alias("how"))
+    out = out.select("competition", "source", "canonical", F.coalesce("by_name", "by_source").alias("team_id"), how.alias("how"))
+    if not renames:
+        return out
+    claims = F.col("how") == "source"
+    # of a name's claims the lowest id's, of a team's claims the first name; other rows are numbered apart and unused
+    claim = F.row_number().over(W.partitionBy("competition", "canonical", claims).orderBy("team_id", "source"))
+    own = F.row_number().over(W.partitionBy("competition", "team_id", claims).orderBy("canonical"))
+    placed = out.withColumns({"claim": claim, "own": own})
+    return placed.withColumn("how", F.when(~claims, F.col("how")).when((F.col("claim") == 1) & (F.col("own") == 1), "renamed").otherwise("contested")).drop("claim", "own")
+
+
+def renamed_teams(known: DataFrame, resolved: DataFrame) -> DataFrame:
+    """known under the canonical names that resolve_teams let them take."""
+    new = resolved.where("how = 'renamed'").select("competition", "team_id", F.col("canonical").alias("new_name"))
+    return known.join(new, ["competition", "team_id"], "left").withColumn("canonical", F.coalesce("new_name", "canonical")).drop("new_name")
 
 
 def problems(*checks: tuple[str, DataFrame]) -> DataFrame:

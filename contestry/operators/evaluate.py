@@ -20,14 +20,6 @@ def folds(matches: DataFrame, years: list[int]) -> DataFrame:
     return fold.withColumn("role", role).where("role is not null")
 
 
-def valid_years(holdout: int, n_folds: int, first_season: int, least_train: int = 2) -> list[int]:
-    """Seasons that walk-forward folds validate on, up to the one before the holdout."""
-    first = max(holdout - n_folds, first_season + least_train)
-    if n_folds < 1 or first >= holdout:
-        raise ValueError("no fold leaves enough training seasons")
-    return list(range(first, holdout))
-
-
 def uniform(df: DataFrame) -> DataFrame:
     return df.withColumns({p: F.lit(1 / 3) for p in TRIPLE})
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contestry.functions.scalars import season_name
 from contestry.operators.curation import upsert
+from contestry.sources.contests import season_start
 
 
 def land(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -58,7 +59,8 @@ COMPETITIONS = [
 ]
 #: Seasons of another size: code, first and last year, clubs, contests.
 SIZES = [("F1", 2018, 2018, 20, 380), ("F1", 2019, 2019, 20, 279), ("F1", 2020, 2022, 20, 380)]
-EVERY = {"all", "top5", "top-5"}
+#: Words that name all competitions.
+EVERY = ["all", "top5", "top-5"]
 
 
 def catalog(spark) -> DataFrame:
@@ -86,7 +88,7 @@ def competition_codes(value: str | list[str] | None) -> list[str]:
     """Codes of a code, a slug, a comma list, or all."""
     known = {name: code for code, slug, *_ in COMPETITIONS for name in (code.lower(), slug)}
     words = [w.strip().lower() for w in (value if isinstance(value, list) else (value or "all").split(",")) if w.strip()]
-    if not words or set(words) & EVERY:
+    if not words or set(words) & set(EVERY):
         return [c[0] for c in COMPETITIONS]
     unknown = [w for w in words if w not in known]
     if unknown:
@@ -96,27 +98,30 @@ def competition_codes(value: str | list[str] | None) -> list[str]:
 
 # Years.
 
+#: Words of a year parameter that leave the year to its default.
+DEFAULT_WORDS = ["auto", "current", "none", "null"]
+YEAR = re.compile(r"[+-]?[0-9]+(\.0*)?")
 
-def year_override(value: object) -> int | None:
-    """A year, or None for the default (empty, auto, current, null, none)."""
-    if value is None or (isinstance(value, str) and value.strip().lower() in {"", "auto", "current", "null", "none"}):
+
+def year_parameter(value: object) -> int | None:
+    """The year that a parameter names, given as text or a number; None where it is blank or a word for the default."""
+    shown = "" if value is None else str(value).strip()
+    if not shown or shown.lower() in DEFAULT_WORDS:
         return None
-    if isinstance(value, bool) or (isinstance(value, float) and not value.is_integer()):
-        raise ValueError(f"invalid year: {value!r}")
-    try:
-        return int(str(value).strip()) if isinstance(value, str) else int(value)
-    except (TypeError, ValueError) as e:
-        raise ValueError(f"invalid year: {value!r}") from e
-
-
-def season_windows(today: date, n_folds: int = 4, first_season: int = 2018, least_train: int = 2) -> dict:
-    """All boundaries that follow from a day: live and holdout season, ends of the splits, validation seasons."""
-    from contestry.operators.evaluate import valid_years
-
-    live = today.year - (today.month < 8)
-    holdout = live - 1
-    end = lambda y: f"{y + 1}-07-31"
-    return {
-        "live": live, "holdout": holdout, "train_end": end(holdout - 2), "valid_end": end(holdout - 1), "production_train_end": end(holdout - 1), "test_end": end(holdout),
-        "valid_years": valid_years(holdout, n_folds, first_season, least_train),
-    }
+    if not YEAR.fullmatch(shown):
+        raise ValueError(f"not a year: {value!r}")
+    return int(shown.partition(".")[0])
+
+
+def season_boundaries(days: DataFrame, day: str, folds: int = 4, first: int = 2018, behind: int = 2) -> DataFrame:
+    """days with what follows from each: live and holdout season, train_end, valid_end and test_end (ends of seasons), and fold_seasons.
+
+    The holdout is the season before the live one. Walk-forward folds validate on the newest `folds` seasons before it
+    that have `behind` seasons of history, which begins in `first`; a day without any is an error.
+    """
+    live = season_start(day)
+    ends = {name: F.make_date(live - back, F.lit(7), F.lit(31)) for name, back in (("train_end", 2), ("valid_end", 1), ("test_end", 0))}
+    usable = F.when(live - 2 >= first + behind, F.sequence(F.lit(first + behind), live - 2))
+    found = F.coalesce(F.slice(usable, F.greatest(F.size(usable) - folds + 1, F.lit(1)), F.lit(max(folds, 0))), F.array().cast("array<int>"))
+    error = F.raise_error(F.concat(F.lit("no fold has enough seasons behind it on "), F.col(day).cast("string")))
+    return days.withColumns({"live": live, "holdout": live - 1, **ends, "fold_seasons": F.when(F.size(found) > 0, found).otherwise(error.cast("array<int>"))})

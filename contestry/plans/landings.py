@@ -130,3 +130,28 @@ def s4(m):
     spoiled = spoiled.withColumns({"AwayTeam": F.when(k == 3, F.col("HomeTeam")).otherwise(F.col("AwayTeam")), "FTAG": F.when((k == 4) | (k == 5), "").otherwise(F.col("FTAG"))})
     bad = curation.transform(curation.without_blank_rows(spoiled)).select(F.explode("violations").alias("rule"))
     return bad.groupBy("rule").agg(F.count("*").alias("rows"))
+
+
+@query("n25_season_boundaries", """dy AS (SELECT DISTINCT match_date AS day, start_year AS live FROM contests WHERE start_year >= 1998)
+SELECT day::VARCHAR AS day, live, live - 1 AS holdout, (live - 2) || '-07-31' AS train_end, (live - 1) || '-07-31' AS valid_end, live || '-07-31' AS test_end, array_to_string(range(greatest(live - 4, 1996), live - 1), ' ') AS fold_seasons FROM dy""")
+def n25(m):
+    """For every day of the contests as today: three folds at most, history from 1994 on."""
+    days = m.where("start_year >= 1998").select(F.col("match_date").alias("day")).distinct()
+    return landing.season_boundaries(days, "day", folds=3, first=1994).withColumn("fold_seasons", F.array_join(F.col("fold_seasons").cast("array<string>"), " "))
+
+
+@query("d1_contested_renames", """tm AS (SELECT DISTINCT 'C' || competition_id AS competition, unnest([home_team_id, away_team_id]) AS id FROM contests),
+kn AS (SELECT competition, id AS team_id, CASE WHEN id % 4 = 1 THEN 'Old Team ' || id ELSE 'Team ' || id END AS canonical, 'Source ' || id AS source FROM tm WHERE id % 4 < 3),
+ic AS (SELECT competition, 'Source ' || id AS source, 'Team ' || id AS canonical FROM tm UNION ALL SELECT competition, 'Source ' || id, 'Team ' || (id + 1) FROM tm WHERE id % 4 = 0 UNION ALL SELECT competition, 'Other ' || id, 'Team ' || id FROM tm WHERE id % 12 = 1),
+rs AS (SELECT i.*, n.team_id AS by_name, s.team_id AS by_source, s.canonical AS old FROM ic i LEFT JOIN kn n USING (competition, canonical) LEFT JOIN kn s ON s.competition = i.competition AND s.source = i.source),
+cl AS (SELECT *, CASE WHEN by_name IS NULL AND by_source IS NOT NULL THEN row_number() OVER (PARTITION BY competition, canonical, by_name IS NULL AND by_source IS NOT NULL ORDER BY by_source, source) END AS claim,
+  row_number() OVER (PARTITION BY competition, by_source, by_name IS NULL AND by_source IS NOT NULL ORDER BY canonical) AS own FROM rs)
+SELECT competition, source, canonical, coalesce(by_name, by_source) AS team_id, CASE WHEN by_name IS NOT NULL THEN 'canonical' WHEN by_source IS NULL THEN 'new' WHEN claim = 1 AND own = 1 THEN 'renamed' ELSE 'contested' END AS how FROM cl""")
+def d1_contested(m):
+    """Names that are known, renamed by their source, claimed by two clubs at once, or new."""
+    ids = d.clubs(m).select(F.concat(F.lit("C"), F.col("competition_id").cast("string")).alias("competition"), F.col("team_id").alias("id"))
+    named = lambda word, k=0: F.concat(F.lit(f"{word} "), (F.col("id") + k).cast("string"))
+    known = ids.where("id % 4 < 3").select("competition", F.col("id").alias("team_id"), F.when(F.col("id") % 4 == 1, named("Old Team")).otherwise(named("Team")).alias("canonical"), named("Source").alias("source"))
+    row = lambda where, source, canonical: ids.where(where).select("competition", source.alias("source"), canonical.alias("canonical"))
+    incoming = row("true", named("Source"), named("Team")).unionByName(row("id % 4 = 0", named("Source"), named("Team", 1))).unionByName(row("id % 12 = 1", named("Other"), named("Team")))
+    return curation.resolve_teams(known, incoming, renames=True)

@@ -117,16 +117,32 @@ def test_competition_lists_and_years():
     assert landing.competition_codes(" la-liga, d1") == ["SP1", "D1"]
     with pytest.raises(ValueError):
         landing.competition_codes("nowhere")
-    assert [landing.year_override(x) for x in (None, " auto", "", 2019, "2020", 2021.0)] == [None, None, None, 2019, 2020, 2021]
-    for bad in (True, "soon", 2020.5):
+    assert [landing.year_parameter(x) for x in (None, " auto", "", 2019, "2020", 2021.0)] == [None, None, None, 2019, 2020, 2021]
+    for bad in (True, "soon", 2020.5, "20 20", float("nan")):
         with pytest.raises(ValueError):
-            landing.year_override(bad)
+            landing.year_parameter(bad)
 
 
-@pytest.mark.parametrize("today", [dt.date(2026, 7, 31), dt.date(2026, 8, 1), dt.date(2027, 1, 15), dt.date(2024, 2, 29)])
-def test_holdout_is_never_validated(today):
-    w = landing.season_windows(today)
-    assert w["holdout"] == w["live"] - 1 and max(w["valid_years"]) == w["holdout"] - 1 and w["train_end"] < w["valid_end"] < w["test_end"]
+def test_holdout_is_never_validated(spark):
+    days = spark.createDataFrame([(dt.date(2026, 7, 31),), (dt.date(2026, 8, 1),), (dt.date(2027, 1, 15),), (dt.date(2024, 2, 29),)], "day date")
+    found = {r.day: r for r in landing.season_boundaries(days, "day").collect()}
+    for r in found.values():
+        assert r.holdout == r.live - 1 and max(r.fold_seasons) == r.holdout - 1 and r.train_end < r.valid_end < r.test_end and len(r.fold_seasons) <= 4
+    r = found[dt.date(2024, 2, 29)]
+    assert (r.live, r.train_end, r.test_end, r.fold_seasons) == (2023, dt.date(2021, 7, 31), dt.date(2023, 7, 31), [2020, 2021])
+    with pytest.raises(Exception, match="no fold"):
+        landing.season_boundaries(days.limit(1), "day", first=2024).collect()
+
+
+def test_a_contested_name_goes_to_the_lowest_id(spark):
+    known = spark.createDataFrame([("L", 1, "A", "a"), ("L", 2, "B", "b"), ("L", 3, "C", "c"), ("M", 1, "X", "a")], "competition string, team_id long, canonical string, source string")
+    incoming = spark.createDataFrame([("L", "a", "New"), ("L", "b", "New"), ("L", "c", "B"), ("L", "z", "Z"), ("M", "a", "New"), ("M", "a", "Newer")], "competition string, source string, canonical string")
+    found = c.resolve_teams(known, incoming, renames=True)
+    assert {(r.competition, r.source, r.canonical): (r.team_id, r.how) for r in found.collect()} == {
+        ("L", "a", "New"): (1, "renamed"), ("L", "b", "New"): (2, "contested"), ("L", "c", "B"): (2, "canonical"), ("L", "z", "Z"): (None, "new"),
+        ("M", "a", "New"): (1, "renamed"), ("M", "a", "Newer"): (1, "contested"),
+    }
+    assert {(r.competition, r.team_id): r.canonical for r in c.renamed_teams(known, found).collect()} == {("L", 1): "New", ("L", 2): "B", ("L", 3): "C", ("M", 1): "New"}
 
 
 def test_catalog_sizes_follow_the_year(spark):
@@ -191,10 +207,6 @@ def test_small_bins_merge(spark):
     assert sum(r.n for r in found) == 60 and all(r.n >= 30 for r in found)
 
 
-def test_fold_years():
-    assert e.valid_years(1999, 4, 1994) == [1996, 1997, 1998]
-    with pytest.raises(ValueError):
-        e.valid_years(1996, 4, 1994)
 
 
 def test_recommendations(spark):
