@@ -189,6 +189,35 @@ def season_problems(summary: DataFrame, catalog: DataFrame, live: int) -> DataFr
     return sized.select("competition_id", "start_year", F.explode(found).alias("problem"))
 
 
+def league_problems(summary: DataFrame, live: int, least: float = 0.15, most: float = 0.35) -> DataFrame:
+    """competition_id, problem, rows: unplayed contests of completed seasons, played ones without a code, nothing played, and an odd share of draws over all seasons.
+
+    summary: of season_summary; rows counts the contests that a problem is about.
+    """
+    all_of = lambda c: F.sum(c).cast("long")
+    whole = summary.groupBy("competition_id").agg(
+        all_of(F.when(F.col("start_year") < live, F.col("matches") - F.col("played")).otherwise(0)).alias("unplayed"), all_of("played").alias("played"), all_of("draw").alias("draw"),
+        all_of(F.col("played") - F.col("away") - F.col("draw") - F.col("home")).alias("uncoded"),
+    )
+    share = F.col("draw") / F.nullif(F.col("played"), F.lit(0))
+    rules = {"unplayed in completed seasons": (F.col("unplayed") > 0, "unplayed"), "nothing played": (F.col("played") == 0, "played"), "uncoded results": (F.col("uncoded") != 0, "uncoded"), "draw share": (~share.between(least, most), "played")}
+    found = F.array_compact(F.array(*[F.when(broken, F.struct(F.lit(name).alias("problem"), F.col(rows).alias("rows"))) for name, (broken, rows) in rules.items()]))
+    return whole.select("competition_id", F.explode(found).alias("x")).select("competition_id", "x.*")
+
+
+def club_problems(m: DataFrame, sizes: DataFrame) -> DataFrame:
+    """competition_id, start_year, problem, rows: seasons with another number of clubs than expected, and pairings that were stored more than once.
+
+    sizes: competition_id, start_year, clubs; seasons without a size have no expectation.
+    """
+    season = ["competition_id", "start_year"]
+    sides = m.select(*season, F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    clubs = sides.groupBy(*season).agg(F.count_distinct("team_id").alias("rows")).join(sizes, season)
+    split = clubs.where("rows <> clubs").select(*season, F.lit("clubs").alias("problem"), "rows")
+    again = m.groupBy(*season, "home_team_id", "away_team_id").agg(F.count("*").alias("n")).where("n > 1")
+    return split.unionByName(again.groupBy(*season).agg(F.count("*").alias("rows")).withColumn("problem", F.lit("repeated pairings")))
+
+
 def feature_problems(m: DataFrame, features: DataFrame) -> DataFrame:
     """Contests without features, ratings and priors out of range."""
     lacking = m.select("match_id").join(features, "match_id", "left_anti")
@@ -213,6 +242,6 @@ def prediction_problems(p: DataFrame) -> DataFrame:
 
 def fail_on(found: DataFrame, stage: str) -> None:
     """Raise with the names of all broken checks; the table has one row a check."""
-    broken = found.where("rows > 0").limit(100).collect()
+    broken = found.where("rows > 0").collect()
     if broken:
         raise ValueError(f"{stage}: " + "; ".join(f"{r['check']} ({r['rows']})" for r in broken))

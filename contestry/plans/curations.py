@@ -80,3 +80,22 @@ def s7(m):
 def d10(m):
     catalog = m.select("competition_id").distinct().withColumns({"first_year": F.lit(1995), "last_year": F.lit(1999), "matches": F.lit(80)})
     return c.season_problems(t.season_summary(m), catalog, live=2000)
+
+
+@query("d10_league_problems", """sm AS (SELECT competition_id, start_year, is_played, result_code FROM contests WHERE competition_id < 3 OR NOT (is_played AND match_id % 3 > 0)),
+lg AS (SELECT competition_id, count(*) FILTER (NOT is_played AND start_year < 2001) AS unplayed, count(*) FILTER (is_played) AS played, count(*) FILTER (is_played AND result_code = 1 AND competition_id <> 1) AS draw, count(*) FILTER (is_played AND result_code = 1 AND competition_id = 1) AS uncoded FROM sm GROUP BY 1)
+SELECT competition_id, 'unplayed in completed seasons' AS problem, unplayed AS rows FROM lg WHERE unplayed > 0 UNION ALL SELECT competition_id, 'nothing played', played FROM lg WHERE played = 0 UNION ALL SELECT competition_id, 'uncoded results', uncoded FROM lg WHERE uncoded <> 0 UNION ALL SELECT competition_id, 'draw share', played FROM lg WHERE played > 0 AND NOT draw / played BETWEEN 0.15 AND 0.35""")
+def d10_league(m):
+    """With 2001 as the live season: that before has unplayed contests. Competition 1 has lost the codes of its draws, and others rows."""
+    spoiled = m.where("competition_id < 3 or not (is_played and match_id % 3 > 0)")
+    coded = F.when((F.col("competition_id") == 1) & (F.col("result_code") == 1), F.lit(None)).otherwise(F.col("result_code"))
+    return c.league_problems(t.season_summary(spoiled.withColumn("result_code", coded)), live=2001)
+
+
+@query("d11_clubs_and_pairings", """sz AS (SELECT competition_id, start_year, count(DISTINCT team_id) + (start_year % 2) AS clubs FROM (SELECT competition_id, start_year, unnest([home_team_id, away_team_id]) AS team_id FROM contests) GROUP BY 1, 2)
+SELECT competition_id, start_year, 'clubs' AS problem, (clubs - 1)::BIGINT AS rows FROM sz WHERE start_year % 2 = 1 UNION ALL SELECT competition_id, start_year, 'repeated pairings', count(*) FROM (SELECT competition_id, start_year, home_team_id, away_team_id FROM contests GROUP BY ALL HAVING count(*) > 1) GROUP BY 1, 2""")
+def d11_clubs(m):
+    """Odd seasons are said to have one club more."""
+    sides = m.select("competition_id", "start_year", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    sizes = sides.groupBy("competition_id", "start_year").agg((F.count_distinct("team_id") + F.col("start_year") % 2).alias("clubs"))
+    return c.club_problems(m, sizes)

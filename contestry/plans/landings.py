@@ -99,13 +99,12 @@ def x1(m):
     return landed_rows(m.sparkSession, f"{path}/out").select("source_file", "row_number", F.col("batch").alias("sent_again"))
 
 
-@query("d1_team_resolution", "tm AS (SELECT DISTINCT 'C' || competition_id AS competition, unnest([home_team_id, away_team_id]) AS id FROM contests) SELECT competition, 'Team ' || id AS source, CASE id % 3 WHEN 0 THEN id END AS team_id_by_name, CASE WHEN id % 3 = 0 THEN 'canonical' WHEN id % 3 = 1 THEN 'source' ELSE 'new' END AS how FROM tm")
+@query("d1_team_resolution", "tm AS (SELECT DISTINCT 'C' || competition_id AS competition, unnest([home_team_id, away_team_id]) AS id FROM contests) SELECT competition, 'Team ' || id AS source, CASE WHEN id % 3 < 2 THEN id END AS team_id, CASE WHEN id % 3 = 0 THEN 'canonical' WHEN id % 3 = 1 THEN 'source' ELSE 'new' END AS how FROM tm")
 def d1(m):
     """Clubs of which a third are known by their name, a third by an older source name, and a third not at all."""
     clubs = d.clubs(m).select(F.concat(F.lit("C"), F.col("competition_id").cast("string")).alias("competition"), "team_id", F.col("name").alias("source"))
     known = clubs.where("team_id % 3 < 2").select("competition", "team_id", F.when(F.col("team_id") % 3 == 0, F.col("source")).otherwise(F.concat(F.lit("Old "), F.col("source"))).alias("canonical"), "source")
-    found = curation.resolve_teams(known, clubs.select("competition", "source", F.col("source").alias("canonical")))
-    return found.select("competition", "source", F.when(F.col("how") == "canonical", F.col("team_id")).alias("team_id_by_name"), "how")
+    return curation.resolve_teams(known, clubs.select("competition", "source", F.col("source").alias("canonical"))).drop("canonical")
 
 
 @query("n7_division", RAW + " SELECT rid, competition FROM vl WHERE competition = 'C1'")
@@ -113,10 +112,11 @@ def n7(m):
     return curation.of_competition(curated(m), "C1").select("rid", "competition")
 
 
-@query("n20_prediction_texts", d.PREDICTED + " SELECT match_id, model_run_id, CASE algorithm WHEN 'logistic_regression' THEN 'Logistic Regression' ELSE 'Poisson Dixon Coles' END AS label FROM pd")
+@query("n20_prediction_texts", d.PREDICTED + " SELECT match_id, model_run_id, CASE algorithm WHEN 'logistic_regression' THEN 'Logistic Regression' ELSE 'Poisson Dixon Coles' END AS label, printf('Home %.0f%% / Draw %.0f%% / Away %.0f%%', round(p_home * 100, 9), round(p_draw * 100, 9), round(p_away * 100, 9)) AS shown FROM pd")
 def n20(m):
     p = d.predictions(m)
-    return p.select("match_id", "model_run_id", scalars.title_of(F.col("algorithm"), {}).alias("label"))
+    steady = lambda c: F.round(F.col(c), 11)  # noqa: E731  sums differ in their last digits by the order of rows
+    return p.select("match_id", "model_run_id", scalars.title_of(F.col("algorithm"), {}).alias("label"), scalars.prediction_text(steady("p_away"), steady("p_draw"), steady("p_home")).alias("shown"))
 
 
 @query("s4_violations", """cp AS (SELECT * FROM contests), rw AS (SELECT match_id * 2 AS rid, match_id % 101 = 0 AS blank, CASE WHEN match_id % 101 <> 0 THEN match_id % 6 END AS k, is_played, match_id FROM cp)

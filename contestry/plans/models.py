@@ -116,9 +116,19 @@ def a7_f1(m):
 OVER = "ov AS (SELECT model, competition_id, avg(log_loss) AS log_loss_mean, median(log_loss) AS log_loss_median, coalesce(stddev_samp(log_loss), 0) AS log_loss_std, min(log_loss) AS log_loss_min, max(log_loss) AS log_loss_max FROM sc GROUP BY 1, 2)"
 
 
-@query("a12_over_folds", FOLD + "," + OVER + " SELECT model, competition_id, round(log_loss_mean, 6) AS log_loss_mean, round(log_loss_median, 6) AS log_loss_median, round(log_loss_std, 6) AS log_loss_std, round(log_loss_min, 6) AS log_loss_min, round(log_loss_max, 6) AS log_loss_max FROM ov")
+#: The metrics that are summed up over folds.
+OVER_FOLDS = ["log_loss", "accuracy", "brier", *[f"{k}_{c}" for k in ("precision", "recall", "f1") for c in ("away", "draw", "home", "macro")], "draw_argmax_share"]
+_STATS = {"mean": "avg({})", "median": "median({})", "std": "coalesce(stddev_samp({}), 0)", "min": "min({})", "max": "max({})"}
+BY_FOLD = PRF.replace("cf AS (SELECT model,", "cf AS (SELECT model, fold, competition_id,").replace("c(c) GROUP BY 1, 2)", "c(c) GROUP BY 1, 2, 3, 4)").replace("pf AS (SELECT model,", "pf AS (SELECT model, fold, competition_id,") + """,
+p1 AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM pf),
+p3 AS (SELECT model, fold, competition_id, """ + ", ".join(f"max({k}) FILTER (c = {c}) AS {n}_{name}" for k, n in (("p", "precision"), ("r", "recall"), ("f", "f1")) for c, name in ((0, "away"), (1, "draw"), (2, "home"))) + ", " + ", ".join(f"avg({k}) AS {n}_macro" for k, n in (("p", "precision"), ("r", "recall"), ("f", "f1"))) + """ FROM p1 GROUP BY 1, 2, 3),
+da AS (SELECT model, fold, competition_id, avg((pred = 1)::INT) AS draw_argmax_share FROM pc GROUP BY 1, 2, 3),
+sa AS (SELECT * FROM sc JOIN p3 USING (model, fold, competition_id) JOIN da USING (model, fold, competition_id))"""
+
+
+@query("a12_over_folds", FOLD + "," + BY_FOLD + " SELECT model, competition_id, " + ", ".join(f"round({f.format(c)}, 6) AS {c}_{n}" for c in OVER_FOLDS for n, f in _STATS.items()) + " FROM sa GROUP BY 1, 2")
 def a12(m):
-    return e.over_folds(scores(m), ["model", "competition_id"], ["log_loss"])
+    return e.over_folds(scores(m), ["model", "competition_id"], OVER_FOLDS)
 
 
 @query("t6_selected_model", FOLD + "," + OVER + " SELECT competition_id, arg_min(model, (log_loss_mean, log_loss_median, log_loss_std, model)) AS model FROM ov GROUP BY 1")

@@ -50,14 +50,18 @@ def a22(m):
     return training.split_summary(rows_of(m), "competition_id")
 
 
-@query("d13_training_problems", ROWS + " SELECT 'no ' || s || ' rows' AS \"check\", (count(*) FILTER (split = s) = 0)::BIGINT AS rows FROM (VALUES ('train'), ('valid'), ('test')) v(s) LEFT JOIN tw ON true GROUP BY s UNION ALL SELECT 'invalid result', count(*) FILTER (result_code NOT IN (0, 1, 2)) FROM tw UNION ALL SELECT 'missing elo', count(*) FILTER (home_elo IS NULL OR away_elo IS NULL) FROM tw", recursive=True)
+@query("d13_training_problems", ROWS + """, sp AS (SELECT * REPLACE (CASE WHEN match_id % 7 = 0 THEN 3 ELSE result_code END AS result_code, CASE WHEN match_id % 5 = 0 THEN NULL ELSE away_elo END AS away_elo) FROM tw WHERE split <> 'valid')
+SELECT 'no ' || s || ' rows' AS "check", (count(*) FILTER (split = s) = 0)::BIGINT AS rows FROM (VALUES ('train'), ('valid'), ('test')) v(s) LEFT JOIN sp ON true GROUP BY s UNION ALL SELECT 'invalid result', count(*) FILTER (result_code NOT IN (0, 1, 2)) FROM sp UNION ALL SELECT 'missing elo', count(*) FILTER (home_elo IS NULL OR away_elo IS NULL) FROM sp""", recursive=True)
 def d13(m):
-    return training.training_problems(rows_of(m))
+    """Of rows without a validation split, with spoiled results and ratings."""
+    at = lambda k: F.col("match_id") % k == 0
+    spoiled = rows_of(m).where("split <> 'valid'").withColumns({"result_code": F.when(at(7), 3).otherwise(F.col("result_code")), "away_elo": F.when(~at(5), F.col("away_elo"))})
+    return training.training_problems(spoiled)
 
 
-@query("s14_history", ROWS + " SELECT match_id, home_elo, away_elo, result_code FROM tw WHERE start_year < 1998", recursive=True)
+@query("s14_history", ROWS + " SELECT ft.*, tw.start_year, result_code, match_date::VARCHAR AS match_date FROM tw JOIN ft ON ft.match_id = tw.match_id WHERE tw.start_year < 1998", recursive=True)
 def s14(m):
-    return training.history_before(m, form.feature_table(m), 1998).select("match_id", "home_elo", "away_elo", "result_code")
+    return training.history_before(m, form.feature_table(m), 1998)
 
 
 @query("s13_upcoming_frame", FEATURE_SQL + " SELECT ft.*, 'Team ' || home_team_id AS home_team, 'Team ' || away_team_id AS away_team FROM ft JOIN contests USING (match_id) WHERE NOT is_played", recursive=True)
