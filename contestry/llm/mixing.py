@@ -127,14 +127,20 @@ def plan_mix(light: DataFrame, ceiling: int = CEILING, cells: int = CELLS, **sha
     # the last cell that begins within what is wanted: the cut lies in it, or is its predecessor's end
     at = sums.where(F.col("start") <= F.col("wanted")).groupBy("of").agg(F.max_by(F.struct("cell", "start", "wanted"), "cell").alias("at"))
     at = small(at.select(F.col("of").alias("s"), F.col("at.cell").alias("c"), "at.start", "at.wanted"))
-    edge = ranks.join(at, F.col("of").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
-    key = W.partitionBy("of").orderBy("rank", "bits", "size")
-    ahead = F.col("start") + F.coalesce(F.sum("size").over(key.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    edge = edge.withColumn("taken", ahead + F.col("size") / F.lit(2.0) <= F.col("wanted"))
-    cut = edge.where("taken").groupBy("of").agg(F.max(F.struct("rank", "bits", "size")).alias("cut"))
-    done = at.join(cut, F.col("s").eqNullSafe(F.col("of")), "left").select("s", "c", "cut")
+    # rows alike have one key: they are counted before they meet, and the cut may take some of them
+    edge = ranks.join(at, F.col("of").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c"))).groupBy("of", "rank", "bits", "size", "start", "wanted").agg(F.count("*").alias("n"))
+    before = W.partitionBy("of").orderBy("rank", "bits", "size").rowsBetween(W.unboundedPreceding, -1)
+    edge = edge.withColumn("ahead", F.col("start") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(before), F.lit(0)))
+    fits = lambda i: F.col("ahead") + i * F.col("size") + F.col("size") / F.lit(2.0) <= F.col("wanted")
+    most = F.when(F.col("size") == 0, F.col("n")).otherwise(F.least(F.col("n"), F.floor((F.col("wanted") - F.col("ahead")) / F.col("size") + 0.5).cast("long") + 1))
+    # the quotient may be off by one at a boundary: the last of them must itself fit
+    take = F.when(fits(F.col("most") - 1), F.col("most")).when(fits(F.col("most") - 2), F.col("most") - 1).otherwise(F.col("most") - 2)
+    edge = edge.withColumn("most", most).withColumn("take", F.when(fits(F.lit(0)), F.greatest(take, F.lit(1))).otherwise(0))
+    cut = edge.where(F.col("take") > 0).groupBy("of").agg(F.max(F.struct("rank", "bits", "size", "n", "take")).alias("last"))
+    cut = cut.select("of", F.struct("last.rank", "last.bits", "last.size").alias("cut"), F.when(F.col("last.take") < F.col("last.n"), F.col("last.take")).alias("some"))
+    done = at.join(cut, F.col("s").eqNullSafe(F.col("of")), "left").select("s", "c", "cut", "some")
     return wanted.join(done, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "target", "kappa", F.col("c").alias("cut_cell"), F.col("cut")
+        "source", "source_size", "target", "kappa", F.col("c").alias("cut_cell"), "cut", "some"
     )
 
 
@@ -146,42 +152,73 @@ def _ranked(light: DataFrame, rates: DataFrame, ceiling: int) -> DataFrame:
     return copies.withColumn("rank", pareto(F.col("bits"), F.col("copies") - F.col("sure"))).drop("copies", "k")
 
 
-def copies_taken(size: Column, level: Column, bits: Column, kappa: Column, cut_cell: Column, cut: Column, ceiling: int = CEILING, cells: int = CELLS) -> Column:
-    """How often the mix takes a document: its certain copies, and one more up to the cut of its source."""
+def copies_taken(size: Column, level: Column, bits: Column, kappa: Column, cut_cell: Column, cut: Column, some: Column, ceiling: int = CEILING, cells: int = CELLS) -> tuple[Column, Column]:
+    """How often the mix takes a document: its certain copies, and one more up to the cut of its source; and whether it lies at a cut
+    that takes only some of the rows alike, which are then dealt apart (see dealt)."""
     share = expected(kappa, level, ceiling)
     sure = F.floor(share)
     rank = pareto(bits, share - sure)
-    cell = cell_of(rank, cells)
-    drawn = rank.isNotNull() & ((cell < cut_cell) | ((cell == cut_cell) & cut.isNotNull() & (F.struct(rank.alias("rank"), bits.alias("bits"), size.alias("size")) <= cut)))
-    return sure + F.coalesce(drawn, F.lit(False)).cast("long")
+    cell, key = cell_of(rank, cells), F.struct(rank.alias("rank"), bits.alias("bits"), size.alias("size"))
+    at_cut = rank.isNotNull() & (cell == cut_cell) & cut.isNotNull()
+    tied = F.coalesce(at_cut & some.isNotNull() & (key == cut), F.lit(False))
+    drawn = rank.isNotNull() & ((cell < cut_cell) | (at_cut & (key <= cut))) & ~tied
+    return sure + F.coalesce(drawn, F.lit(False)).cast("long"), tied
+
+
+def dealt(rows: DataFrame, plan: DataFrame, own: list[str], copies: str, tied: str, some: str) -> DataFrame:
+    """rows, of which one copy more is taken of `some` of the tied ones.
+
+    Tied rows of a source are alike in doc_id, text and source. They are counted by their own columns and given back
+    as often as there were, numbered; which of them get the copy makes no difference where they are alike in all.
+    """
+    if not plan.where(F.col("some").isNotNull()).limit(1).count():
+        return rows
+    n, i, ahead = unused(rows, "n", "i", "ahead")
+    alike = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    kinds = dict(rows.dtypes)
+    once = rows.where(~F.col(tied))
+    if any("map" in kinds[c] or "variant" in kinds[c] for c in rows.columns):  # such columns can't be grouped by
+        numbered = rows.where(F.col(tied)).withColumn(i, F.row_number().over(W.partitionBy(*own).orderBy(F.monotonically_increasing_id())))
+    else:
+        many = rows.where(F.col(tied)).groupBy(alike.alias(i)).agg(F.count("*").alias(n)).select(f"{i}.*", n)
+        before = W.partitionBy(*own).orderBy(F.hash(*[F.col(f"`{c}`") for c in rows.columns]), *[F.col(f"`{c}`") for c in own]).rowsBetween(W.unboundedPreceding, -1)
+        many = many.withColumn(ahead, F.coalesce(F.sum(n).over(before), F.lit(0)))
+        numbered = many.withColumn(i, F.explode(F.sequence(F.col(ahead) + 1, F.col(ahead) + F.col(n)))).drop(n, ahead)
+    taken = numbered.withColumn(copies, F.col(copies) + (F.col(i) <= F.col(some)).cast("long")).drop(i)
+    return once.unionByName(taken)
 
 
 def mix(docs: DataFrame, names: tuple[str, ...] = ("size", "source_size", "target", "copies"), seed: str = SEED, **shares) -> DataFrame:
     """docs with four columns more: size in words, source_size, target (words) and copies (0, 1 or 2).
 
     docs needs doc_id, text and source; columns called like the new ones are replaced. Null texts are
-    empty (size 0); null sources are one source, the last; rows alike in doc_id, text and source are
-    drawn alike; an empty table gives no rows. The text itself is never shuffled: only light rows are.
+    empty (size 0); null sources are one source, the last; rows alike in doc_id, text and source draw
+    alike, and a cut that falls among them takes some of them; an empty table gives no rows. The text itself is
+    never shuffled, but for such rows: only light rows are.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in names}])
     size = count_words(F.col("text"))
     light = docs.select("source", size.alias("size"), draw(docs, seed).alias("bits")).withColumn("level", level_of(F.col("size")))
-    plan = small(plan_mix(written(light, "mix"), **shares))
-    s, k, bits, z, src, tgt, cell, cut = unused(docs, "s_", "k_", "bits_", "z_", "src_", "tgt_", "cell_", "cut_")
-    plan = plan.select(F.col("source").alias(s), F.col("kappa").alias(k), F.col("source_size").alias(src), F.col("target").alias(tgt), F.col("cut_cell").alias(cell), F.col("cut").alias(cut))
+    found = small(plan_mix(written(light, "mix"), **shares))
+    s, k, bits, z, src, tgt, cell, cut, some, copies, tied = unused(docs, "s_", "k_", "bits_", "z_", "src_", "tgt_", "cell_", "cut_", "some_", "copies_", "tied_")
+    plan = found.select(F.col("source").alias(s), F.col("kappa").alias(k), F.col("source_size").alias(src), F.col("target").alias(tgt), F.col("cut_cell").alias(cell), F.col("cut").alias(cut), F.col("some").alias(some))
     sized = docs.withColumns({z: size, bits: draw(docs, seed)})
     joined = sized.join(plan, F.col("source").eqNullSafe(F.col(s)))
-    copies = copies_taken(F.col(z), level_of(F.col(z)), F.col(bits), F.col(k), F.col(cell), F.col(cut))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(z).alias(names[0]), F.col(src).alias(names[1]), F.col(tgt).alias(names[2]), copies.alias(names[3]))
+    taken, at_cut = copies_taken(F.col(z), level_of(F.col(z)), F.col(bits), F.col(k), F.col(cell), F.col(cut), F.col(some))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = dealt(joined.select(*own, z, src, tgt, some, taken.alias(copies), at_cut.alias(tied)), found, ["source"], copies, tied, some)
+    return rows.select(*own, F.col(z).alias(names[0]), F.col(src).alias(names[1]), F.col(tgt).alias(names[2]), F.col(copies).alias(names[3]))
 
 
 def mix_words(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     light = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), draw(docs).alias("bits"))
     light = written(light.withColumn("level", level_of(F.col("size"))), "mix")
-    plan = small(plan_mix(light.drop("doc_id"))).withColumnRenamed("source", "s")
-    copies = copies_taken(F.col("size"), F.col("level"), F.col("bits"), F.col("kappa"), F.col("cut_cell"), F.col("cut"))
-    return light.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
+    plan = small(plan_mix(light.drop("doc_id")))
+    taken, tied = copies_taken(F.col("size"), F.col("level"), F.col("bits"), F.col("kappa"), F.col("cut_cell"), F.col("cut"), F.col("some"))
+    joined = light.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+    rows = dealt(joined.select("doc_id", "source", "size", "source_size", "target", "some", taken.alias("copies"), tied.alias("tied")), plan, ["source"], "copies", "tied", "some")
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:

@@ -74,6 +74,23 @@ def test_mix_meets_targets_and_limits(spark):
     assert abs(sum(s[2] for s in by.values()) - 1.5 * sum(s[1] for s in by.values())) < 1e-6
 
 
+@pytest.mark.parametrize("clash", [False, True])
+def test_a_cut_takes_some_of_the_rows_alike(spark, clash):
+    # a source of 1,000 copies of one row, beside others: their target is met to half a row
+    texts = ["ten words that are alike in all of these rows"] * 1000 + [prose(i, 20 + i) for i in range(60)]
+    docs = make(spark, texts, lambda i: "b" if i < 1000 else "a", ids=[7] * 1000 + list(range(1000, 1060)))
+    words = mixing.mix_words(docs.repartition(5))
+    found = [(r.size, r.target, r.taken) for r in words.where("doc_id = 7").collect()]
+    assert len(found) == 1000 and abs(sum(x[2] for x in found) - found[0][1]) <= 5 and len({x[2] for x in found}) == 2
+    counts = lambda rows: Counter((r.doc_id, r.size, r.taken) for r in rows)
+    assert counts(mixing.mix_words(docs.repartition(3)).collect()) == counts(words.collect())
+    if clash:
+        docs = docs.withColumns({"n": F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(3)), "some": F.lit("x"), "m": F.create_map(F.lit("k"), F.lit(1))})
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, "size", "source_size", "target", "copies"] and mixed.count() == 1060
+    assert mixed.where("doc_id = 7").agg(F.sum(F.col("size") * F.col("copies"))).first()[0] == sum(x[2] for x in found)
+
+
 def test_targets_share_the_excess_by_weight(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 100)], "source string, source_size long")
     found = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
