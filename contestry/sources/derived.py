@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from contestry.functions.scalars import argmax_class
 from contestry.operators.evaluate import TRIPLE
+from contestry.sources.store import again, stored
 
 #: run, algorithm, trained on what was played before, first and last day it predicts, when, artifact.
 RUNS = [
@@ -44,12 +45,25 @@ def run_id(competition, run):
 
 
 def predictions(m: DataFrame) -> DataFrame:
-    """match_id, competition_id, run, model_run_id, algorithm, created_at, p_away, p_draw, p_home, predicted_class."""
-    runs = F.broadcast(run_table(m.sparkSession))  # a fixed list
-    played = m.where("is_played").join(runs, F.col("match_date") < F.col("before"))
-    shares = played.groupBy("run", "competition_id").agg(*[F.avg((F.col("result_code") == c).cast("double")).alias(p) for c, p in enumerate(TRIPLE)])
-    rows = m.select("match_id", "competition_id", "match_date").join(runs, F.col("match_date").between(F.col("first_day"), F.col("last_day"))).join(shares, ["run", "competition_id"])
-    out = rows.select("match_id", "competition_id", "run", run_id(F.col("competition_id"), F.col("run")), "algorithm", F.col("trained_at").alias("created_at"), *TRIPLE)
+    """match_id, competition_id, run, model_run_id, algorithm, created_at, p_away, p_draw, p_home, predicted_class.
+
+    Of a stored view they are written once, however often a query asks for them.
+    """
+    if not hasattr(m, "stored_in"):
+        return _predicted(m)
+    if not hasattr(m, "predicted"):
+        m.predicted = stored(_predicted(m), "predictions")
+    return again(m.predicted)
+
+
+def _predicted(m: DataFrame) -> DataFrame:
+    # the runs are a fixed list: a row takes those that concern it, without a join
+    runs = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(a).alias("algorithm"), *[F.lit(x).cast("date").alias(n) for n, x in (("before", b), ("first_day", f), ("last_day", t))], F.lit(at).cast("timestamp").alias("created_at")) for r, a, b, f, t, at, _ in RUNS])
+    concerned = lambda kept: F.explode(F.filter(runs, kept)).alias("r")
+    played = m.where("is_played").select("competition_id", "result_code", concerned(lambda r: F.col("match_date") < r["before"]))
+    shares = played.groupBy(F.col("r.run").alias("run"), "competition_id").agg(*[F.avg((F.col("result_code") == c).cast("double")).alias(p) for c, p in enumerate(TRIPLE)])
+    rows = m.select("match_id", "competition_id", concerned(lambda r: F.col("match_date").between(r["first_day"], r["last_day"]))).select("match_id", "competition_id", "r.run", "r.algorithm", "r.created_at")
+    out = rows.join(shares, ["run", "competition_id"]).select("match_id", "competition_id", "run", run_id(F.col("competition_id"), F.col("run")), "algorithm", "created_at", *TRIPLE)
     return out.withColumn("predicted_class", argmax_class(*map(F.col, TRIPLE)))
 
 
