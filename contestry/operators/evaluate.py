@@ -38,6 +38,18 @@ def normalised(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.withColumns({p: F.when(every > 0, F.coalesce(F.col(p), F.lit(0.0)) / every).otherwise(1 / 3) for p in TRIPLE})
 
 
+def out_of_sample(made: DataFrame, computed: DataFrame, keys: list[str]) -> DataFrame:
+    """computed (keys, match_id, source, result_code and a triple) with the stored prediction of a contest in place of the computed one, where there is one.
+
+    made: match_id, created_at, run and a triple; of several the newest counts. What was predicted beforehand is the
+    stronger evidence; computed ones stand in where nothing was stored.
+    """
+    newest = made.groupBy("match_id").agg(F.max_by(F.struct(*TRIPLE), F.struct("created_at", "run")).alias("made"))
+    out = computed.join(newest, "match_id", "left")
+    source = F.when(F.col("made").isNotNull(), "stored").otherwise(F.col("source")).alias("source")
+    return out.select(*keys, "match_id", source, "result_code", *[F.coalesce(f"made.{p}", p).alias(p) for p in TRIPLE])
+
+
 def of_class(code: Column) -> Column:
     return F.when(code == 0, F.col("p_away")).when(code == 1, F.col("p_draw")).otherwise(F.col("p_home"))
 

@@ -10,6 +10,7 @@ from contestry.operators import fits, form, learn
 from contestry.plans.features import rounded
 from contestry.plans.forecasts import SIM
 from contestry.plans.models import CLASS, COLUMNS, FOLD, KEYS, PRF, fold_predictions
+from contestry.sources import derived as d
 from contestry.sources.contests import stored_contests, with_contests
 from contestry.sources.store import stored
 
@@ -156,6 +157,30 @@ def m16(m):
     return fold_predictions(m, [*YEARS, HOLDOUT]).where("model = 'dixon_coles'").select("match_id", "competition_id", source, "result_code", *e.TRIPLE)
 
 
+def with_source(predictions: DataFrame) -> DataFrame:
+    return predictions.withColumn("source", F.when(F.col("fold") < HOLDOUT, "walk_forward").otherwise("test"))
+
+
+@query("m16_stored_first", FOLD4 + "," + d.PREDICTED + """, st AS (SELECT match_id, p_away, p_draw, p_home FROM pd QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY created_at DESC, run DESC) = 1)
+SELECT pr.competition_id, pr.match_id, CASE WHEN st.match_id IS NOT NULL THEN 'stored' WHEN fold < 1999 THEN 'walk_forward' ELSE 'test' END AS source, result_code, round(coalesce(st.p_away, pr.p_away), 6) AS p_away, round(coalesce(st.p_draw, pr.p_draw), 6) AS p_draw, round(coalesce(st.p_home, pr.p_home), 6) AS p_home
+FROM pr LEFT JOIN st USING (match_id) WHERE model = 'dixon_coles'""")
+def m16_stored_first(m):
+    """Out-of-sample predictions of every validated contest: the stored one where there is one, else Dixon-Coles of its fold."""
+    computed = with_source(fold_predictions(m, [*YEARS, HOLDOUT]).where("model = 'dixon_coles'"))
+    return e.out_of_sample(d.predictions(m), computed, ["competition_id"])
+
+
+QUERIES["m16_calibration"] = lambda spark, sf_dir: rounded(calibration(spark, sf_dir))
+
+
+def calibration(spark, sf_dir: str) -> DataFrame:
+    """Of every model's out-of-sample predictions, stored ones first: how each class is met, by model and source; no SQL can fit the models."""
+    made = d.predictions(stored_contests(spark, sf_dir))
+    rows = e.out_of_sample(made, with_source(model_predictions(spark, sf_dir)), ["model", "competition_id"])
+    found = e.class_summary(rows, ["model", "source"])
+    return found.withColumn("verdict", e.verdict(F.col("difference")))
+
+
 @query("a13_flat_metrics", FOLD + "," + PRF.replace("GROUP BY 1, 2), pf", "GROUP BY 1, 2), pf") + ", ".join(["", "fl AS (SELECT model, c, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM pf) SELECT model"]) + ", " + ", ".join(f"round(max({k}) FILTER (c = {c}), 6) AS {n}_{name}" for k, n in (("p", "precision"), ("r", "recall"), ("f", "f1")) for c, name in ((0, "away"), (1, "draw"), (2, "home"))) + " FROM fl GROUP BY 1")
 def a13(m):
     return e.metrics(fold_predictions(m), ["model"]).select("model", *[f"{k}_{c}" for k in ("precision", "recall", "f1") for c in ("away", "draw", "home")])

@@ -24,9 +24,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again: what follows scans the result, however often, instead of its plan."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    until_exit(df.sparkSession, path)
     return _opened(df.sparkSession, df.schema, path)
 
 
+def until_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver remove a folder, which must exist, when it ends: scratch tables don't outlive their application."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(at)
+
+
 def _opened(spark: SparkSession, schema, path: str) -> DataFrame:
     out = spark.read.schema(schema).parquet(path)
     out.stored_in = path

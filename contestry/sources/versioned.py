@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contestry.operators.curation import upsert
-from contestry.sources.store import shared_dir
+from contestry.sources.store import shared_dir, until_exit
 
 #: Columns that writers add: the folder of a write, and what it did to a row.
 WRITE, CHANGE = "write", "change"
@@ -239,5 +239,8 @@ class Table:
 
 
 def fresh_table(spark: SparkSession, name: str, keys: list[str], partition: list[str]) -> Table:
-    """An empty table in the shared folder."""
-    return Table(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", keys, partition)
+    """An empty table in the shared folder that goes with the application."""
+    table = Table(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", keys, partition)
+    table._files.mkdirs(table._path(""))
+    until_exit(spark, table.path)
+    return table
