@@ -477,6 +477,31 @@ def test_reruns_agree_over_any_partitions(spark):
     assert sum(same.values()) == 100 and max(same.values()) < 40
 
 
+def test_shards_are_those_of_a_plain_run(spark):
+    """Buckets, their order, the permutation of its numbers and the ranges of the shards, one record at a time; Spark only hashes."""
+    docs = make(spark, [prose(i, 5 + i % 40) for i in range(300)] + [None, "", "same", "same"], ids=[*range(300), None, 7, 8, 8])
+    shards, seed = 7, sharding.SEED
+    volume = sum(len((r.text or "").encode()) + 16 for r in docs.collect())
+    buckets = max(sharding.LEAST_BUCKETS, -(-volume // 500))
+    hashed = docs.withColumn("copy", F.lit(0))
+    draws = [sharding.record_hash(docs, seed + k, "copy").alias(n) for k, n in enumerate("hab")]
+    by_bucket = {}
+    for r in hashed.select("doc_id", "text", *draws).collect():
+        by_bucket.setdefault(r.h % buckets, []).append(r)
+    numbers = spark.createDataFrame([(b, at) for b, rows in by_bucket.items() for at in range(1, len(rows) + 1)], "bucket long, at int")
+    drawn = {(r.bucket, r["at"]): r.draw for r in numbers.withColumn("draw", F.xxhash64(F.lit(seed + 3), "bucket", "at")).collect()}
+    order = []
+    for b in sorted(by_bucket):
+        rows = sorted(by_bucket[b], key=lambda r: (r.a, r.b))
+        order += [rows[at - 1] for at in sorted(range(1, len(rows) + 1), key=lambda at: drawn[b, at])]
+    wanted, first = Counter(), {}
+    for place, r in enumerate(order):
+        shard = place * shards // len(order)
+        wanted[r.doc_id, r.text, shard, place - first.setdefault(shard, place)] += 1
+    found = sharding.assign_shards(docs.repartition(3), shards=shards, bucket_bytes=500).collect()
+    assert Counter((r.doc_id, r.text, r.shard, r.slot) for r in found) == wanted
+
+
 def test_rows_that_cannot_be_compared_are_sharded_too(spark):
     docs = make(spark, [f"text {i % 5}" for i in range(100)]).withColumns({"m": F.create_map(F.lit("a"), F.col("doc_id")), "draw": F.lit(1), "copy": F.lit("c")})
     out = sharding.assign_shards(docs, shards=4)
