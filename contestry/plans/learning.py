@@ -46,7 +46,7 @@ def x2_streaming_elo(spark, sf_dir):
     for rows in (shown.where(first), shown.where(~first), closing):
         rows.repartition(3).write.mode("append").parquet(f"{path}/in")
         stream = spark.readStream.schema(shown.schema).parquet(f"{path}/in")
-        start_elo(stream, f"{path}/out", f"{path}/state", wait=400).awaitTermination()
+        start_elo(stream, f"{path}/out", f"{path}/state", wait=400, partitions=4).awaitTermination()
     return rounded(corrected(spark.read.parquet(f"{path}/out"), m).drop("competition_id"))
 
 

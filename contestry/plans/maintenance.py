@@ -108,6 +108,6 @@ def d17(m):
     table = fresh_table(m.sparkSession, "runs", ["competition_id", *registry.RUN_KEYS], ["competition_id"])
     first = runs.where("fold = 1997").withColumn("model_run_id", (F.col("fold") * 10 + F.col("competition_id")).cast("long"))
     table.replace(first)
-    later = runs.where(F.col("competition_id").isNotNull()).withColumn("model_run_id", (F.col("fold") * 10 + F.col("competition_id") + F.when(F.col("fold") == 1997, 5000).otherwise(0)).cast("long"))
+    later = runs.withColumn("model_run_id", (F.col("fold") * 10 + F.col("competition_id") + F.when(F.col("fold") == 1997, 5000).otherwise(0)).cast("long"))
     table.upsert(later, frozen=F.lit(True))
     return table.read(changes=True).select("fold", "competition_id", "fingerprint", "model_run_id", "change")

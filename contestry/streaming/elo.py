@@ -103,16 +103,23 @@ def streaming_elo(stream: DataFrame, wait: int = WAIT, timers: bool = True) -> D
     return stream.select("competition_id", *FIELDS).groupBy("competition_id").transformWithStateInPandas(Ratings(wait, timers), OUT, "Append", "ProcessingTime" if timers else "None")
 
 
-def start_elo(stream: DataFrame, out: str, checkpoint: str, wait: int = WAIT) -> StreamingQuery:
-    """The stream's ratings as Parquet under out; its state needs the RocksDB store, for which the session is set while the query starts."""
+def start_elo(stream: DataFrame, out: str, checkpoint: str, wait: int = WAIT, partitions: int | None = None) -> StreamingQuery:
+    """The stream's ratings as Parquet under out.
+
+    Its state needs the RocksDB store, for which the session is set while the query starts; partitions, of the state,
+    are the session's where not given, and stay what they were when the checkpoint was made.
+    """
     spark = stream.sparkSession
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKS)
+    wanted = {STATE_STORE: ROCKS, **({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         writer = streaming_elo(stream, wait, timers=False).writeStream.format("parquet").option("path", out)
         return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
-        spark.conf.set(STATE_STORE, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def corrected(rated: DataFrame, matches: DataFrame) -> DataFrame:
