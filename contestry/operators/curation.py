@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from contestry.functions import scalars as s
 from contestry.sources.contests import season_start, with_result
+from contestry.sources.store import large
 
 #: The columns a result file must have.
 REQUIRED = ["Div", "Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG", "FTR"]
@@ -113,7 +114,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], frozen: Column | Non
     values = [c for c in old.columns if c not in keys]
     o = old.select(*keys, F.struct(*values).alias("o"), F.lit(True).alias("in_old"))
     n = new.select(*keys, F.struct(*[F.col(c) for c in values]).alias("n"), F.lit(True).alias("in_new"))
-    both = o.join(n, keys, "full_outer")
+    both = o.join(large(n), keys, "full_outer")
     held = F.coalesce(frozen if frozen is not None else F.lit(False), F.lit(False))
     change = F.when(F.col("in_old").isNull(), "inserted").when(F.col("in_new").isNull(), "unchanged").when(held, "kept").otherwise("updated")
     both = both.withColumn("change", change)

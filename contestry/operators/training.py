@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contestry.operators.curation import problems
 from contestry.operators.tables import CLASSES, splits
+from contestry.sources.store import large
 
 LEAST_PRIOR = 1
 
@@ -22,7 +23,7 @@ def training_rows(matches: DataFrame, features: DataFrame, train_end: str, valid
     if least_prior < 1:
         raise ValueError("opening contests have no form: at least one earlier contest is needed")
     labels = matches.select("match_id", "match_date", "start_year", "competition_id", "is_played", "result", "result_code")
-    rows = labels.join(features, "match_id").where(eligible(least_prior, test_end)).drop("is_played")
+    rows = labels.join(large(features), "match_id").where(eligible(least_prior, test_end)).drop("is_played")
     return rows.withColumn("split", splits(train_end, valid_end, test_end))
 
 
@@ -64,5 +65,5 @@ def fold_problems(folds: DataFrame, holdout: DataFrame) -> DataFrame:
 
 def history_before(matches: DataFrame, features: DataFrame, season: int, least_prior: int = LEAST_PRIOR) -> DataFrame:
     """Features of eligible contests of the seasons before one."""
-    rows = matches.select("match_id", "start_year", "match_date", "is_played", "result_code").where(F.col("start_year") < season).join(features, "match_id")
+    rows = matches.select("match_id", "start_year", "match_date", "is_played", "result_code").where(F.col("start_year") < season).join(large(features), "match_id")
     return rows.where(eligible(least_prior)).drop("is_played")

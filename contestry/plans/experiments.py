@@ -12,7 +12,7 @@ from contestry.plans.forecasts import SIM
 from contestry.plans.models import CLASS, COLUMNS, FOLD, KEYS, PRF, fold_predictions
 from contestry.sources import derived as d
 from contestry.sources.contests import stored_contests, with_contests
-from contestry.sources.store import stored
+from contestry.sources.store import large, stored
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -49,7 +49,7 @@ _MADE: dict[tuple[str, str], DataFrame] = {}
 
 def fold_rows(m: DataFrame) -> DataFrame:
     """The rows of every fold, the holdout season among them, with their features."""
-    return e.folds(m, [*YEARS, HOLDOUT]).select("match_id", *KEYS, "role", "result_code").join(form.feature_table(m), "match_id")
+    return e.folds(m, [*YEARS, HOLDOUT]).select("match_id", *KEYS, "role", "result_code").join(large(form.feature_table(m)), "match_id")
 
 
 def model_predictions(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from contestry.operators.form import feature_table
 from contestry.operators.learn import fit_predict
 from contestry.plans.features import ELO, rounded
 from contestry.sources.contests import stored_contests, with_contests
-from contestry.sources.store import shared_dir, stored
+from contestry.sources.store import large, shared_dir, stored
 from contestry.streaming.elo import FIELDS, corrected, start_elo
 
 QUERIES: dict = {}
@@ -22,7 +22,7 @@ def _model_query(name: str):
     def run(spark, sf_dir):
         """Fitted on played contests of seasons before 1998, scored on season 1998."""
         m = stored_contests(spark, sf_dir)
-        rows = stored(feature_table(m).join(m.where("is_played").select("match_id", "start_year", "result_code"), "match_id"), "rows")
+        rows = stored(feature_table(m).join(large(m.where("is_played").select("match_id", "start_year", "result_code")), "match_id"), "rows")
         train, valid = rows.where("start_year < 1998").drop("start_year"), rows.where("start_year = 1998").drop("start_year")
         scored = fit_predict(name, train, valid).withColumn("model", F.lit(name))
         return rounded(e.metrics(scored, ["model"]).select("model", "n", "accuracy", "log_loss", "brier", "f1_macro"))

@@ -9,7 +9,7 @@ from contestry.plans.features import FEATURE_SQL, rounded
 from contestry.plans.trainings import RUN, _runs
 from contestry.sources import derived as d
 from contestry.sources.contests import stored_contests, with_contests
-from contestry.sources.store import stored
+from contestry.sources.store import large, stored
 from contestry.sources.versioned import fresh_table
 
 QUERIES: dict = {}
@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None, recursive: bool = False):
 
 
 def keyed_features(m):
-    return form.feature_table(m).join(m.select("match_id", "competition_id"), "match_id")
+    return form.feature_table(m).join(large(m.select("match_id", "competition_id")), "match_id")
 
 
 @query("s15_feature_upsert", FEATURE_SQL + """ SELECT ft.* REPLACE (CASE WHEN competition_id % 2 = 1 THEN 'v1' ELSE 'v0' END AS feature_version), competition_id, CASE WHEN competition_id % 2 = 1 AND match_id % 2 = 0 THEN 'updated' ELSE 'inserted' END AS change

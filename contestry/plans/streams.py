@@ -11,7 +11,7 @@ from contestry.plans.features import rounded
 from contestry.sources import derived as d
 from contestry.sources.contests import stored_contests, with_contests
 from contestry.sources.raw import raw_rows
-from contestry.sources.store import shared_dir
+from contestry.sources.store import large, shared_dir
 from contestry.streaming import curation
 
 QUERIES: dict = {}
@@ -41,7 +41,7 @@ def predicted(m):
     """PAIRING and the number of stored predictions of each contest."""
     name = lambda c: F.concat(F.lit("Team "), F.col(c).cast("string"))
     counts = d.predictions(m).groupBy("match_id").agg(F.count("*").alias("predictions"))
-    rows = m.join(counts, "match_id").select(F.concat(F.lit("C"), F.col("competition_id").cast("string")).alias("competition"), "start_year", name("home_team_id").alias("home_team"), name("away_team_id").alias("away_team"), "predictions")
+    rows = m.join(large(counts), "match_id").select(F.concat(F.lit("C"), F.col("competition_id").cast("string")).alias("competition"), "start_year", name("home_team_id").alias("home_team"), name("away_team_id").alias("away_team"), "predictions")
     return rows.groupBy(*PAIRING).agg(F.sum("predictions").alias("predictions"))
 
 

@@ -9,7 +9,7 @@ from contestry.operators import form, learn, training
 from contestry.operators.evaluate import TRIPLE
 from contestry.plans.features import FEATURE_SQL, rounded
 from contestry.sources.contests import stored_contests, with_contests
-from contestry.sources.store import stored
+from contestry.sources.store import large, stored
 from contestry.sources.versioned import fresh_table
 
 QUERIES: dict = {}
@@ -34,7 +34,7 @@ def run_id(competition: str = "competition_id"):
 
 def scored_upcoming(m, features, models, algorithm: str):
     """match_id, competition_id, model_run_id, triple and class of every unplayed contest, by its competition's stored model."""
-    rows = m.where("not is_played").select("match_id", *KEY).join(features, "match_id")
+    rows = m.where("not is_played").select("match_id", *KEY).join(large(features), "match_id")
     p = learn.score(rows, models, KEY, algorithm)
     return p.select("match_id", *KEY, run_id(), *TRIPLE, argmax_class(*map(F.col, TRIPLE)).alias("predicted_class"), F.lit(False).alias("is_played"))
 
@@ -92,7 +92,7 @@ def m18_fixed(m):
 def m18(m):
     """Each competition's model is trained on its seasons so far, stored by version, and predicts what is to come."""
     features = stored(form.feature_table(m), "features")
-    rows = m.select("match_id", *KEY, "match_date", "is_played", "result_code").join(features, "match_id").where(training.eligible(test_end=TRAIN_END))
+    rows = m.select("match_id", *KEY, "match_date", "is_played", "result_code").join(large(features), "match_id").where(training.eligible(test_end=TRAIN_END))
     models = fresh_table(m.sparkSession, "models", KEY, KEY)
     models.replace(learn.trained(rows, KEY, "logistic_regression"))
     table = stored_earlier(m)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from contestry.operators.curation import PAIRING, stale, transform, valid_rows, without_blank_rows
+from contestry.sources.store import large
 from contestry.sources.versioned import CHANGE, Table
 
 SEASON = ["competition", "start_year"]
@@ -42,7 +43,7 @@ def combined(old: DataFrame, new: DataFrame) -> DataFrame:
     """The states of old with those of new put in, by pairing; change tells inserted, updated (the new one counted) and unchanged."""
     parts = [*NEWEST, *FIRST]
     o = old.select(*PAIRING, F.struct(*parts).alias("o"))
-    both = o.join(new.select(*PAIRING, F.struct(*parts).alias("n")), PAIRING, "full_outer")
+    both = o.join(large(new.select(*PAIRING, F.struct(*parts).alias("n"))), PAIRING, "full_outer")
     pick = lambda f, c: f(F.col(f"o.{c}"), F.col(f"n.{c}")).alias(c)  # noqa: E731  nulls don't count
     out = both.select(*PAIRING, *[pick(F.greatest, c) for c in NEWEST], *[pick(F.least, c) for c in FIRST], "o")
     change = F.when(F.col("o").isNull(), "inserted").when(F.struct(*parts).eqNullSafe(F.col("o")), "unchanged").otherwise("updated")
@@ -78,7 +79,7 @@ def stale_rows(table: Table, predicted: DataFrame) -> DataFrame:
     """
     now = contests_of(table.read())
     newest = now.groupBy(*SEASON).agg(F.max("feed").alias("newest"))
-    known = now.join(newest, SEASON).join(predicted.select(*PAIRING, "predictions"), PAIRING, "left").fillna({"predictions": 0})
+    known = now.join(newest, SEASON).join(large(predicted.select(*PAIRING, "predictions")), PAIRING, "left").fillna({"predictions": 0})
     # a day that crosses into another season leaves its contest in both, under one id: rows are told apart by their pairing
     whole = known.withColumn("match_id", F.struct(*PAIRING, "match_id"))
     return stale(whole, known.where("feed = newest")).select("match_id.*", "reasons", "fate")
