@@ -17,6 +17,9 @@ from contestry.streaming import curation
 QUERIES: dict = {}
 ORACLE: dict = {}
 
+#: A file's contests, about: a file is one row group and is read by one task, so that files grow in number, not in size.
+FILE_CONTESTS = 50_000
+
 
 def query(name: str, sql: str | None = None):
     def add(f):
@@ -46,13 +49,14 @@ def predicted(m):
 
 
 def curated_table(m):
-    """The table after both feeds have streamed in, each in several files and micro-batches."""
+    """The table after both feeds have streamed in, each in several files and two micro-batches, however many files those have."""
     path = f"{shared_dir(m.sparkSession)}/curation-{uuid.uuid4().hex}"
     first, second = feeds(m)
     table = curation.contest_table(m.sparkSession, f"{path}/contests")
+    files = max(1, -(-m.count() // (2 * FILE_CONTESTS)))  # of a micro-batch
     for rows in (first, second):
-        rows.repartition(2, "rid").write.mode("append").parquet(f"{path}/in")
-        stream = m.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        rows.repartition(2 * files, "rid").write.mode("append").parquet(f"{path}/in")
+        stream = m.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
         curation.curate_stream(stream, table, f"{path}/state").awaitTermination()
     return table
 

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from contestry.operators import curation as c
+from contestry.plans import streams
+from contestry.sources.contests import stored_contests
 from contestry.sources.raw import FIELDS
 from contestry.streaming import curation
 
@@ -69,3 +71,14 @@ def test_a_stream_of_late_and_repeated_feeds(spark, made):
     after = table.version()
     assert after.parts["competition=L2/start_year=2020"] == before.parts["competition=L2/start_year=2020"]
     assert ("C", "A") not in {(r.home_team, r.away_team) for r in table.read().collect()}
+
+
+def test_files_of_a_micro_batch_grow_in_number(spark, monkeypatch):
+    m = stored_contests(spark, "/root/testdata/sf0.001")
+    few = streams.curated_table(m)
+    monkeypatch.setattr(streams, "FILE_CONTESTS", m.count() // 8)
+    many = streams.curated_table(m)
+    files = lambda table: len([n for n in table._names("../in") if n.endswith(".parquet")])
+    assert files(few) == 4 and files(many) >= 16
+    assert many.version().number == few.version().number == 4
+    assert shown(many.read()) == shown(few.read())
