@@ -3,10 +3,11 @@
 import random
 import tempfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from contestry.operators import form
-from contestry.streaming.elo import CONTEST, FIELDS, corrected, start_elo
+from contestry.streaming.elo import BUCKETS, CONTEST, FIELDS, Ratings, corrected, start_elo
 
 SCHEMA = f"competition_id long, {CONTEST}"
 
@@ -56,3 +57,65 @@ def test_contests_wait_for_their_day(spark):
     assert 0 < rated.count() < 60
     waiting = {r[3] for r in rows} - {r.match_id for r in rated.collect()}
     assert all(rows[i][1] >= newest[rows[i][0]][:8] + "00" or rows[i][1] > "2020-09" for i in waiting)
+
+
+class Store:
+    """State of one key in memory that counts the values it is asked for and given."""
+
+    def __init__(self):
+        self.kept, self.trips = {}, 0
+
+    def getMapState(self, name, key, value):  # noqa: N802
+        return self
+
+    def getListState(self, name, schema):  # noqa: N802
+        return Values(self)
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return Values(self)
+
+    def containsKey(self, key):  # noqa: N802
+        self.trips += 1
+        return key in self.kept
+
+    def getValue(self, key):  # noqa: N802
+        self.trips += 1
+        return self.kept[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.trips += 1
+        self.kept[key] = value
+
+
+class Values:
+    def __init__(self, store):
+        self.store, self.kept = store, ()
+
+    def get(self):
+        return iter(self.kept) if isinstance(self.kept, list) else self.kept
+
+    def put(self, values):
+        self.kept, self.store.trips = values, self.store.trips + len(values)
+
+    def update(self, values):
+        self.kept = values
+
+    def clear(self):
+        self.kept = ()
+
+
+def test_trips_to_the_state_grow_with_buckets_and_blocks(spark):
+    n, clubs = 6000, 2000
+    r = random.Random(2)
+    rows = [(f"2020-{1 + i % 12:02d}-{1 + i % 28:02d}", "12:00:00", i, *r.sample(range(clubs), 2), True, r.randrange(4), r.randrange(4)) for i in range(n)]
+    frame = pd.DataFrame(rows, columns=FIELDS)
+    store, ratings = Store(), Ratings(100)
+    ratings.init(store)
+    closing = pd.DataFrame([[None] * len(FIELDS)], columns=FIELDS)
+    found = pd.concat([out for part in (frame[::2], frame[1::2], closing) for out in ratings.handleInputRows((1,), iter([part]), None)])
+    assert store.trips < 3 * 5 * BUCKETS + n / 100  # a batch reads its late and its due buckets, after asking for each, and writes those
+    late = set(found[found["late"]]["match_id"])
+    taken = sorted(x for x in rows if x[2] not in late)
+    wanted = dict(zip([x[2] for x in taken], form.rate(((x[3], x[4], x[6], x[7]) for x in taken), {})))
+    got = {m: (h, a) for m, h, a in found[~found["late"].astype(bool)][["match_id", "home_elo", "away_elo"]].itertuples(index=False)}
+    assert got == wanted
