@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -31,8 +33,17 @@ def fill_head_to_head(df: DataFrame) -> DataFrame:
 
 
 def impute(train: DataFrame, *frames: DataFrame) -> list[DataFrame]:
-    """Missing features take the training rows' exact median; a feature without values takes 0."""
-    medians = train.agg(*[F.coalesce(F.median(c), F.lit(0.0)).alias(c) for c in FEATURES]).first().asDict()
+    """Missing features take the training rows' exact median; a feature without values takes 0.
+
+    An exact median gathers a feature's distinct values, which for ratings are as many as rows: it is taken only of features
+    that some frame lacks somewhere.
+    """
+    every = reduce(DataFrame.unionByName, [f.select(*FEATURES) for f in frames])
+    lacking = every.agg(*[F.bool_or(F.col(c).isNull() | F.isnan(c)).alias(c) for c in FEATURES]).first()
+    wanted = [c for c in FEATURES if lacking[c]]
+    if not wanted:
+        return list(frames)
+    medians = train.agg(*[F.coalesce(F.median(c), F.lit(0.0)).alias(c) for c in wanted]).first().asDict()
     return [f.fillna(medians) for f in frames]
 
 
@@ -69,13 +80,21 @@ def fit_predict(name: str, train: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _boosted(train: DataFrame, rows: DataFrame) -> DataFrame:
-    """One-against-rest boosted trees: 50 rounds of depth 2 for each class."""
-    out = rows
-    for code, t in enumerate(TRIPLE):
+    """One-against-rest boosted trees: 50 rounds of depth 2 for each class.
+
+    The classes are fitted side by side: a round's jobs are short and follow from each other, and those of one class run
+    where another's leave cores idle.
+    """
+    def fit(code: int):
         own = train.withColumn("is_class", (F.col("result_code") == code).cast("double"))
         gbt = GBTClassifier(maxIter=50, maxDepth=2, stepSize=0.1, seed=42, featuresCol="x", labelCol="is_class", weightCol="weight")
-        scored = Pipeline(stages=[*_inputs(False), gbt]).fit(own).transform(out)
-        out = scored.withColumn(t, F.get(vector_to_array("probability"), F.lit(1))).drop("x", "rawPrediction", "probability", "prediction")
+        return Pipeline(stages=[*_inputs(False), gbt]).fit(own)
+
+    with ThreadPool(len(TRIPLE)) as pool:
+        models = pool.map(inheritable_thread_target(train.sparkSession)(fit), range(len(TRIPLE)))
+    out = rows
+    for model, t in zip(models, TRIPLE):
+        out = model.transform(out).withColumn(t, F.get(vector_to_array("probability"), F.lit(1))).drop("x", "rawPrediction", "probability", "prediction")
     return normalised(out)
 
 

@@ -1,5 +1,7 @@
 """Models of many groups beside fits of one group at a time."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -195,3 +197,42 @@ def test_stored_models_score_like_fresh_ones(spark, algorithm, monkeypatch):
     columns = ["league", "match_id", "p_away", "p_draw", "p_home"]
     shown = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.select(*columns).collect())
     assert shown(found) == shown(fresh) and found.count() == 60
+
+
+def pooled(spark):
+    from contestry.operators import learn
+
+    r = np.random.default_rng(11)
+    rows = [(i, i % 3, *(float(x) for x in r.normal(size=len(learn.FEATURES)).round(2) + i % 3)) for i in range(90)]
+    return spark.createDataFrame(rows, "match_id long, result_code int, " + ", ".join(f"{f} double" for f in learn.FEATURES))
+
+
+def test_boosted_classes_are_fitted_side_by_side(spark, monkeypatch):
+    from contestry.operators import learn
+
+    made, met = learn.GBTClassifier, threading.Barrier(3)
+
+    def gbt(**given):
+        met.wait(20)  # all three classes are under way
+        return made(**{**given, "maxIter": 2})
+
+    monkeypatch.setattr(learn, "GBTClassifier", gbt)
+    rows = pooled(spark)
+    found = learn.fit_predict("boosted", rows, rows).collect()
+    assert len(found) == 90 and all(abs(r.p_away + r.p_draw + r.p_home - 1) < 1e-9 for r in found)
+    assert sum(max(range(3), key=lambda c: (r.p_away, r.p_draw, r.p_home)[c]) == r.result_code for r in found) > 60
+
+
+def test_medians_only_of_features_that_lack_values(spark, monkeypatch):
+    from contestry.operators import learn
+
+    rows, asked, median = pooled(spark), [], learn.F.median
+    a, b, c = learn.FEATURES[:3]
+    other = rows.withColumn(a, F.when(F.col("match_id") > 3, F.col(a))).withColumn(b, F.when(F.col("match_id") == 5, F.lit(float("nan"))).otherwise(F.col(b)))
+    monkeypatch.setattr(learn.F, "median", lambda c: asked.append(c) or median(c))
+    filled, same = learn.impute(rows, other, rows)
+    assert sorted(asked) == sorted([a, b])
+    middle = rows.agg(median(a), median(b)).first()
+    got, old = {r.match_id: r for r in filled.collect()}, {r.match_id: r for r in rows.collect()}
+    assert all(got[i][a] == (middle[0] if i <= 3 else old[i][a]) and got[i][b] == (middle[1] if i == 5 else old[i][b]) and got[i][c] == old[i][c] for i in old)
+    assert same.collect() == rows.collect()
