@@ -245,16 +245,19 @@ class Network:
         frequent = targets < self.words
         of = np.where(frequent, targets // self.size, self.k + targets - self.words)
         out = np.empty(len(of), np.float32)
+        # sums over a row as products with ones, and shares of the targets alone where no gradient is asked for
+        ones, single = np.ones(self.k + RARE, np.float32), np.ones(self.size, np.float32)
         d = np.empty_like(states) if grads is not None else None
         for at in range(0, len(of), TILE):
             tile, goal = states[at : at + TILE], of[at : at + TILE]
             logits = tile @ self.Wc
             logits += self.bc
             np.exp(np.minimum(logits, 60, out=logits), out=logits)
-            logits *= 1 / logits.sum(1, keepdims=True)
+            share = 1 / (logits @ ones)
             every = np.arange(len(goal))
-            out[at : at + TILE] = np.log(np.maximum(logits[every, goal], 1e-30))
+            out[at : at + TILE] = np.log(np.maximum(logits[every, goal] * share, 1e-30))
             if grads is not None:
+                logits *= share[:, None]
                 logits[every, goal] -= 1
                 grads["Wc"] += tile.T @ logits
                 np.matmul(logits, self.Wc.T, out=d[at : at + TILE])
@@ -270,10 +273,11 @@ class Network:
             p = rows[i:j] @ self.Ww[k]
             p += self.bw[k]
             np.exp(np.minimum(p, 60, out=p), out=p)
-            p *= 1 / p.sum(1, keepdims=True)
+            share = 1 / (p @ single)
             at = (np.arange(j - i), word[i:j])
-            logs[i:j] = p[at]
+            logs[i:j] = p[at] * share
             if grads is not None:
+                p *= share[:, None]
                 p[at] -= 1
                 grads["Ww"][k] += rows[i:j].T @ p
                 np.matmul(p, self.Ww[k].T, out=back[i:j])
