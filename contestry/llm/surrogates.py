@@ -20,6 +20,8 @@ DataFrame functions only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,11 +51,17 @@ TITLES_M = ["Mr", "Sir", "Herr", "Monsieur", "Sr", "Señor", "Господин",
 EAST = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}"
 PART = r"\p{Lu}[\p{L}'’-]*\p{L}"
 NAME = rf"(?<!\p{{L}})(?:{'|'.join([*TITLES_F, *TITLES_M])})\.? (?:{PART}(?: {PART})?|[{EAST}]{{1,6}})"
-ENTITY = "|".join([EMAIL, SECRET, IP, IPV6, IBAN, CARD_GROUPS, CARD, PHONE, NAME])
+#: None begins with white space, and after a letter of A-Z only those that begin with a digit: most places are passed over by that.
+ENTITY = rf"(?!\s)(?:(?=\d)|(?<![A-Za-z]))(?:{'|'.join([EMAIL, SECRET, IP, IPV6, IBAN, CARD_GROUPS, CARD, PHONE, NAME])})"
 #: What a stretch whose check digits fail may still hold.
 WITHIN = f"{CARD_GROUPS}|{PHONE}"
-#: What every entity has one of: texts without it are passed over.
-HINT = rf"[@\d]|::|(?i:token|passw|secret|api_key)|{'|'.join(f'{t}[. ]' for t in [*TITLES_F, *TITLES_M])}"
+#: What every entity has one of, plain or by pattern: texts without it are passed over. Titles in ASCII are few first letters.
+PLAIN = ["@", *"0123456789", *[t for t in [*TITLES_F, *TITLES_M] if not t[0].isascii()]]
+TITLES = [t for t in [*TITLES_F, *TITLES_M] if t[0].isascii()]
+HINT = (
+    rf"(?=[:tTpPsSaA{''.join(sorted({t[0] for t in TITLES}))}])"
+    rf"(?::[0-9A-Fa-f]{{0,4}}:|(?<![A-Za-z])(?:(?i:token|passw|secret|api_key)|(?:{'|'.join(TITLES)})[. ]))"
+)
 
 # The letters of the scripts, syllables of surrogate names, and their endings.
 LETTERS = {
@@ -269,13 +277,17 @@ def name_parts(name: Column) -> Column:
     return let(F.split(name, " "), parts)
 
 
+def hinted(text: Column) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(x)) for x in PLAIN]) | text.rlike(HINT)
+
+
 def split_text(text: Column) -> Column:
     """The text as pieces (shown, kind), joined again they are the text; kind is null in what stays. Null without a hint.
 
     Stretches whose check digits fail are searched again for what they hide; the surnames found after a
     title are found in the rest of the text.
     """
-    pieces = F.when(text.rlike(HINT), cut(text, ENTITY, kind_of))
+    pieces = F.when(hinted(text), cut(text, ENTITY, kind_of))
 
     def within(x: Column) -> Column:
         return F.when(x["kind"] == "none", cut(x["shown"], WITHIN, lambda e: F.nullif(kind_of(e), F.lit("none")))).otherwise(F.array(x))
@@ -332,8 +344,9 @@ def replace_entities(docs: DataFrame, names: tuple[str, str] = ("n_entities", "k
     pieces, mark, kinds, turns, of = unused(docs, "pieces_", "mark_", "kinds_", "turns_", "of_")
     parts = lambda p: F.when(p["kind"] == "name", name_parts(p["shown"])).otherwise(F.array(p))
     hits = F.filter(split_text(F.col(column)), lambda p: p["kind"].isNotNull())
-    found = docs.where(F.col(column).rlike(HINT)).select(F.flatten(F.transform(hits, parts)).alias("e"), F.md5(column).alias("of"))
-    found = found.select("of", F.inline("e"))
+    found = docs.where(hinted(F.col(column))).select(F.flatten(F.transform(hits, parts)).alias("e"), F.md5(column).alias("of"))
+    # inline_outer: before inline Spark filters by the array's size, and so would search each text twice
+    found = found.select("of", F.inline_outer("e")).where("kind is not null")
     found = written(found.withColumn("canon", canonical(F.col("kind"), F.col("shown"))).distinct(), "entities")
     entities = written(found.groupBy("kind", "canon").agg(F.min("shown").alias("shown")), "entities")
     again = redrawn(entities).withColumnRenamed("turn", "t")

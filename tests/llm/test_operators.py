@@ -621,6 +621,25 @@ def test_numbers_beside_others_are_found(spark):
     assert found[6].n_entities == 2 and found[7].text == texts[7] and found[5].text == texts[5]
 
 
+def test_each_text_is_searched_once_a_stage(spark, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    plans = []
+    monkeypatch.setattr(surrogates, "written", lambda df, *a: (plans.append(plan(df)), common.written(df, *a))[1])
+    out = surrogates.surrogate_texts(make(spark, ["to ann@mail.example.com", "Mr. Smith"]))
+    # a search has the pattern twice: what lies between entities, and the entities
+    assert plans[0].count(surrogates.ENTITY) == 2 and plan(out).count(surrogates.ENTITY) == 2
+
+
+def test_no_entity_is_passed_over_for_want_of_a_hint(spark):
+    texts = ["from a:b:c:d:e:f:a:b", "from fe::a:b", "(Token: abcdefghijk", "_PASSWD='abcdefghijk", "my api_key=abcdefghijk", "éMr. Smith, Mr. Jones", "«Señora Núñez»", "Госпожа Анна", "Κυρία Κώστα", "v10.2.3.4", "x4845168114407329", "a+b@c.de"]
+    docs = make(spark, [*texts, "subscript tokens, Mrs, Srs. a:g:b, unsecret, mistoken=abcdefghijk"])
+    held = F.regexp_count("text", F.lit("|".join([surrogates.EMAIL, surrogates.SECRET, surrogates.IP, surrogates.IPV6, surrogates.CARD, surrogates.NAME])))
+    found = {r.doc_id: r for r in surrogates.surrogate_texts(docs).collect()}
+    wanted = {r.doc_id: r.n for r in docs.select("doc_id", held.alias("n")).collect()}
+    assert {i: r.n_entities for i, r in found.items()} == wanted and [i for i, n in wanted.items() if not n] == [3, 12]
+    assert found[0].kinds == "ipv6" and found[0].text != texts[0]
+
+
 # 10: WARC
 
 
