@@ -70,6 +70,8 @@ FILE_BYTES = 256 << 20
 SPLIT_BYTES = 64 << 20
 #: Bytes read at a time to find the end of another writer's HTTP headers.
 HEAD_BYTES = 8 << 10
+#: Bytes of an archive read at a time.
+PIECE_BYTES = 256 << 10
 
 
 def file_system(path: str):
@@ -129,26 +131,30 @@ def read_headers(stream) -> dict[str, str] | None:
 
 
 class Inflated(io.RawIOBase):
-    """The inflated bytes of a run of gzip members, read in pieces; plain bytes pass as they are."""
+    """The inflated bytes of a run of gzip members, read in pieces; from where no member begins, bytes pass as they are."""
 
     def __init__(self, raw):
-        self.raw, self.left, self.codec = raw, b"", None
+        self.raw, self.left, self.codec, self.plain = raw, b"", None, False
 
     def readable(self) -> bool:
         return True
 
     def readinto(self, buffer) -> int:
         while True:
+            if self.codec is None and not self.plain:
+                # a piece may end between the two bytes that a member begins with
+                while len(self.left) < 2 and (piece := self.raw.read(PIECE_BYTES)):
+                    self.left += piece
+                self.plain = self.left[:2] != b"\x1f\x8b"
+                self.codec = None if self.plain else zlib.decompressobj(31)
             if not self.left:
-                self.left = self.raw.read(1 << 18)
+                self.left = self.raw.read(PIECE_BYTES)
                 if not self.left:
                     return 0
-            if self.codec is None:
-                if self.left[:2] != b"\x1f\x8b":
-                    n = min(len(buffer), len(self.left))
-                    buffer[:n], self.left = self.left[:n], self.left[n:]
-                    return n
-                self.codec = zlib.decompressobj(31)
+            if self.plain:
+                n = min(len(buffer), len(self.left))
+                buffer[:n], self.left = self.left[:n], self.left[n:]
+                return n
             data = self.codec.decompress(self.left, len(buffer))
             self.left = self.codec.unused_data if self.codec.eof else self.codec.unconsumed_tail
             if self.codec.eof:
