@@ -116,7 +116,9 @@ def walk_forward(rows: DataFrame, keys: list[str], algorithms: tuple[str, ...] =
     filled = stored(fill_head_to_head(rows).select(*keys, "role", "match_id", "result_code", *FEATURES), "rows")
     found = fits.statistics(filled, keys, FEATURES)
     blocks = stored(fits.packed(fits.applied(filled, found, keys, FEATURES), keys), "blocks")
-    scored = [fits.predicted(blocks, ALGORITHMS[a][0](blocks, keys), keys, ALGORITHMS[a][1]).withColumn("model", F.lit(a)) for a in algorithms]
+    with ThreadPool(len(algorithms)) as pool:  # side by side: a step's jobs are short and follow from each other
+        models = pool.map(inheritable_thread_target(rows.sparkSession)(lambda a: ALGORITHMS[a][0](blocks, keys)), algorithms)
+    scored = [fits.predicted(blocks, model, keys, ALGORITHMS[a][1]).withColumn("model", F.lit(a)) for a, model in zip(algorithms, models)]
     return reduce(DataFrame.unionByName, scored)
 
 
