@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from contestry.operators import fits
 from contestry.operators.evaluate import TRIPLE, normalised
 from contestry.operators.form import MEASURES
-from contestry.sources.store import stored
+from contestry.sources.store import cleaned, stored
 
 SIDE = [*MEASURES, "points_l5", "gd_l5"]
 #: The 25 features in order.
@@ -116,7 +116,8 @@ def walk_forward(rows: DataFrame, keys: list[str], algorithms: tuple[str, ...] =
     filled = stored(fill_head_to_head(rows).select(*keys, "role", "match_id", "result_code", *FEATURES), "rows")
     found = fits.statistics(filled, keys, FEATURES)
     blocks = stored(fits.packed(fits.applied(filled, found, keys, FEATURES), keys), "blocks")
-    with ThreadPool(len(algorithms)) as pool:  # side by side: a step's jobs are short and follow from each other
+    # side by side: a step's jobs are short and follow from each other
+    with cleaned(rows.sparkSession), ThreadPool(len(algorithms)) as pool:
         models = pool.map(inheritable_thread_target(rows.sparkSession)(lambda a: ALGORITHMS[a][0](blocks, keys)), algorithms)
     scored = [fits.predicted(blocks, model, keys, ALGORITHMS[a][1]).withColumn("model", F.lit(a)) for a, model in zip(algorithms, models)]
     return reduce(DataFrame.unionByName, scored)
